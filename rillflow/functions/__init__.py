@@ -1 +1 @@
-"""functions of the engine."""
+"""Column functions: formulas, curves, fuzzy systems, classifications, geometry."""

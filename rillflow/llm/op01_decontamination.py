@@ -70,7 +70,7 @@ def _windows(rows: DataFrame, keys: list[str], length: int) -> DataFrame:
     """(keys, words, template, at, h) for every window; the arrays aren't copied while codegen holds them."""
     n = F.size("template") - length + 1
     hashes = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.slice("template", i + 1, length))))
-    return rows.select(*keys, "words", "template", F.posexplode(hashes).alias("at", "h"))
+    return rows.select(*keys, "words", "template", hashes.alias("hashes")).select(*keys, "words", "template", F.posexplode("hashes").alias("at", "h"))
 
 
 def _slots(words: Column, template: Column) -> Column:

@@ -9,7 +9,7 @@ from clean training texts, the segments' normalised scores lambda S - ln(K m) th
 a logistic curve over the sum gives the score of the text.
 
 ``fit`` learns from labelled rows, ``MAX_TRAIN_ROWS`` of them at most; token counts are a Spark aggregation, of which
-only tokens with a log-odds of ``MIN_LOG_ODDS`` reach the driver.  Equal training texts count once.
+only odd tokens reach the driver.  Equal training texts count once.
 
 Defined results: null and empty texts have no segment and score as clean; without labelled rows of both kinds every
 text scores 0; repeated rows are scored each; labels, language, source and id are no inputs of a score.
@@ -26,13 +26,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import bounded_sample, crc_mod, share
+from .util import bounded_sample, crc_mod, share, written
 
 MAX_TRAIN_ROWS = 20_000
 #: Pseudo-texts that a word gets from its prefix, and a prefix from the whole.
 PRIOR = 6.0
 PREFIX = 4
-MIN_LOG_ODDS = 1.2
+#: A token is odd from so many log-odds on, if they are so many standard deviations from zero.
+MIN_LOG_ODDS, MIN_Z = 1.2, 2.0
 DRIFT = 0.15
 CLEAN_TOKEN = -0.05
 #: From this score on a text is called toxic.
@@ -95,33 +96,42 @@ def segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right in stack]
 
 
-def _log_odds(toxic: Column, n: Column, parent: Column, base: float) -> tuple[Column, Column]:
+def _odds(toxic: Column, n: Column, parent: Column, base: Column) -> tuple[Column, Column, Column]:
+    """The smoothed rate of toxic texts, its log-odds against the base rate, and that in standard deviations."""
     rate = (toxic + PRIOR * parent) / (n + PRIOR)
-    return rate, F.log(rate / (1 - rate)) - math.log(base / (1 - base))
+    odds = F.log(rate / (1 - rate)) - F.log(base / (1 - base))
+    return rate, odds, odds / F.sqrt(1 / (toxic + PRIOR * base) + 1 / (n - toxic + PRIOR * (1 - base)))
+
+
+def _tables(words: DataFrame, toxic: str, n: str, base: float) -> Model:
+    """Log-odds of words and prefixes from the counts in two columns."""
+    own = words.select("word", F.substring("word", 1, PREFIX).alias("prefix"), F.col(toxic).alias("t"), F.col(n).alias("n")).where("n > 0")
+    rate, odds, z = _odds(F.col("pt"), F.col("pn"), F.lit(base), F.lit(base))
+    prefixes = own.groupBy("prefix").agg(F.sum("t").alias("pt"), F.sum("n").alias("pn")).select("prefix", rate.alias("p_rate"), odds.alias("p_odds"), z.alias("p_z"))
+    rate, odds, z = _odds(F.col("t"), F.col("n"), F.col("p_rate"), F.lit(base))
+    odd = lambda o, z: (F.col(o) >= MIN_LOG_ODDS) & (F.col(z) >= MIN_Z)
+    joined = own.join(prefixes, "prefix").select("word", odds.alias("odds"), z.alias("z"), "p_odds", "p_z")
+    chosen = joined.where(F.when(odd("p_odds", "p_z"), F.abs(F.col("odds") - F.col("p_odds")) > 0.5).otherwise(odd("odds", "z")))
+    found = chosen.select(F.lit(True).alias("is_word"), F.col("word").alias("key"), "odds").union(prefixes.where(odd("p_odds", "p_z") & (F.length("prefix") == PREFIX)).select(F.lit(False), "prefix", "p_odds")).collect()
+    return Model(words={r.key: r.odds for r in found if r.is_word}, prefixes={r.key: r.odds for r in found if not r.is_word})
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", max_rows: int = MAX_TRAIN_ROWS) -> Model:
+    """The tables come from all training rows; the calibration from rows of which tables of the others know nothing."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    rows = bounded_sample(rows, F.col("key"), max_rows).dropDuplicates(["text"]).persist()
+    rows = bounded_sample(rows, F.col("key"), max_rows).dropDuplicates(["text"])
+    rows = rows.select("text", "label", (F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(3)) != 0).cast("int").alias("first")).persist()
     try:
-        n_all, n_toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-        if not 0 < n_toxic < n_all:
+        n, toxic, n_first, toxic_first = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0)), F.coalesce(F.sum("first"), F.lit(0)), F.coalesce(F.sum(F.col("label") * F.col("first")), F.lit(0))).first()
+        if not (0 < toxic < n and 0 < toxic_first < n_first):
             return Model()
-        base = n_toxic / n_all
         tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), 1))
-        words = rows.select("label", F.explode(tokens).alias("word")).groupBy("word").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n"))
-        words = words.withColumn("prefix", F.substring("word", 1, PREFIX))
-        by_prefix = words.groupBy("prefix").agg(F.sum("t").alias("pt"), F.sum("n").alias("pn"))
-        rate, odds = _log_odds(F.col("pt"), F.col("pn"), F.lit(base), base)
-        by_prefix = by_prefix.select("prefix", rate.alias("p_rate"), odds.alias("p_odds"), "pn").persist()
-        rate, odds = _log_odds(F.col("t"), F.col("n"), F.col("p_rate"), base)
-        odd_words = words.join(by_prefix, "prefix").select("word", odds.alias("odds"), "p_odds").where((F.col("odds") >= MIN_LOG_ODDS) & (F.abs(F.col("odds") - F.col("p_odds")) > 0.3) | (F.col("odds") < MIN_LOG_ODDS) & (F.col("p_odds") >= MIN_LOG_ODDS))
-        model = Model(
-            words={r.word: r.odds for r in odd_words.collect()},
-            prefixes={r.prefix: r.p_odds for r in by_prefix.where((F.col("p_odds") >= MIN_LOG_ODDS) & (F.length("prefix") == PREFIX)).collect()},
-        )
-        by_prefix.unpersist()
-        _calibrate(model, rows)
+        words = rows.select("label", "first", F.explode(tokens).alias("word")).groupBy("word").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n"), F.sum(F.col("label") * F.col("first")).alias("t1"), F.sum("first").alias("n1"))
+        words = written(words)
+        base = _tables(words, "t1", "n1", toxic_first / n_first)
+        _calibrate(base, rows.where("first = 0"))
+        model = _tables(words, "t", "n", toxic / n)
+        model.lam, model.k, model.slope, model.offset = base.lam, base.k, base.slope, base.offset
         return model
     finally:
         rows.unpersist()
@@ -131,22 +141,23 @@ def _calibrate(model: Model, rows: DataFrame) -> None:
     """lambda and K from clean texts, then the logistic curve; what comes to the driver is a few numbers a row."""
     shared = share(rows.sparkSession, model)
 
-    @F.pandas_udf("m long, best double, at_one double")
+    @F.pandas_udf("m long, best double")
     def measure(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
             s = shared.value.tokens(t)
-            out.append((len(s), max((x for _, _, x in segments(s)), default=0.0), sum(map(math.exp, s)) - len(s)))
-        return pd.DataFrame(out, columns=["m", "best", "at_one"])
+            out.append((len(s), max((x for _, _, x in segments(s)), default=0.0)))
+        return pd.DataFrame(out, columns=["m", "best"])
 
     seen = rows.select("label", measure("text").alias("x")).select("label", "x.*").toPandas()
     clean = seen[(seen["label"] == 0) & (seen["m"] > 0)]
-    # log-odds scores have lambda near 1; it is smaller where clean texts hold more high scores than that
-    m, best = clean["m"].to_numpy(float), clean["best"].to_numpy(float)
     if len(clean):
-        excess = best[best > 0]
-        model.lam = float(np.clip(1.28255 / excess.std(), 0.3, 1.0)) if len(excess) > 20 and excess.std() > 0 else 1.0
-        model.k = float(np.clip(-np.log(np.clip(np.mean(best <= 0), 0.02, 0.98)) / m.mean() if np.mean(best > 0) < 0.5 else np.exp(np.mean(model.lam * best) - 0.5772) / m.mean(), 1e-6, 1.0))
+        best, length = clean["best"].to_numpy(float), clean["m"].mean()
+        some = best[best > 0]
+        # the tail of an extreme-value distribution falls by lambda a point; log-odds scores have lambda 1 at most
+        model.lam = float(np.clip(1 / some.mean(), 0.3, 1.0)) if len(some) > 20 else 1.0
+        # the share of clean texts without any segment is exp(-K m)
+        model.k = float(np.clip(-math.log(np.clip(np.mean(best <= 0), 0.01, 0.999)) / length, 1e-6, 1.0))
     shared = share(rows.sparkSession, model)
 
     @F.pandas_udf("double")

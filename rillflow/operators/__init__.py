@@ -1 +1 @@
-"""operators of the engine."""
+"""Relational kernels: DataFrame in, DataFrame out."""

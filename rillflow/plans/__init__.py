@@ -1 +1,6 @@
-"""plans of the engine."""
+"""Composite operators and the registered queries."""
+
+from . import aggregate_queries, basic_queries
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "aggregate_queries", "basic_queries"]
