@@ -8,8 +8,8 @@ of the document, and distinct numbers to distinct numbers, else the match is a c
 dropped.  Windows with fewer than ``MIN_LITERALS`` literal words don't count.
 
 The benchmark's windows are broadcast only if there are at most ``BROADCAST_ROWS`` of them, and are otherwise
-joined by shuffling their hashes; either way only hashes of documents' windows meet them, and only windows that
-match carry their words on.
+joined by shuffling.  A window travels as a 64-bit hash and the few values of its slots, so texts are read once and
+never shuffled.
 
 An item is found in a document by ``MIN_WINDOWS`` consistent windows or by ``MIN_SHARE`` of the item's windows.  Items
 shorter than a window are matched as one window of their own length, if they have ``MIN_LITERALS`` literals.
@@ -24,12 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import at_most
+from .util import at_most, written
 
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_WINDOWS = 3
 MIN_SHARE = 0.5
+#: The share of slot pairs that must follow one mapping of values.
+MIN_AGREEMENT = 0.8
 BROADCAST_ROWS = 500_000
 #: Units that become a placeholder behind a number.
 UNITS = (
@@ -52,76 +54,69 @@ def _is_number(w: Column) -> Column:
     return F.ascii(w).between(48, 57)
 
 
-def template_of(words: Column) -> Column:
+def templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, hashes, values): per word the hash of its template token, and what a placeholder stood for (else null).
+
+    Each step is a projection of its own that names the arrays of the step before more than once, so that the
+    optimizer doesn't inline an array into a lambda, where it would be computed anew for every word.
+    """
     units = F.array(*map(F.lit, UNITS))
 
-    def token(w: Column, i: Column) -> Column:
+    def token(w: Column, before: Column) -> Column:
         return (
             F.when(F.ascii(w) == 1, "<name>")
             .when(_is_number(w), "<num>")
-            .when((i > 0) & _is_number(F.get(words, i - 1)) & F.array_contains(units, F.lower(w)), "<unit>")
+            .when(_is_number(before) & F.array_contains(units, F.lower(w)), "<unit>")
             .otherwise(F.lower(w))
         )
 
-    return F.transform(words, token)
-
-
-def _windows(rows: DataFrame, keys: list[str], length: int) -> DataFrame:
-    """(keys, words, template, at, h) for every window; the arrays aren't copied while codegen holds them."""
-    n = F.size("template") - length + 1
-    hashes = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.slice("template", i + 1, length))))
-    return rows.select(*keys, "words", "template", hashes.alias("hashes")).select(*keys, "words", "template", F.posexplode("hashes").alias("at", "h"))
+    words = rows.select(*keys, words_of(F.col(text)).alias("words"))
+    before = F.slice(F.concat(F.array(F.lit("")), "words"), F.lit(1), F.size("words"))
+    tokens = words.select(*keys, "words", F.zip_with("words", before, token).alias("tokens"))
+    value = F.zip_with("words", "tokens", lambda w, t: F.when(F.ascii(t) == ord("<"), F.concat(t, F.lower(w))))
+    return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"))
 
 
-def _slots(words: Column, template: Column) -> Column:
-    """The placeholders of a window with what they stood for, in order."""
-    pairs = F.transform(F.arrays_zip(template.alias("t"), words.alias("w")), lambda x: F.struct(x["t"].alias("t"), F.lower(x["w"]).alias("w")))
-    return F.filter(pairs, lambda x: x["t"].isin("<name>", "<num>", "<unit>"))
+def windows(rows: DataFrame, keys: list[str], length: int, min_literals: int) -> DataFrame:
+    """(keys, at, h, slots) for every window with enough literals: its place, its hash, its placeholders' values."""
+    n = F.size("hashes") - length + 1
+    window = lambda i: F.struct(
+        F.xxhash64(F.slice("hashes", i + 1, length)).alias("h"),
+        F.filter(F.slice("values", i + 1, length), lambda v: v.isNotNull()).alias("slots"),
+    )
+    every = F.when((n > 0) & (F.size("values") > 0), F.transform(F.sequence(F.lit(0), n - 1), window))
+    out = rows.select(*keys, F.posexplode(every).alias("at", "w")).select(*keys, "at", "w.h", "w.slots")
+    return out.where(F.size("slots") <= length - min_literals)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = MIN_WINDOWS, min_share: float = MIN_SHARE, min_literals: int = MIN_LITERALS, broadcast_rows: int = BROADCAST_ROWS, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots): one row per document and the item found in it."""
-    items = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), words_of(F.col(item_text)).alias("words"))
-    items = items.withColumn("template", template_of(F.col("words"))).withColumn("len", F.least(F.size("template"), F.lit(window))).where(F.col("len") >= min_literals)
-    lengths = sorted(r.len for r in items.select("len").distinct().collect())  # at most ``window`` values
-    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("words"))
-    rows = rows.withColumn("template", template_of(F.col("words")))
+    items = templates(benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")), ["item_id"], "text")
+    items = written(items.withColumn("len", F.least(F.size("hashes"), F.lit(window))).where(F.col("len") >= min_literals))
+    rows = templates(docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ["doc_id"], "text")
     found = None
-    for length in lengths:
-        wanted = _windows(items.where(F.col("len") == length), ["item_id"], length)
-        wanted = wanted.withColumn("i_slots", _slots(F.slice("words", F.col("at") + 1, length), F.slice("template", F.col("at") + 1, length)))
-        wanted = wanted.withColumn("i_template", F.slice("template", F.col("at") + 1, length)).where(length - F.size("i_slots") >= min_literals)
-        wanted = wanted.select("item_id", F.col("at").alias("i_at"), "h", "i_slots", "i_template")
-        own = _windows(rows, ["doc_id"], length)
-        if at_most(wanted, broadcast_rows):
-            hits = own.join(F.broadcast(wanted), "h")
-        else:
-            # only hashes are shuffled, each window's words go along only where it matches
-            matched = own.select("doc_id", "at", "h").join(wanted.select("h").distinct(), "h", "left_semi")
-            hits = own.join(matched, ["doc_id", "at", "h"], "left_semi").join(wanted, "h")
-        d_template = F.slice("template", F.col("at") + 1, length)
-        hits = hits.where(d_template == F.col("i_template")).select("doc_id", "item_id", "at", "i_at", "i_slots", _slots(F.slice("words", F.col("at") + 1, length), d_template).alias("d_slots"))
+    for length in sorted(r.len for r in items.select("len").distinct().collect()):  # at most ``window`` values
+        wanted = windows(items.where(F.col("len") == length), ["item_id"], length, min_literals).select("item_id", "h", F.col("at").alias("i_at"), F.col("slots").alias("i_slots"))
+        wanted = F.broadcast(wanted) if at_most(wanted, broadcast_rows) else wanted
+        hits = windows(rows, ["doc_id"], length, min_literals).join(wanted, "h").select("doc_id", "item_id", "i_at", "i_slots", F.col("slots").alias("d_slots"))
         found = hits if found is None else found.unionByName(hits)
-    totals = _totals(items, min_literals, window)
     if found is None:
-        return rows.select("doc_id", F.lit(None).cast(benchmark.schema[item_id].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_windows"), F.lit(0).cast("long").alias("item_windows"), F.lit(0).cast("long").alias("n_slots")).where("false")
-    # slots: values that map to more than one value contradict each other
-    pairs = found.select("doc_id", "item_id", "i_at", F.explode(F.arrays_zip("i_slots", "d_slots")).alias("s")).select("doc_id", "item_id", "i_at", F.col("s.i_slots.t").alias("kind"), F.col("s.i_slots.w").alias("i_w"), F.col("s.d_slots.w").alias("d_w"))
-    tally = pairs.groupBy("doc_id", "item_id", "kind", "i_w", "d_w").agg(F.count(F.lit(1)).alias("n"))
-    forward = tally.groupBy("doc_id", "item_id", "kind", "i_w").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-    slots = forward.groupBy("doc_id", "item_id").agg(F.sum("most").alias("agree"), F.sum("all").alias("n_slots"))
-    windows = found.groupBy("doc_id", "item_id").agg(F.count_distinct("i_at").alias("n_windows"))
-    joined = windows.join(slots, ["doc_id", "item_id"], "left").join(F.broadcast(totals) if at_most(totals, broadcast_rows) else totals, "item_id")
-    consistent = F.coalesce(F.col("agree") >= 0.8 * F.col("n_slots"), F.lit(True))
+        kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, item_id {benchmark.schema[item_id].dataType.simpleString()}, n_windows long, item_windows long, n_slots long"
+        return docs.sparkSession.createDataFrame([], kinds)
+    found = written(found)  # read twice below; few rows beside the windows that were compared
+    # slots: values that map to more than one value, either way, contradict each other
+    pairs = found.select("doc_id", "item_id", F.explode(F.arrays_zip("i_slots", "d_slots")).alias("s")).select("doc_id", "item_id", F.col("s.i_slots").alias("i"), F.col("s.d_slots").alias("d"))
+    tally = pairs.groupBy("doc_id", "item_id", "i", "d").agg(F.count(F.lit(1)).alias("n"))
+    one_way = lambda side: tally.groupBy("doc_id", "item_id", side).agg(F.max("n").alias("most"), F.sum("n").alias("all")).groupBy("doc_id", "item_id").agg(F.sum("most").alias(f"agree_{side}"), F.sum("all").alias(f"n_{side}"))
+    slots = one_way("i").join(one_way("d"), ["doc_id", "item_id"]).select("doc_id", "item_id", F.least("agree_i", "agree_d").alias("agree"), F.col("n_i").alias("n_slots"))
+    counts = found.groupBy("doc_id", "item_id").agg(F.count_distinct("i_at").alias("n_windows"))
+    totals = items.groupBy("item_id").agg(F.max(F.size("hashes") - F.col("len") + 1).cast("long").alias("item_windows"))
+    joined = counts.join(slots, ["doc_id", "item_id"], "left").join(totals, "item_id")
+    consistent = F.coalesce(F.col("agree") >= MIN_AGREEMENT * F.col("n_slots"), F.lit(True))
     enough = (F.col("n_windows") >= min_windows) | (F.col("n_windows") >= min_share * F.col("item_windows"))
     return joined.where(consistent & enough).select("doc_id", "item_id", "n_windows", "item_windows", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"))
 
 
-def _totals(items: DataFrame, min_literals: int, window: int) -> DataFrame:
-    """How many windows an item has."""
-    return items.groupBy("item_id").agg(F.max(F.size("template") - F.col("len") + 1).cast("long").alias("item_windows"))
-
-
 def op01_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return leaks(docs.select("doc_id", "text"), benchmark.select("item_id", "text"))
 
