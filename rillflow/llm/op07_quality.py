@@ -41,6 +41,9 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     over = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
     rows = docs.withColumn("_t", t).withColumn("_w", F.filter(F.split("_t", r"\s+"), lambda w: w != ""))
     n, words = F.length("_t"), F.size("_w")
+    m = F.greatest(words - 1, F.lit(0))
+    # words of two characters or more that repeat the one before; a pattern with a back reference overflows the stack on long runs
+    repeated = F.zip_with(F.slice("_w", F.lit(1), m), F.slice("_w", F.lit(2), m), lambda a, b: F.when((a == b) & (F.length(b) > 1), F.length(b) + 1).otherwise(0))
     values = {
         "log_words": F.log1p(words),
         "word_length": over(n, words),
@@ -51,7 +54,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "stops": over(keep(".,;:"), words),
         "distinct": over(F.size(F.array_distinct("_w")), words),
         "line_words": over(words, F.length(F.regexp_replace("_t", "[^\n]+", "")) + 1),
-        "repeats": over(n - F.length(F.regexp_replace("_t", r"(?<=\s|^)(\S{2,40}+)(?:\s+\1(?=\s|$))+", "")), n),
+        "repeats": over(F.aggregate(repeated, F.lit(0), lambda total, x: total + x), n),
     }
     return rows.select(*(F.col(f"`{c}`") for c in docs.columns if c not in NAMES), *(values[k].alias(k) for k in NAMES))
 

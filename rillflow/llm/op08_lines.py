@@ -22,6 +22,7 @@ from .util import per_core
 
 #: Fixed by the contract: the shortest key that can be dropped, and the documents that must hold it.
 MIN_CHARS, MIN_DOCS = 1, 10
+WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,7 +31,7 @@ def lines_of(text: Column) -> Column:
 
 
 def key_of(line: Column) -> Column:
-    return F.translate(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), UPPER, LOWER)
+    return F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER)
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

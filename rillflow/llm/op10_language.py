@@ -8,7 +8,7 @@ log-probabilities and scores batches of sparse rows in numpy.
 Defined results: a null text, an empty text and a text without a letter get ``und`` and 0.0; ties go to the
 language that sorts first; without a labelled row every text gets ``und``.  Rows with a null language or text
 teach nothing.  Repeated rows count each time; other columns pass through untouched.  A text of any length is
-read whole, in slices of ``SLICE`` characters that overlap by the length of an n-gram.
+read whole, in slices of ``SLICE`` characters that give what they would give in one piece.
 """
 
 from __future__ import annotations
@@ -42,23 +42,23 @@ def has_letter(text: str) -> bool:
 
 
 def _grams(text: str, buckets: int) -> Iterator[np.ndarray]:
-    """Bucket numbers of the n-grams, slice by slice."""
+    """Bucket numbers of the n-grams, slice by slice; what a slice needs of the one before is carried on."""
     text = text.lower()
-    step = max(ORDERS) - 1
+    after_letter, tail = True, np.zeros(0, np.uint64)
     for start in range(0, len(text), SLICE):
-        codes = np.frombuffer(text[start : start + SLICE + step].encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.frombuffer(text[start : start + SLICE].encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters()[codes]
-        codes = np.where(letter, codes, 32).astype(np.uint64)
-        keep = letter | np.concatenate(([True], letter[:-1]))  # runs of non-letters count once
-        codes, kept_before = codes[keep], int(keep[:SLICE].sum())
+        keep = letter | np.concatenate(([after_letter], letter[:-1]))  # runs of non-letters count once
+        after_letter, old = letter[-1], len(tail)
+        codes = np.concatenate((tail, np.where(letter, codes, 32).astype(np.uint64)[keep]))
+        tail = codes[len(codes) - min(len(codes), max(ORDERS) - 1) :]
         h = np.zeros(len(codes), np.uint64)
         for n in ORDERS:
             if len(codes) < n:
                 break
             h = h[: len(codes) - n + 1] * np.uint64(0x100000001B3) + codes[n - 1 :] + np.uint64(n)
             mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            last = kept_before if start + SLICE < len(text) else len(h)
-            yield ((mixed >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)[:last]
+            yield ((mixed >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)[max(0, old - n + 1) :]
 
 
 def sparse(text: str, buckets: int) -> tuple[np.ndarray, np.ndarray]:
