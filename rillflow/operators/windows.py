@@ -32,8 +32,9 @@ def moving_window(rows: DataFrame, path: str, distance: str, width: float, sums:
     cell = F.floor(F.col(distance) / length)
     near = F.array(cell, F.floor((F.col(distance) - half) / length), F.floor((F.col(distance) + half) / length))
     dealt = rows.withColumn("_home", cell).withColumn("_stretch", F.explode(F.array_distinct(near)))
-    w = Window.partitionBy(path, "_stretch").orderBy(F.col(distance).cast("double")).rangeBetween(-half, half)
-    added = [F.sum(c).over(w).alias(f"mw_{c}") for c in sums] + [F.min(c).over(w).alias(f"mw_{c}") for c in mins] + [F.max(c).over(w).alias(f"mw_{c}") for c in maxs]
+    # as SQL text, because the frame's ends may be fractions
+    frame = f"over (partition by `{path}`, _stretch order by cast(`{distance}` as double) range between {half}D preceding and {half}D following)"
+    added = [F.expr(f"{f}(`{c}`) {frame}").alias(f"mw_{c}") for f, columns in (("sum", sums), ("min", mins), ("max", maxs)) for c in columns]
     return dealt.select(*rows.columns, "_home", "_stretch", *added).filter("_home = _stretch").drop("_home", "_stretch")
 
 

@@ -114,15 +114,16 @@ def join_anti_missing(customer: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 @query("events", sql="""
-WITH e AS (SELECT DISTINCT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS at, event_type FROM events),
-l AS (SELECT DISTINCT user_id, at FROM e WHERE event_type = 'purchase'), r AS (SELECT DISTINCT user_id, at AS near_at FROM e WHERE event_type = 'click')
-SELECT user_id, at, near_at, abs(at - near_at) AS distance FROM l JOIN r USING (user_id) WHERE abs(at - near_at) <= 86400
-QUALIFY row_number() OVER (PARTITION BY user_id, at ORDER BY abs(at - near_at), near_at) = 1""")
+WITH e AS (SELECT DISTINCT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS second, event_type FROM events),
+l AS (SELECT DISTINCT user_id, second FROM e WHERE event_type = 'purchase'), r AS (SELECT DISTINCT user_id, second AS near_second FROM e WHERE event_type = 'click')
+SELECT user_id, second, near_second, abs(second - near_second) AS distance FROM l JOIN r USING (user_id) WHERE abs(second - near_second) <= 86400
+QUALIFY row_number() OVER (PARTITION BY user_id, second ORDER BY abs(second - near_second), near_second) = 1""")
 def nearest_key_join(events: DataFrame) -> DataFrame:
-    e = events.select("user_id", F.unix_seconds("ts").alias("at"), "event_type")
-    left = e.filter("event_type = 'purchase'").select("user_id", "at").distinct()
-    right = e.filter("event_type = 'click'").select("user_id", "at").distinct()
-    return joins.nearest_key(left, right, ["user_id"], "at", "at", 86400)
+    second = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
+    e = events.select("user_id", second.alias("second"), "event_type")
+    left = e.filter("event_type = 'purchase'").select("user_id", "second").distinct()
+    right = e.filter("event_type = 'click'").select("user_id", "second").distinct()
+    return joins.nearest_key(left, right, ["user_id"], "second", "second", 86400)
 
 
 _DAYS = "SELECT DISTINCT l_suppkey, date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS day FROM lineitem"
