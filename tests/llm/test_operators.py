@@ -319,6 +319,33 @@ def test_components(spark, docs):
     assert not op09.op09_simhash(empty(spark)).count()
 
 
+def test_near_copies_by_similarity(spark, docs):
+    words = [f"w{i}" for i in range(200)]
+    at = lambda *places: " ".join("new" if i in places else w for i, w in enumerate(words))
+    rows = spark.createDataFrame([(1, at()), (2, at(20, 60, 100, 140)), (3, at(20, 40, 60, 80, 100, 120)), (4, None), (5, " ")], KIND)
+    assert {r.doc_id for r in op09.keep_one(rows).collect()} == {1, 2, 3, 4}  # 4 bits are too few
+    # similarities: of 1 and 2 176/216, of 2 and 3 the same, of 1 and 3 166/226
+    assert {r.doc_id for r in op09.keep_one(rows, 0.8).collect()} == {1, 4}
+    assert {r.doc_id for r in op09.keep_one(rows.where("doc_id != 2"), 0.8).collect()} == {1, 3, 4}
+    crowd = docs.select("doc_id", "text").union(odd(spark).where("doc_id != 7").selectExpr("doc_id + 1000000", "text"))
+    crowd = crowd.union(spark.createDataFrame([(2000000 + i, at(*range(i, i + 1 + i % 9))) for i in range(60)], KIND))
+    sets = {}
+    for r in crowd.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").lower())
+        sets[r.doc_id] = frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    least = {i: i for i in sets}
+    again = True
+    near = [(i, j) for i in sets for j in sets if i < j and (sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0)]
+    while again:
+        again = False
+        for i, j in near:
+            if least[i] != least[j]:
+                least[i] = least[j] = min(least[i], least[j])
+                again = True
+    assert {r.doc_id: r.component_id for r in op09.alike(crowd).collect()} == least
+    assert not op09.alike(empty(spark)).count()
+
+
 # 10
 
 
