@@ -5,7 +5,9 @@ word inside a sentence is ``<name>``, and any other word is itself in lower case
 hashed and joined with the windows of the benchmark, so a question asked again with other numbers, names or units
 still matches.  What the placeholders stood for is then compared: a slot value of the item must map to one value
 of the document, and distinct numbers to distinct numbers, else the match is a coincidence of templates and is
-dropped.  Windows with fewer than ``MIN_LITERALS`` literal words don't count.
+dropped.  This is tested for each place where the item may stand: every alignment (the window's place in the document
+less that in the item) by itself, the alignments of a stretch as long as the item together, so that a copy with words
+put in or left out stays whole, and all of the document together.  The item is found if any of them passes.
 
 The benchmark's windows are broadcast only if there are at most ``BROADCAST_ROWS`` of them, and are otherwise
 joined by shuffling.  A window travels as a 64-bit hash and the few values of its slots, so texts are read once and
@@ -98,23 +100,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windo
     for length in sorted(r.len for r in items.select("len").distinct().collect()):  # at most ``window`` values
         wanted = windows(items.where(F.col("len") == length), ["item_id"], length, min_literals).select("item_id", "h", F.col("at").alias("i_at"), F.col("slots").alias("i_slots"))
         wanted = F.broadcast(wanted) if at_most(wanted, broadcast_rows) else wanted
-        hits = windows(rows, ["doc_id"], length, min_literals).join(wanted, "h").select("doc_id", "item_id", "i_at", "i_slots", F.col("slots").alias("d_slots"))
+        hits = windows(rows, ["doc_id"], length, min_literals).join(wanted, "h").select("doc_id", "item_id", "at", "i_at", "i_slots", F.col("slots").alias("d_slots"))
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, item_id {benchmark.schema[item_id].dataType.simpleString()}, n_windows long, item_windows long, n_slots long"
         return docs.sparkSession.createDataFrame([], kinds)
     found = written(found)  # read twice below; few rows beside the windows that were compared
+    # each hit belongs to its alignment, to the two stretches of the item's length that hold it, and to the document
+    totals = items.select("item_id", F.size("hashes").alias("size"), (F.size("hashes") - F.col("len") + 1).cast("long").alias("item_windows")).groupBy("item_id").agg(F.max("size").alias("size"), F.max("item_windows").alias("item_windows"))
+    shift, size = F.col("at") - F.col("i_at"), F.col("size")
+    places = F.array(*(F.struct(F.lit(scope).alias("scope"), place.cast("long").alias("place")) for scope, place in enumerate((shift, F.floor(shift / size), F.floor(shift / size + 0.5), F.lit(0)))))
+    found = found.join(totals, "item_id").select("doc_id", "item_id", F.explode(places).alias("p"), "i_at", "i_slots", "d_slots")
+    group = ["doc_id", "item_id", "scope", "place"]
+    found = found.select("doc_id", "item_id", "p.scope", "p.place", "i_at", "i_slots", "d_slots")
     # slots: values that map to more than one value, either way, contradict each other
-    pairs = found.select("doc_id", "item_id", F.explode(F.arrays_zip("i_slots", "d_slots")).alias("s")).select("doc_id", "item_id", F.col("s.i_slots").alias("i"), F.col("s.d_slots").alias("d"))
-    tally = pairs.groupBy("doc_id", "item_id", "i", "d").agg(F.count(F.lit(1)).alias("n"))
-    one_way = lambda side: tally.groupBy("doc_id", "item_id", side).agg(F.max("n").alias("most"), F.sum("n").alias("all")).groupBy("doc_id", "item_id").agg(F.sum("most").alias(f"agree_{side}"), F.sum("all").alias(f"n_{side}"))
-    slots = one_way("i").join(one_way("d"), ["doc_id", "item_id"]).select("doc_id", "item_id", F.least("agree_i", "agree_d").alias("agree"), F.col("n_i").alias("n_slots"))
-    counts = found.groupBy("doc_id", "item_id").agg(F.count_distinct("i_at").alias("n_windows"))
-    totals = items.groupBy("item_id").agg(F.max(F.size("hashes") - F.col("len") + 1).cast("long").alias("item_windows"))
-    joined = counts.join(slots, ["doc_id", "item_id"], "left").join(totals, "item_id")
+    pairs = found.select(*group, F.explode(F.arrays_zip("i_slots", "d_slots")).alias("s")).select(*group, F.col("s.i_slots").alias("i"), F.col("s.d_slots").alias("d"))
+    tally = pairs.groupBy(*group, "i", "d").agg(F.count(F.lit(1)).alias("n"))
+    one_way = lambda side: tally.groupBy(*group, side).agg(F.max("n").alias("most"), F.sum("n").alias("all")).groupBy(*group).agg(F.sum("most").alias(f"agree_{side}"), F.sum("all").alias(f"n_{side}"))
+    slots = one_way("i").join(one_way("d"), group).select(*group, F.least("agree_i", "agree_d").alias("agree"), F.col("n_i").alias("n_slots"))
+    counts = found.groupBy(*group).agg(F.count_distinct("i_at").alias("n_windows"))
+    joined = counts.join(slots, group, "left").join(totals, "item_id")
     consistent = F.coalesce(F.col("agree") >= MIN_AGREEMENT * F.col("n_slots"), F.lit(True))
     enough = (F.col("n_windows") >= min_windows) | (F.col("n_windows") >= min_share * F.col("item_windows"))
-    return joined.where(consistent & enough).select("doc_id", "item_id", "n_windows", "item_windows", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"))
+    # of the places that pass, the one with the most windows and, of equal ones, the most slots
+    best = joined.where(consistent & enough).groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "item_windows", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"))).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_windows", "best.item_windows", "best.n_slots")
 
 
 def op01_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

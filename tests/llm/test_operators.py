@@ -90,6 +90,19 @@ def test_contradicting_slots(spark):
     assert op01.leaks(spark.createDataFrame([(1, item.replace("10", "55"))], KIND), benchmark).count() == 1
 
 
+TANK = "the tank loses 3 cups each hour and then loses 5 cups each hour and then loses 4 cups each hour and then loses 9 cups each hour and then it is empty"
+
+
+def test_each_place_by_itself(spark):
+    benchmark = spark.createDataFrame([(1, QUESTION), (2, TANK)], "item_id int, text string")
+    torn = lambda text: text.replace("dollars", "whole dollars")
+    rows = [(1, f"{QUESTION}. {AGAIN}"), (2, TANK), (3, f"It said {torn(QUESTION)}. {'Nothing of the kind stands here. ' * 9} {torn(AGAIN)}"), (4, BROKEN)]
+    rows += [(5, TANK.replace("3", "11").replace("5", "12").replace("4 ", "13 ").replace("9", "14"))]
+    found = {(r.doc_id, r.item_id): r for r in op01.leaks(spark.createDataFrame(rows, KIND), benchmark).collect()}
+    assert set(found) == {(1, 1), (2, 2), (3, 1), (5, 2)}
+    assert found[1, 1].n_windows == found[1, 1].item_windows == 19 and found[2, 2].n_windows >= 20
+
+
 def test_leaks_of_nothing(spark):
     items = "item_id int, text string"
     assert not op01.leaks(empty(spark), spark.createDataFrame([(1, QUESTION)], items)).count()
