@@ -8,13 +8,16 @@ of the document, and distinct numbers to distinct numbers, else the match is a c
 dropped.  This is tested for each place where the item may stand: every alignment (the window's place in the document
 less that in the item) by itself, the alignments of a stretch as long as the item together, so that a copy with words
 put in or left out stays whole, and all of the document together.  The item is found if any of them passes.
+Windows with fewer than ``MIN_LITERALS`` literal words are too common as templates, so they must match with the
+values of their slots.
 
 The benchmark's windows are broadcast only if there are at most ``BROADCAST_ROWS`` of them, and are otherwise
 joined by shuffling.  A window travels as a 64-bit hash and the few values of its slots, so texts are read once and
 never shuffled.
 
 An item is found in a document by ``MIN_WINDOWS`` consistent windows or by ``MIN_SHARE`` of the item's windows.  Items
-shorter than a window are matched as one window of their own length, if they have ``MIN_LITERALS`` literals.
+shorter than a window are matched as one window of their own length, and items of fewer than ``MIN_LITERALS`` words
+word by word: an item of one word is found wherever that word stands.
 
 Defined results: null and empty texts and items match nothing; items that repeat are each reported; rows that repeat a
 document id are one document; a null document or item id is ignored.  Extra columns are ignored by ``leaks`` and kept
@@ -79,8 +82,18 @@ def templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"))
 
 
+def verbatim(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """As ``templates``, but every word in lower case is its own token."""
+    words = rows.select(*keys, words_of(F.col(text)).alias("words"))
+    own = F.transform("words", lambda w: F.xxhash64(F.lower(F.ltrim(w, F.lit(_NAME)))))
+    return words.select(*keys, own.alias("hashes"), F.transform("words", lambda w: F.lit(None).cast("string")).alias("values"))
+
+
 def windows(rows: DataFrame, keys: list[str], length: int, min_literals: int) -> DataFrame:
-    """(keys, at, h, slots) for every window with enough literals: its place, its hash, its placeholders' values."""
+    """(keys, at, h, slots) for every window: its place, its hash, its placeholders' values.
+
+    With too few literals the values are part of the hash.
+    """
     n = F.size("hashes") - length + 1
     window = lambda i: F.struct(
         F.xxhash64(F.slice("hashes", i + 1, length)).alias("h"),
@@ -88,19 +101,24 @@ def windows(rows: DataFrame, keys: list[str], length: int, min_literals: int) ->
     )
     every = F.when((n > 0) & (F.size("values") > 0), F.transform(F.sequence(F.lit(0), n - 1), window))
     out = rows.select(*keys, F.posexplode(every).alias("at", "w")).select(*keys, "at", "w.h", "w.slots")
-    return out.where(F.size("slots") <= length - min_literals)
+    return out.withColumn("h", F.when(F.size("slots") <= length - min_literals, F.col("h")).otherwise(F.xxhash64("h", "slots")))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = MIN_WINDOWS, min_share: float = MIN_SHARE, min_literals: int = MIN_LITERALS, broadcast_rows: int = BROADCAST_ROWS, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots): one row per document and the item found in it."""
-    items = templates(benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")), ["item_id"], "text")
-    items = written(items.withColumn("len", F.least(F.size("hashes"), F.lit(window))).where(F.col("len") >= min_literals))
-    rows = templates(docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ["doc_id"], "text")
+    item_texts = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
+    doc_texts = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    of_items, of_docs = {}, {}
+    for how in (templates, verbatim):
+        of_items[how] = how(item_texts, ["item_id"], "text").withColumn("len", F.least(F.size("hashes"), F.lit(window)))
+        of_docs[how] = how(doc_texts, ["doc_id"], "text")
+    items = written(of_items[templates].where(F.col("len") >= min_literals).unionByName(of_items[verbatim].where(F.col("len").between(1, min_literals - 1))))
     found = None
     for length in sorted(r.len for r in items.select("len").distinct().collect()):  # at most ``window`` values
-        wanted = windows(items.where(F.col("len") == length), ["item_id"], length, min_literals).select("item_id", "h", F.col("at").alias("i_at"), F.col("slots").alias("i_slots"))
+        rows, literals = (of_docs[templates], min_literals) if length >= min_literals else (of_docs[verbatim], 0)
+        wanted = windows(items.where(F.col("len") == length), ["item_id"], length, literals).select("item_id", "h", F.col("at").alias("i_at"), F.col("slots").alias("i_slots"))
         wanted = F.broadcast(wanted) if at_most(wanted, broadcast_rows) else wanted
-        hits = windows(rows, ["doc_id"], length, min_literals).join(wanted, "h").select("doc_id", "item_id", "at", "i_at", "i_slots", F.col("slots").alias("d_slots"))
+        hits = windows(rows, ["doc_id"], length, literals).join(wanted, "h").select("doc_id", "item_id", "at", "i_at", "i_slots", F.col("slots").alias("d_slots"))
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, item_id {benchmark.schema[item_id].dataType.simpleString()}, n_windows long, item_windows long, n_slots long"

@@ -103,6 +103,17 @@ def test_each_place_by_itself(spark):
     assert found[1, 1].n_windows == found[1, 1].item_windows == 19 and found[2, 2].n_windows >= 20
 
 
+def test_few_literals_match_with_their_values(spark):
+    sums = "What is 12 + 47 * 3 - 9 / 15 + 28 * 6 - 31 + 44?"
+    benchmark = spark.createDataFrame([(1, sums), (2, "Name Paris twice"), (3, "42")], "item_id int, text string")
+    rows = [(1, f"He asked. {sums} Nobody knew"), (2, sums.replace("47", "48").replace("15", "16").replace("12", "13").replace("31", "32").replace("9", "8").replace("28", "27")), (3, "please name Paris twice now"), (4, "name Rome twice"), (5, "it is 42.")]
+    found = {(r.doc_id, r.item_id): (r.n_windows, r.item_windows) for r in op01.leaks(spark.createDataFrame(rows, KIND), benchmark).collect()}
+    assert found == {(1, 1): (4, 4), (3, 2): (1, 1), (5, 3): (1, 1)}
+    long = spark.createDataFrame([(9, "Ask Ann Bob Cid Dan Eve 7 8 9 10 11 12 13 of the two men now")], "item_id int, text string")
+    text = "Ask Ann Bob Cid Dan Eve 7 8 9 10 11 12 13 and so on and on"
+    assert op01.leaks(spark.createDataFrame([(1, text), (2, text.replace("7 8 9", "1 2 3"))], KIND), long).select("doc_id").collect() == [(1,)]
+
+
 def test_leaks_of_nothing(spark):
     items = "item_id int, text string"
     assert not op01.leaks(empty(spark), spark.createDataFrame([(1, QUESTION)], items)).count()
