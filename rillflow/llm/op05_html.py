@@ -4,8 +4,9 @@ Each page's markup becomes a tree; scripts, styles, forms, navigation, headers,
 comments (by tag, role or class) count nothing.  Every node has the composite density: characters per tag,
 adjusted by its share of link characters and tags against those of the body.  A node's density sum is the sum of its
 children's densities.  The threshold is the smallest density on the path from the body to the node with the largest
-sum; the main subtree is the highest node on that path whose density reaches the threshold and whose sum is the
-largest, and all text blocks of it are returned.
+sum.  From the body down, every node that reaches it marks the node with the largest sum in its own subtree, so an
+article in several containers is found whole; a heading in front of marked text belongs to it.  All text blocks of the
+marked subtrees are returned.
 
 Defined results: null, empty or text-free html gives the empty text; unclosed, crossed and cut-off tags are closed
 where a browser would; character references are decoded; white space inside a block becomes one space; blocks are
@@ -33,11 +34,13 @@ SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 BOILERPLATE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|nav\w*|newsletter|notice|popup|promo\w*|related|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+SINGLE = frozenset("p h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.skip = tag, parent, skip or bool(parent and parent.skip)
@@ -45,6 +48,7 @@ class Node:
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.best = self
 
 
 class _Tree(HTMLParser):
@@ -132,7 +136,8 @@ def _density(node: Node, body_ratio: float) -> float:
     return c / t * math.log(max(c * t / (max(lc, 1) * max(lt, 1)), 1.0) + 1.0) / math.log(base + math.e - 1.0)
 
 
-def _blocks(node: Node) -> list[str]:
+def _blocks(node: Node, marked: set[Node]) -> list[str]:
+    """The text blocks of the marked subtrees, in page order."""
     out, now = [], []
 
     def end() -> None:
@@ -141,27 +146,71 @@ def _blocks(node: Node) -> list[str]:
         if text:
             out.append(text)
 
-    todo: list = [node]
+    todo: list = [(node, False)]
     while todo:
-        x = todo.pop()
+        x, taken = todo.pop()
         if x is None:
             end()
         elif isinstance(x, str):
-            now.append(x)
+            now.append(x if taken else " ")
         elif x.skip:
             continue
         elif x.tag == "br":
             now.append(" ")
         else:
+            taken = taken or x in marked
             block = x.tag in BLOCK or x.parent is None
             if block:
                 end()
-                todo.append(None)
-            todo += reversed(x.children)
+                todo.append((None, taken))
+            todo += [(c, taken) for c in reversed(x.children)]
     end()
     return out
 
 
+def _block(node: Node, body: Node) -> Node:
+    while node is not body and node.tag not in BLOCK:
+        node = node.parent
+    return node
+
+
+def _marked(order: list[Node], body: Node) -> set[Node]:
+    """The nodes whose subtrees are the main text."""
+    for node in order:  # children before parents; ties: the innermost
+        node.best = max([c.best for c in node.children if isinstance(c, Node) and not c.skip] + [node], key=lambda n: n.total)
+    top = body.best
+    path, node = [top], top
+    while node is not body:
+        node = node.parent
+        path.append(node)
+    threshold = min(n.density for n in path)
+    top = _block(top, body)
+    if top.tag in SINGLE and top is not body:
+        top = _block(top.parent, body)  # a single paragraph is no page: its siblings belong to it
+    marked, todo = {top}, [body]
+    while todo:
+        node = todo.pop()
+        if node.density >= threshold and node is not top:
+            if node is not body:
+                marked.add(_block(node.best, body))
+            todo += [c for c in node.children if isinstance(c, Node) and not c.skip]
+    # a heading stands in front of what it belongs to
+    holds = {None}
+    for node in marked:
+        while node and node not in holds:
+            holds.add(node)
+            node = node.parent
+    for node in order:
+        if node in holds and node not in marked and not node.skip:
+            behind = False
+            for c in reversed(node.children):
+                if isinstance(c, Node) and not c.skip and c.chars:
+                    behind = c in marked or behind and c.tag in HEADINGS
+                    if behind:
+                        marked.add(c)
+    return marked
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -178,30 +227,7 @@ def main_text(html: str | None) -> str:
         node.total = sum(c.density for c in node.children if isinstance(c, Node))
         if not node.skip and any(isinstance(c, str) and c.strip() for c in node.children):
             node.total = max(node.total, node.density)
-    inside = [n for n in order if not n.skip and _under(n, body)]
-    best = max(inside, key=lambda n: n.total)  # ties: the innermost
-    path, node = [best], best
-    while node is not body:
-        node = node.parent
-        path.append(node)
-    threshold = min(n.density for n in path)
-    # text of the chosen node stands beside its densest children: take in parents of no lower density and sum
-    top = best
-    for node in path:
-        if node.density >= threshold and node.total >= best.total:
-            top = node
-    if top.tag in ("p", "span", "b", "i", "em", "strong", "a", "h1", "h2", "h3", "h4", "h5", "h6") and top is not body:
-        top = top.parent  # a single paragraph is no page: its siblings belong to it
-    article = top
-    while article is not body and article.tag not in ("article", "main"):
-        article = article.parent
-    return "\n\n".join(_blocks(article if article is not body else top))
-
-
-def _under(node: Node, top: Node) -> bool:
-    while node and node is not top:
-        node = node.parent
-    return node is not None
+    return "\n\n".join(_blocks(body, _marked(order, body)))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -238,6 +238,16 @@ def test_main_text(spark):
     assert not op05.op05_html(rows.where("false")).count()
 
 
+def test_main_text_of_several_containers():
+    p = lambda word: f"<p>{' '.join([word] * 50)}</p>"
+    links = "<div>" + "".join(f"<a href=/{i}>Link number {i}</a> " for i in range(12)) + "</div>"
+    article = f"<div class=content><div><h2>One</h2>{p('alpha') * 3}</div><h2>Two</h2><div>{p('gamma') * 3}</div><div>{p('delta') * 3}</div></div>"
+    whole = ["One", *[" ".join(["alpha"] * 50)] * 3, "Two", *[" ".join(["gamma"] * 50)] * 3, *[" ".join(["delta"] * 50)] * 3]
+    for page in (article, f"<div id=page>{links}{article}{links}</div>", f"<body>{links}<div><div>{article}</div></div><span>Imprint</span></body>"):
+        assert op05.main_text(page).split("\n\n") == whole
+    assert op05.main_text(f"<body><div>{p('alpha')}<p><b>{'beta ' * 99}</b><br></p><p>End.</p></div>{links}</body>").endswith("End.")
+
+
 # 6
 
 
