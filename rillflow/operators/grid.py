@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .aggregates import ratio
 
 
@@ -95,20 +94,6 @@ def proximity(cells: DataFrame, sources: DataFrame, cell_size: float, reach: int
     return cells.select("row", "col").join(near, ["row", "col"], "left")
 
 
-def scratch(df: DataFrame) -> DataFrame:
-    """Writes to the cluster's checkpoint folder and reads back; iterations keep short plans so."""
-    import tempfile
-
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="rillflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/rillflow-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def regions(cells: DataFrame, diagonal: bool = False) -> DataFrame:
     """Adds ``region``: connected cells of one value share a number.
 
@@ -151,7 +136,7 @@ def floodplain_access(cells: DataFrame, valley: str = "in_vb") -> DataFrame:
     key = lambda r, c: F.col(r).cast("long") * (1 << 31) + F.col(c).cast("long")
     kind = F.when(F.col("is_channel"), 1).when(F.col("is_road") | F.col("is_rail") | F.col("is_canal"), 0)
     rows = cells.filter(F.col(valley)).withColumn("_kind", kind).withColumn("_r", F.col("row") + step(0)).withColumn("_c", F.col("col") + step(1))
-    nodes = scratch(rows.select("row", "col", key("row", "col").alias("node"), F.when(F.col("_kind").isNull() & F.col("fd").isNotNull(), key("_r", "_c")).alias("next"), "_kind"))
+    nodes = written(rows.select("row", "col", key("row", "col").alias("node"), F.when(F.col("_kind").isNull() & F.col("fd").isNotNull(), key("_r", "_c")).alias("next"), "_kind"))
     known = nodes.select(F.col("node").alias("next"))
     open_ended = nodes.join(known, "next", "left_semi").select("node", "next").unionByName(nodes.join(known, "next", "left_anti").select("node", F.lit(None).cast("long").alias("next")))
     ends = pointer_ends(open_ended)

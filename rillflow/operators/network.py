@@ -2,105 +2,132 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 
-def _scratch(df: DataFrame) -> DataFrame:
-    from .grid import scratch
 
-    return scratch(df)
-
-
-def closure(edges: DataFrame, source: str, target: str, max_steps: int = 64) -> DataFrame:
+def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
     """(up, down, steps): every node with everything downstream of it, itself not included.
 
-    Paths are doubled in each round: paths of up to 2^k steps are joined to each other.
+    Paths are doubled in each round: paths of up to 2^k steps are joined to each other, until no pair is added.  The
+    result has one row per pair, so it is for lists of what lies downstream; sums along a network take ``upstream_sum``,
+    which holds one row per node.
     """
-    known = _scratch(edges.filter(F.col(target).isNotNull() & (F.col(source) != F.col(target))).select(F.col(source).alias("up"), F.col(target).alias("down")).distinct().withColumn("steps", F.lit(1)))
+    known = written(edges.filter(F.col(target).isNotNull() & (F.col(source) != F.col(target))).select(F.col(source).alias("up"), F.col(target).alias("down")).distinct().withColumn("steps", F.lit(1)))
     n = known.count()
-    for _ in range(max_steps):
+    while True:
         more = known.join(known.select(F.col("up").alias("down"), F.col("down").alias("_d"), F.col("steps").alias("_s")), "down").select("up", F.col("_d").alias("down"), (F.col("steps") + F.col("_s")).alias("steps"))
-        known = _scratch(known.unionByName(more).filter("up <> down").groupBy("up", "down").agg(F.min("steps").alias("steps")))
+        known = written(known.unionByName(more).filter("up <> down").groupBy("up", "down").agg(F.min("steps").alias("steps")))
         now = known.count()
         if now == n:
-            break
+            return known
         n = now
-    return known
+
+
+def _doubled(nodes: DataFrame, own: Column, above: Column, both: Column) -> DataFrame:
+    """(node, acc) for (node, next, value): ``acc`` gathers the values of a node and of all that drain to it.
+
+    Before round k a node's ``acc`` covers what lies less than 2^k steps above it and its pointer leads 2^k steps down; the
+    round sends ``acc`` along the pointer (combined by ``above``, joined to the node's own by ``both``) and doubles the
+    pointer.  A tree n deep takes log2(n) rounds of one row per node.
+    """
+    state = written(nodes.select("node", "next", own.alias("acc")))
+    moving = state.filter("next is not null").count()
+    while moving:
+        sent = state.filter("next is not null").groupBy(F.col("next").alias("node")).agg(above.alias("more"))
+        to = state.select(F.col("node").alias("next"), F.col("next").alias("_next"))
+        state = written(state.join(sent, "node", "left").join(to, "next", "left").select("node", F.col("_next").alias("next"), both.alias("acc")))
+        left = state.filter("next is not null").count()
+        if left == moving:
+            raise ValueError("the network has a cycle")
+        moving = left
+    return state.select("node", "acc")
 
 
 def upstream_sum(nodes: DataFrame, key: str, next_key: str, value: str) -> DataFrame:
-    """(key, upstream): the value of a node and of all nodes that drain to it."""
-    c = closure(nodes.select(key, next_key), key, next_key)
-    to = nodes.select(F.col(key).alias("up"), F.col(value).alias("_v"))
-    above = c.join(to, "up").groupBy(F.col("down").alias(key)).agg(F.sum("_v").alias("_above"))
-    return nodes.select(key, value).join(above, key, "left").select(key, (F.col(value) + F.coalesce("_above", F.lit(0))).alias("upstream"))
-
-
-def upstream_sum_recursive(nodes: DataFrame, key: str, next_key: str, value: str, levels: int = 1000, rows: int = 100_000_000) -> DataFrame:
-    """The same by a recursive query, for trees whose depth is within Spark's limits."""
-    spark = nodes.sparkSession
-    nodes.select(F.col(key).alias("k"), F.col(next_key).alias("n"), F.col(value).alias("v")).createOrReplaceTempView("_upstream_nodes")
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(levels))
-    spark.conf.set("spark.sql.cteRecursionRowLimit", str(rows))
-    return spark.sql(f"""
-        WITH RECURSIVE flow AS (
-          SELECT k, n AS nxt, v, k AS at FROM _upstream_nodes
-          UNION ALL
-          SELECT f.k, e.n, f.v, e.k FROM flow f JOIN _upstream_nodes e ON f.nxt = e.k
-        ) SELECT at AS {key}, sum(v) AS upstream FROM flow GROUP BY at""")
-
-
-def pointer_ends(nodes: DataFrame, max_rounds: int = 40) -> DataFrame:
+    """(key, upstream): the value of a node and of all nodes that drain to it.  A null value counts as 0; a cycle is an
+    error."""
+    rows = nodes.select(F.col(key).alias("node"), F.col(next_key).alias("next"), F.coalesce(F.col(value), F.lit(0)).alias("value"))
+    out = _doubled(rows, F.col("value"), F.sum("acc"), F.col("acc") + F.coalesce("more", F.lit(0)))
+    return out.select(F.col("node").alias(key), F.col("acc").alias("upstream"))
+
+
+def length_to_mouth(nodes: DataFrame, key: str, next_key: str, value: str) -> DataFrame:
+    """(key, total): the value of a node and of all nodes downstream of it, by doubled pointers."""
+    state = written(nodes.select(F.col(key).alias("node"), F.col(next_key).alias("next"), F.coalesce(F.col(value), F.lit(0)).alias("acc")))
+    moving = state.filter("next is not null").count()
+    while moving:
+        to = state.select(F.col("node").alias("next"), F.col("next").alias("_next"), F.col("acc").alias("_acc"))
+        state = written(state.join(to, "next", "left").select("node", F.col("_next").alias("next"), (F.col("acc") + F.coalesce("_acc", F.lit(0))).alias("acc")))
+        left = state.filter("next is not null").count()
+        if left == moving:
+            raise ValueError("the network has a cycle")
+        moving = left
+    return state.select(F.col("node").alias(key), F.col("acc").alias("total"))
+
+
+def pointer_ends(nodes: DataFrame) -> DataFrame:
     """(node, end, cycle) for (node, next): where following the pointers leads.
 
     A node without a next ends at itself.  Pointers are doubled; those that still move after as many rounds as all nodes
     could need are on or lead to a cycle.
     """
-    p = _scratch(nodes.select("node", F.coalesce("next", "node").alias("at"), F.col("next").isNull().alias("done")))
-    rounds = max(1, min(max_rounds, max(nodes.count(), 1).bit_length() + 1))
+    p = written(nodes.select("node", F.coalesce("next", "node").alias("at"), F.col("next").isNull().alias("done")))
+    rounds = max(nodes.count(), 1).bit_length() + 1
     for _ in range(rounds):
         to = p.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("done").alias("_done"))
         moved = p.filter("not done").join(to, "at").select("node", F.col("_at").alias("at"), F.col("_done").alias("done"))
-        p = _scratch(p.filter("done").unionByName(moved))
+        p = written(p.filter("done").unionByName(moved))
         if p.filter("not done").isEmpty():
             break
     return p.select("node", F.col("at").alias("end"), (~F.col("done")).alias("cycle"))
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for edges (a, b): the smallest node that each node is linked with.
 
-    Labels are passed along edges and then to the labels' own labels, so distances shrink with each round.
+    Labels are passed along edges and then to the labels' own labels, so distances shrink with each round; rounds end
+    when no label changes.
     """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")).filter("u <> v").distinct()
-    both = _scratch(both)
-    label = _scratch(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")))
-    for _ in range(max_rounds):
+    both = written(both)
+    label = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")))
+    while True:
         nearby = both.join(label.select(F.col("u").alias("v"), F.col("l").alias("lv")), "v").groupBy("u").agg(F.min("lv").alias("m"))
         best = label.join(nearby, "u").select("u", F.col("l").alias("old"), F.least("l", "m").alias("l"))
         # a label hooks onto the best label any of its members saw, then jumps
         hook = best.groupBy(F.col("old").alias("h")).agg(F.min("l").alias("hl"))
         jumped = best.join(hook, best["l"] == hook["h"], "left").select("u", "old", F.least("l", F.coalesce("hl", "l")).alias("l"))
-        now = _scratch(jumped)
-        done = now.filter("l <> old").isEmpty()
+        now = written(jumped)
         label = now.select("u", "l")
-        if done:
-            break
-    return label.select(F.col("u").alias("node"), F.col("l").alias("component"))
+        if now.filter("l <> old").isEmpty():
+            return label.select(F.col("u").alias("node"), F.col("l").alias("component"))
+
+
+def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Adds the row's number (from 1) in a total order, without a window over the whole table.
+
+    Rows are range-partitioned and sorted; a row's number is its place in its partition and the rows of the partitions
+    before, of which there are as many numbers as partitions.
+    """
+    rows = written(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
+    part = F.shiftright("_m", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    numbered = rows.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(name))
 
 
 def level_paths(reaches: DataFrame, key: str, next_key: str, length: str) -> DataFrame:
-    """(key, level_path): paths are numbered by the length from their headwater to the mouth, longest first; a reach belongs
-    to the longest path through it."""
-    c = closure(reaches.select(key, next_key), key, next_key).select("up", "down")
-    through = c.unionByName(reaches.select(F.col(key).alias("up"), F.col(key).alias("down")))
-    heads = reaches.join(reaches.select(F.col(next_key).alias(key)).distinct(), key, "left_anti").select(F.col(key).alias("up"))
-    on = through.join(heads, "up", "left_semi")
-    total = on.join(reaches.select(F.col(key).alias("down"), F.col(length).alias("_l")), "down").groupBy("up").agg(F.sum("_l").alias("total"))
-    # one row per headwater: a global rank sorts headwaters only
-    ranked = total.withColumn("level_path", F.row_number().over(Window.orderBy(F.desc("total"), "up")))
-    return on.join(ranked.select("up", "level_path"), "up").groupBy(F.col("down").alias(key)).agg(F.min("level_path").alias("level_path"))
+    """(key, level_path): paths are numbered by the length from their headwater to the mouth, longest first (of equal ones
+    the smaller headwater); a reach belongs to the longest path through it."""
+    heads = reaches.join(reaches.select(F.col(next_key).alias(key)).distinct(), key, "left_anti").select(key)
+    order = ranked(length_to_mouth(reaches, key, next_key, length).join(heads, key, "left_semi"), [F.desc("total"), F.col(key)], "level_path")
+    rows = reaches.select(F.col(key).alias("node"), F.col(next_key).alias("next")).join(order.select(F.col(key).alias("node"), "level_path"), "node", "left")
+    out = _doubled(rows, F.col("level_path"), F.min("acc"), F.least("acc", "more"))
+    return out.select(F.col("node").alias(key), F.col("acc").alias("level_path"))
 
 
 def junctions(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
