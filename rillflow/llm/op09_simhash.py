@@ -21,10 +21,12 @@ id unless its component has no other.  Extra columns are ignored by ``components
 
 ``keep_one`` also takes a Jaccard similarity of 5-word shingles (``alike``), since 4 of 64 bits reach only about 0.96.
 At 0.8 about 10 bits differ, which no block keys propose without proposing most of all pairs.  So minhashes propose:
-``BANDS`` keys of ``ROWS`` minhashes each propose a pair of similarity s with probability 1 - (1 - s^4)^16, which is
-0.9998 at 0.8 and grows with s.  Every proposed pair between different components is decided by its exact similarity.
-A bucket is first tied to two of its members, so that a crowd of near copies is one component before the pairs that
-are left are listed.
+``BANDS`` keys of ``ROWS`` minhashes each put a pair of similarity s in one bucket with probability 1 - (1 - s^4)^16,
+which is 0.9998 at 0.8 and grows with s.  A bucket is one unit of work for one task; a bucket over ``UNIT`` members is dealt
+in parts, and each pair of parts is a unit, so that no task holds more than two parts.  Within a unit signatures discard
+pairs that are far below the similarity, pairs already linked are left out, and the exact similarity decides the rest;
+what leaves a task is a spanning forest of its links.  Members of dealt buckets are compared with two of their bucket
+first, so that a crowd of near copies is one component before parts are paired.
 """
 
 from __future__ import annotations
@@ -39,16 +41,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import per_core, ship, written
+from .util import at_most, per_core, ship, written
 
 WORDS, SEED, MAX_BITS = 4, 42, 4
-#: (first bit, width) of the six blocks.
-BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
+#: From so many fingerprints on, the 64 bits are cut into so many blocks, of which MAX_BITS may differ: more blocks make
+#: wider keys (21, 27, 32 and 35 bits) and more of them (15, 35, 70, 126 a fingerprint).
+CUTS = ((0, 6), (1 << 24, 7), (1 << 30, 8), (1 << 36, 9))
 N_PIVOTS = 8
 MAX_BUCKET = 4096
+#: Tables of at most so many rows of a few numbers are broadcast.
+BROADCAST_ROWS = 500_000
 #: The similarity of the pipeline's near copies.
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
+UNIT = 1024
 _TO_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SLICE = 1 << 15
 _MULTIPLY, _ADD = np.array([xxhash.xxh64_intdigest(f"minhash {i}".encode(), SEED) for i in range(2 * BANDS * ROWS)], np.uint64).reshape(2, -1)
@@ -65,12 +71,16 @@ def shingles(text: str | None, words: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(tokens[i : i + words]), SEED) for i in range(n)], np.uint64))
 
 
-def band_keys(own: np.ndarray) -> list[int]:
-    """One signed 64-bit key per band of minhashes."""
+def minhashes(own: np.ndarray) -> np.ndarray:
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(own), 2048):
         h = own[at : at + 2048, None] * (_MULTIPLY | np.uint64(1)) + _ADD
         least = np.minimum(least, (h ^ (h >> np.uint64(32))).min(axis=0))
+    return least
+
+
+def band_keys(least: np.ndarray) -> list[int]:
+    """One signed 64-bit key per band of minhashes."""
     return [signed(xxhash.xxh64_intdigest(bytes([k]) + least[k * ROWS : (k + 1) * ROWS].tobytes(), SEED)) for k in range(BANDS)]
 
 
@@ -122,11 +132,18 @@ def pivot_row(fp: Column) -> Column:
     return F.unhex(F.concat(*parts))
 
 
-def block_keys(fp: Column) -> Column:
+def blocks(n: int) -> tuple[tuple[int, int], ...]:
+    """(first bit, width) of n blocks of the 64 bits."""
+    edges = [64 * k // n for k in range(n + 1)]
+    return tuple((a, b - a) for a, b in zip(edges, edges[1:]))
+
+
+def block_keys(fp: Column, n_blocks: int, max_bits: int = MAX_BITS) -> Column:
+    """The keys that fingerprints at most ``max_bits`` apart share at least one of: all choices of the blocks left equal."""
     keys = []
-    for k, (a, b) in enumerate(combinations(BLOCKS, 2)):
-        x, y = (F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << n) - 1).cast("long")) for at, n in (a, b))
-        keys.append(F.lit(k).cast("long") * (1 << 22) + x * (1 << 11) + y)
+    for k, chosen in enumerate(combinations(blocks(n_blocks), n_blocks - max_bits)):
+        mask = signed(sum(((1 << width) - 1) << at for at, width in chosen))
+        keys.append(F.xxhash64(F.lit(k), fp.bitwiseAND(F.lit(mask))))
     return F.array(*keys)
 
 
@@ -163,7 +180,9 @@ def _linked(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, max_bits: int)
 
 def links(classes: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(a, b): links between distinct fingerprints ``classes.fp`` that have the components of all links."""
-    keyed = classes.select("fp", pivot_row(F.col("fp")).alias("pivots"), F.explode(block_keys(F.col("fp"))).alias("key"))
+    n = classes.count()
+    n_blocks = max(max_bits + 2, max(k for least, k in CUTS if n >= least))
+    keyed = classes.select("fp", pivot_row(F.col("fp")).alias("pivots"), F.explode(block_keys(F.col("fp"), n_blocks, max_bits)).alias("key"))
     keyed = keyed.repartition(per_core(classes.sparkSession), "key").sortWithinPartitions("key")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,48 +268,132 @@ def op09_simhash(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def alike(docs: DataFrame, similarity: float = SIMILARITY, words: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """The rows of each run of equal values in the first column, as columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        units = batch.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(units[1:] != units[:-1]) + 1).tolist(), len(units)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and held[0].column(0)[0] != batch.column(0)[a]:
+                yield pa.Table.from_batches(held).to_pydict()
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).to_pydict()
+
+
+_UNIT = "unit long, side int, band int, h long, root long, keys array<long>, sig binary, text string"
+
+
+def _compare(unit: dict[str, list], similarity: float, words: int) -> list[tuple[int, int]]:
+    """Links of one unit.  Side 0 is compared with side 1, rows of side 2 with each other."""
+    sides, keys, h, root = np.array(unit["side"]), np.array(unit["keys"], np.int64).reshape(len(unit["h"]), -1), unit["h"], unit["root"]
+    sig = np.frombuffer(b"".join(unit["sig"]), np.uint8).reshape(len(h), -1)
+    roots = np.array(root, np.int64)
+    left, right = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
+    if not len(left) or not len(right):
+        return []
+    band, width = unit["band"][0], sig.shape[1]
+    # four standard deviations below what a pair of the similarity has in common
+    need = int(similarity * width - 4.1 * (width * similarity * (1 - similarity)) ** 0.5)
+    sets: dict[int, frozenset] = {}
+    own = lambda i: sets[i] if i in sets else sets.setdefault(i, frozenset(shingles(unit["text"][i], words).tolist()))
+    forest, found = _Forest(), []
+    step = max(1, (1 << 24) // (len(right) * width))
+    for at in range(0, len(left), step):
+        rows = left[at : at + step]
+        agree = (sig[rows][:, None, :] == sig[right][None]).sum(axis=2)
+        i, j = np.nonzero((agree >= need) & (roots[rows][:, None] != roots[right][None]))
+        agree, i, j = agree[i, j], rows[i], right[j]
+        once = np.ones(len(i), bool) if sides[0] != 2 else i < j
+        if band > 0:  # pairs that an earlier bucket holds are decided there
+            once &= ~(keys[i, :band] == keys[j, :band]).any(axis=1)
+        agree, i, j = agree[once], i[once], j[once]
+        for k in np.argsort(-agree, kind="stable"):
+            a, b = int(i[k]), int(j[k])
+            if forest.root(root[a]) == forest.root(root[b]):
+                continue
+            x, y = own(a), own(b)
+            if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+                continue
+            both = len(x & y)
+            if both >= similarity * (len(x) + len(y) - both):
+                forest.link(root[a], root[b])
+                found.append((h[a], h[b]))
+    return found
+
+
+def alike(docs: DataFrame, similarity: float = SIMILARITY, words: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", unit: int = UNIT) -> DataFrame:
     """(doc_id, component_id) for every row: components of the pairs whose sets of shingles are at least so similar."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
+    n = per_core(spark)
 
-    @F.pandas_udf("h long, keys array<long>")
+    @F.pandas_udf("h long, keys array<long>, sig binary")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         own = [shingles(t, words) for t in texts]
-        return pd.DataFrame({"h": [signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) for x in own], "keys": [band_keys(x) for x in own]})
+        least = [minhashes(x) for x in own]
+        return pd.DataFrame({"h": [signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) for x in own], "keys": [band_keys(x) for x in least], "sig": [x.astype(np.uint8).tobytes() for x in least]})
 
-    @F.pandas_udf("boolean")
-    def near(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(shingles(x, words), shingles(y, words)) >= similarity for x, y in zip(a, b, strict=True)], dtype=bool)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _units(batches):
+            if found := _compare(rows, similarity, words):
+                yield pa.RecordBatch.from_pydict({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("s", sketch("text"))
-    rows = written(rows.select("doc_id", "text", "s.h", "s.keys"))
+    rows = written(rows.select("doc_id", "text", "s.h", "s.keys", "s.sig"))
     # equal sets of shingles are one class
-    classes = written(rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys")))
-    keyed = classes.select("h", F.explode("keys").alias("key"))
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-        texts = written(rows.select("h", "text").join(ends, "h", "left_semi").dropDuplicates(["h"]))
-        side = lambda x: texts.select(F.col("h").alias(x), F.col("text").alias(f"text_{x}"))
-        return written(pairs.join(side("a"), "a").join(side("b"), "b").where(near("text_a", "text_b")).select("a", "b"))
-
-    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    middles = keyed.groupBy("key").agg(*(F.min_by("h", F.xxhash64(F.lit(k), "h")).alias(f"m{k}") for k in range(2)), F.count(F.lit(1)).alias("n")).where("n > 1")
-    tied = keyed.join(middles, "key").select("h", F.explode(F.array("m0", "m1")).alias("m")).where("h != m")
-    tied = written(tied.select(*ordered("h", "m")).distinct())
-    found = similar(tied)
-    # what is left: pairs of a bucket that are not in one component yet
-    roots = connected(found).withColumnRenamed("a", "h").withColumnRenamed("b", "root")
-    labelled = written(keyed.join(middles.select("key"), "key", "left_semi").join(roots, "h", "left").select("key", "h", F.coalesce("root", "h").alias("root")))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    left = labelled.join(mixed, "key", "left_semi")
-    other = left.select("key", F.col("h").alias("o"), F.col("root").alias("o_root"))
-    rest = left.join(other, "key").where("root < o_root").select(*ordered("h", "o")).distinct().join(tied, ["a", "b"], "left_anti")
-    found = found.union(similar(written(rest)))
-    roots = connected(found)
-    rooted = classes.join(roots, classes["h"] == roots["a"], "left").select("h", "least", F.coalesce("b", "h").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = rooted.join(smallest, "root").select("h", "component_id")
+    classes = written(rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"), F.first("sig").alias("sig")))
+    keyed = classes.select("h", F.posexplode("keys").alias("band", "key"))
+    buckets = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("h", F.xxhash64(F.lit(0), "h")).alias("m0"), F.min_by("h", F.xxhash64(F.lit(1), "h")).alias("m1")).where("n > 1"))
+    # a large bucket's members would be one task's in a join by key, so the few large buckets are joined apart
+    large = buckets.where(F.col("n") > unit)
+    few = at_most(large, BROADCAST_ROWS)
+    large = F.broadcast(large) if few else large
+    in_large = keyed.join(large, "key")
+    in_small = (keyed.join(large.select("key"), "key", "left_anti") if few else keyed).join(buckets.where(F.col("n") <= unit), "key")
+
+    def linked(members: DataFrame) -> DataFrame:
+        """The links among members (unit, side, band, h, root)."""
+        wanted = written(members.select("h").distinct())
+        if at_most(wanted, BROADCAST_ROWS):
+            texts = rows.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+        else:  # equal sets are combined before the join, so that none crowds a task
+            texts = rows.groupBy("h").agg(F.first("text").alias("text")).join(wanted, "h", "left_semi")
+        full = members.join(texts, "h").join(classes.select("h", "keys", "sig"), "h")
+        dealt = full.select(*(x.split()[0] for x in _UNIT.split(", "))).repartition(n, "unit").sortWithinPartitions("unit")
+        return written(dealt.mapInArrow(compare, "a long, b long"))
+
+    found = None
+    parts = F.ceil(F.col("n") / unit).cast("int")
+    part = F.pmod(F.xxhash64(F.lit("part"), "h"), parts).cast("int")
+    member = lambda key, side: (key.alias("unit"), F.lit(side).alias("side"), "band", "h")
+    if not large.isEmpty():
+        # each part with two members of the bucket
+        own = in_large.select(*member(F.xxhash64("key", part), 0))
+        middles = large.select(F.explode(F.sequence(F.lit(0), parts - 1)).alias("p"), "key", F.explode(F.array("m0", "m1")).alias("h"))
+        middles = middles.select(F.xxhash64("key", "p").alias("unit"), F.lit(1).alias("side"), F.lit(0).alias("band"), "h").distinct()
+        found = linked(own.withColumn("band", F.lit(0)).unionByName(middles).withColumn("root", F.col("h")))
+    roots = connected(found).select(F.col("a").alias("h"), F.col("b").alias("root")) if found is not None else None
+    rooted = lambda df: df.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h")) if roots is not None else df.withColumn("root", F.col("h"))
+    members = in_small.select(*member(F.col("key"), 2))
+    if found is not None:
+        # the large buckets that still hold several components, in pairs of parts
+        left = written(rooted(in_large))
+        mixed = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+        left = left.join(F.broadcast(mixed) if few else mixed, "key", "left_semi").withColumn("p", part)
+        left = left.withColumn("q", F.explode(F.sequence(F.lit(0), parts - 1)))
+        pair = F.xxhash64("key", F.least("p", "q"), F.greatest("p", "q"))
+        side = F.when(F.col("p") == F.col("q"), 2).when(F.col("p") < F.col("q"), 0).otherwise(1)
+        members = members.unionByName(left.select(pair.alias("unit"), side.alias("side"), "band", "h"))
+    more = linked(rooted(members))
+    roots = connected(more if found is None else found.union(more))
+    of_class = classes.join(roots, classes["h"] == roots["a"], "left").select("h", "least", F.coalesce("b", "h").alias("root"))
+    smallest = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_class = of_class.join(smallest, "root").select("h", "component_id")
     return rows.select("doc_id", "h").join(of_class, "h").select("doc_id", "component_id")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-import uuid
 from pathlib import Path
 from typing import Any
 
@@ -12,29 +11,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir, table, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
-
-    The folder is read from the session; only where the session names none (tests on one machine) is a local
-    temporary folder set, so that later calls find the same one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="rillflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/rillflow-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage: writes ``df`` to the shared folder and reads it back."""
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["at_most", "bounded_sample", "crc_mod", "per_core", "scratch_dir", "share", "ship", "table", "written"]
 
 
 def ship(spark: SparkSession) -> None:
