@@ -86,3 +86,15 @@ def reach_type(perennial: Column, intermittent: Column, canal: Column) -> Column
 
 def owner_class(owner: Column, of: str = "BLM") -> Column:
     return F.when(owner == of, of).otherwise(f"Non-{of}")
+
+
+def basin_shape(area: Column, perimeter: Column, length: Column, relief: Column, streams: Column) -> dict[str, Column]:
+    """Shape of a catchment: circularity, elongation, form factor, relief ratio and drainage density."""
+    of = lambda a, b: a / F.nullif(b, F.lit(0.0))
+    return {
+        "circularity": of(4 * F.pi() * area, perimeter * perimeter),
+        "elongation": of(F.sqrt(area), length),
+        "form_factor": of(area, length * length),
+        "relief_ratio": of(relief, length),
+        "drainage_density": of(streams, area),
+    }

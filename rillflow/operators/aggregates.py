@@ -146,3 +146,30 @@ def cumulative_classes(df: DataFrame, zone: list[str], value: str, weight: str,
         cols.append(F.coalesce(F.sum(F.when(here, F.col(weight))), F.lit(0.0)).alias(name))
         before = top
     return df.groupBy(*zone).agg(*cols)
+
+
+def zero_filled(df: DataFrame, lookup: DataFrame, column: str, key: str, measures: dict[str, Column], empty: dict[str, object]) -> DataFrame:
+    """(key, measures) for every key of a lookup; keys without rows get the values of ``empty``."""
+    sums = df.groupBy(F.col(column).alias("_k")).agg(*(c.alias(n) for n, c in measures.items()))
+    return lookup.select(key).join(sums, F.col(key) == F.col("_k"), "left").select(key, *(F.coalesce(F.col(n), F.lit(empty[n])).alias(n) for n in measures))
+
+
+def filtered_sums(df: DataFrame, zone: list[str], cases: dict[str, tuple[str, Column | None]]) -> DataFrame:
+    """Many sums, each over the rows of its own condition, in one aggregation; a case without rows is 0."""
+    one = lambda value, cond: F.sum(value) if cond is None else F.sum(F.when(cond, F.col(value)).otherwise(0.0))
+    return df.groupBy(*zone).agg(*(one(*case).alias(name) for name, case in cases.items()))
+
+
+def generated(df: DataFrame, zone: list[str], spec: list[tuple[str, str, str, float, str | None]]) -> DataFrame:
+    """Aggregates from rows (name, method, field, factor, filter)."""
+    methods = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
+    value = lambda field, cond: F.when(F.expr(cond), F.col(field)) if cond else F.col(field)
+    return df.groupBy(*zone).agg(*((methods[m](value(field, cond)) * factor if factor != 1 else methods[m](value(field, cond))).alias(name) for name, m, field, factor, cond in spec))
+
+
+def electivity(df: DataFrame, column: str, length: str, number: str) -> DataFrame:
+    """(class, length, dams, pct_length, pct_dams, electivity): what share of the dams a class has for its share of the length."""
+    c = df.groupBy(F.col(column).alias("class")).agg(F.sum(length).alias("length"), F.sum(number).alias("dams"))
+    total = c.agg(F.sum("length").alias("_l"), F.sum("dams").alias("_d"))
+    pct_l, pct_d = ratio(100 * F.col("length"), F.col("_l")), ratio(100.0 * F.col("dams"), F.col("_d").cast("double"))
+    return c.crossJoin(F.broadcast(total)).select("class", "length", "dams", pct_l.alias("pct_length"), pct_d.alias("pct_dams"), ratio(pct_d, pct_l).alias("electivity"))

@@ -64,3 +64,8 @@ def longest_prefix_with(df: DataFrame, code: str, lengths: list[int], at_least:
     counts = df.select(F.explode(prefixes(code)).alias("prefix")).groupBy("prefix").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") >= at_least)
     codes = df.select(F.col(code).alias("code")).distinct().withColumn("prefix", F.explode(prefixes("code")))
     return codes.join(counts, "prefix").groupBy("code").agg(F.max_by("prefix", F.length("prefix")).alias("prefix"), F.max_by("n_rows", F.length("prefix")).alias("n_rows"))
+
+
+def rescale(value: Column, old_low: float, old_high: float, low: float = 0.0, high: float = 1.0) -> Column:
+    """A range of values mapped to another one."""
+    return low + (value - old_low) / (float(old_high) - old_low) * (high - low)

@@ -143,3 +143,44 @@ def floodplain_access(cells: DataFrame, valley: str = "in_vb") -> DataFrame:
     last = nodes.select(F.col("node").alias("end"), F.col("_kind").alias("at_end"))
     out = nodes.join(ends, "node").join(last, "end", "left")
     return out.select("row", "col", F.when(F.col("cycle"), 2).otherwise(F.col("at_end")).alias("access"))
+
+
+def outlines(labelled: DataFrame, cell_size: float) -> DataFrame:
+    """(region, value, first, n_cells, area, perimeter, rmin, rmax, cmin, cmax) of ``regions``: what a polygon round each
+    region would measure.
+
+    A side counts for the perimeter unless the cell behind it is of the same region: every cell shows its region to its four
+    neighbours, and one aggregation per cell tells how many of them share it.
+    """
+    sides = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (1, 0), (0, -1), (-1, 0))))
+    seen = labelled.select("row", "col", "region", "value", F.explode(sides).alias("t"))
+    own = (F.col("t.i") == 0) & (F.col("t.j") == 0)
+    met = seen.groupBy((F.col("row") + F.col("t.i")).alias("row"), (F.col("col") + F.col("t.j")).alias("col"), "region").agg(F.max(F.when(own, F.col("value"))).alias("value"), (F.count(F.lit(1)) - 1).alias("inner"), F.max(own).alias("own"))
+    return met.filter("own").groupBy("region", "value").agg(
+        F.min(F.col("row") * 1000 + F.col("col")).alias("first"), F.count(F.lit(1)).alias("n_cells"), (F.count(F.lit(1)) * cell_size * cell_size).alias("area"), (F.sum(4 - F.col("inner")) * cell_size).alias("perimeter"),
+        F.min("row").alias("rmin"), F.max("row").alias("rmax"), F.min("col").alias("cmin"), F.max("col").alias("cmax"),
+    )
+
+
+def tiled(cells: DataFrame, size: int) -> DataFrame:
+    """(tile_row, tile_col, values): one row per tile with its values in row-major order; null where there is no cell."""
+    at = (F.col("row") % size) * size + F.col("col") % size
+    tiles = cells.groupBy(F.floor(F.col("row") / size).alias("tile_row"), F.floor(F.col("col") / size).alias("tile_col")).agg(F.map_from_entries(F.collect_list(F.struct(at.cast("int"), F.col("value")))).alias("m"))
+    return tiles.select("tile_row", "tile_col", F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.try_element_at("m", i)).alias("values"))
+
+
+def untiled(tiles: DataFrame, size: int) -> DataFrame:
+    one = tiles.select("tile_row", "tile_col", F.posexplode("values").alias("_i", "value")).filter("value is not null")
+    return one.select((F.col("tile_row") * size + F.floor(F.col("_i") / size)).alias("row"), (F.col("tile_col") * size + F.col("_i") % size).alias("col"), "value")
+
+
+def rasterize(shapes: DataFrame, ring: str, cell_size: float) -> DataFrame:
+    """The columns of ``shapes`` but the ring, with (row, col) of every cell of which the centre lies in the ring."""
+    from ..functions.geometry import box, in_ring
+
+    keys = [c for c in shapes.columns if c != ring]
+    n = lambda v: F.floor(v / cell_size)
+    b = shapes.withColumn("_b", box(F.col(ring)))
+    cells = b.withColumn("row", F.explode(F.sequence(n(F.col("_b.ymin")), n(F.col("_b.ymax"))))).withColumn("col", F.explode(F.sequence(n(F.col("_b.xmin")), n(F.col("_b.xmax")))))
+    centre = lambda c: (F.col(c) + 0.5) * cell_size
+    return cells.filter(in_ring(centre("col"), centre("row"), F.col(ring))).select(*keys, "row", "col")

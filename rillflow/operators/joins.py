@@ -12,12 +12,13 @@ def with_override(base: DataFrame, override: DataFrame, keys: list[str], value:
     return base.join(o, keys, "left").withColumn(value, F.coalesce("_by", value)).drop("_by")
 
 
-def copy_attributes(target: DataFrame, source: DataFrame, key: str, attributes: list[str]) -> DataFrame:
-    """Attributes of the source written over those of the target, by key; absent keys keep what they have."""
+def copy_attributes(target: DataFrame, source: DataFrame, key: str, attributes: list[str], null_first: bool = False) -> DataFrame:
+    """Attributes of the source written over those of the target, by key; absent keys keep what they have, or with
+    ``null_first`` get null."""
     s = source.select(F.col(key).alias("_k"), *(F.col(a).alias(f"_{a}") for a in attributes))
     out = target.join(s, F.col(key) == F.col("_k"), "left")
     rest = [c for c in target.columns if c not in attributes]
-    return out.select(*rest, *(F.coalesce(F.col(f"_{a}"), F.col(a) if a in target.columns else F.lit(None)).alias(a) for a in attributes))
+    return out.select(*rest, *((F.coalesce(F.col(f"_{a}"), F.col(a)) if a in target.columns and not null_first else F.col(f"_{a}")).alias(a) for a in attributes))
 
 
 def not_processed(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,20 +28,24 @@ def not_processed(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFram
 def nearest_key(left: DataFrame, right: DataFrame, on: list[str], left_at: str, right_at: str, within: float) -> DataFrame:
     """Each left row with the right row of the same keys nearest to it, within a distance; of two as near the smaller.
 
-    Cells as long as the distance: a left row asks its own cell and the two beside it.
+    Left rows are asked about once per distinct (keys, place), in cells as long as the distance: a place asks its own cell and
+    the two beside it.  The answers are joined back, so rows without a match and equal rows stay.
     """
     cell = lambda c: F.floor(F.col(c) / within).cast("long")
-    ident = F.struct(*left.columns)
-    l = left.withColumn("_row", ident).withColumn("_cell", F.explode(F.array(cell(left_at) - 1, cell(left_at), cell(left_at) + 1)))
+    asked = left.select(*(F.col(k).alias(f"_l_{k}") for k in on), F.col(left_at).alias("_at")).distinct()
+    l = asked.withColumn("_cell", F.explode(F.array(cell("_at") - 1, cell("_at"), cell("_at") + 1)))
     r = right.select(*(F.col(c).alias(f"_r_{c}") for c in right.columns)).withColumn("_r_cell", cell(f"_r_{right_at}"))
-    same = [F.col(k) == F.col(f"_r_{k}") for k in on]
     cond = F.col("_cell") == F.col("_r_cell")
-    for s in same:
-        cond = cond & s
-    d = F.abs(F.col(left_at) - F.col(f"_r_{right_at}"))
+    for k in on:
+        cond = cond & (F.col(f"_l_{k}") == F.col(f"_r_{k}"))
+    d = F.abs(F.col("_at") - F.col(f"_r_{right_at}"))
     near = l.join(r, cond).filter(d <= within)
-    best = near.groupBy("_row").agg(F.min_by(F.struct(*(F.col(f"_r_{c}").alias(c) for c in right.columns)), F.struct(d, F.col(f"_r_{right_at}"))).alias("_n"), F.min(d).alias("distance"))
-    return best.select("_row.*", *(F.col(f"_n.{c}").alias(f"near_{c}") for c in right.columns if c not in on), "distance")
+    keys = [*(f"_l_{k}" for k in on), "_at"]
+    best = near.groupBy(*keys).agg(F.min_by(F.struct(*(F.col(f"_r_{c}").alias(c) for c in right.columns)), F.struct(d, F.col(f"_r_{right_at}"))).alias("_n"), F.min(d).alias("distance"))
+    back = F.col(left_at) == F.col("_at")
+    for k in on:
+        back = back & (F.col(k) == F.col(f"_l_{k}"))
+    return left.join(best, back, "left").select(*left.columns, *(F.col(f"_n.{c}").alias(f"near_{c}") for c in right.columns if c not in on), "distance")
 
 
 def grid_cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float) -> Column:

@@ -96,3 +96,12 @@ def stream_power(slope: Column, flow: Column) -> Column:
 def reach_power(slope: Column, flow: Column) -> Column:
     """Of a reach, rounded; the constants differ from those of a window."""
     return F.round(1000 * 9.80665 * slope * flow * 0.028316846592, 2)
+
+
+def acres_per_mile(area: Column, length: Column) -> Column:
+    """Square metres and metres to acres a mile."""
+    return ratio(area * 0.000247105, length / 1609.34)
+
+
+def hectares_per_km(area: Column, length: Column) -> Column:
+    return ratio(area / 10000.0, length / 1000.0)

@@ -114,14 +114,15 @@ def join_anti_missing(customer: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 @query("events", sql="""
-WITH e AS (SELECT DISTINCT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS second, event_type FROM events),
-l AS (SELECT DISTINCT user_id, second FROM e WHERE event_type = 'purchase'), r AS (SELECT DISTINCT user_id, second AS near_second FROM e WHERE event_type = 'click')
-SELECT user_id, second, near_second, abs(second - near_second) AS distance FROM l JOIN r USING (user_id) WHERE abs(second - near_second) <= 86400
-QUALIFY row_number() OVER (PARTITION BY user_id, second ORDER BY abs(second - near_second), near_second) = 1""")
+WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS second, event_type FROM events),
+l AS (SELECT event_id, user_id, second FROM e WHERE event_type = 'purchase'), r AS (SELECT DISTINCT user_id, second AS near_second FROM e WHERE event_type = 'click'),
+n AS (SELECT event_id, near_second, abs(second - near_second) AS distance FROM l JOIN r USING (user_id) WHERE abs(second - near_second) <= 86400
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY abs(second - near_second), near_second) = 1)
+SELECT l.event_id, l.user_id, l.second, n.near_second, n.distance FROM l LEFT JOIN n USING (event_id)""")
 def nearest_key_join(events: DataFrame) -> DataFrame:
     second = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
-    e = events.select("user_id", second.alias("second"), "event_type")
-    left = e.filter("event_type = 'purchase'").select("user_id", "second").distinct()
+    e = events.select("event_id", "user_id", second.alias("second"), "event_type")
+    left = e.filter("event_type = 'purchase'").select("event_id", "user_id", "second")
     right = e.filter("event_type = 'click'").select("user_id", "second").distinct()
     return joins.nearest_key(left, right, ["user_id"], "second", "second", 86400)
 

@@ -1 +1 @@
-"""sources of the engine."""
+"""Tables in and out."""
