@@ -1,22 +1,25 @@
 """Main text of web pages by composite text density.
 
 Each page's markup becomes a tree; scripts, styles, forms, navigation, headers, footers, sidebars, adverts and reader
-comments (by tag, role or class) count nothing.  Every node has the composite density: characters per tag,
-adjusted by its share of link characters and tags against those of the body.  A node's density sum is the sum of its
-children's densities.  The threshold is the smallest density on the path from the body to the node with the largest
-sum.  From the body down, every node that reaches it marks the node with the largest sum in its own subtree, so an
-article in several containers is found whole; a heading in front of marked text belongs to it.  All text blocks of the
-marked subtrees are returned.
+comments (by tag, role or a word of a class or id) count nothing, unless such a node is the page's wrapper: it holds the
+main element, a first-level heading or several of the page's parts, or all text there is.  Every node has the composite
+density: characters per tag, adjusted by its share of link characters and tags against those of the body.  A node's
+density sum is the sum of its children's densities; text that stands directly in a node is a child of its own.  The
+threshold is the smallest density on the path from the body to the node with the largest sum.  From the body down, every
+node that reaches it marks the node with the largest sum in its own subtree, so an article in several containers is found
+whole; a heading in front of marked text belongs to it.  All text blocks of the marked subtrees are returned.
 
 Defined results: null, empty or text-free html gives the empty text; unclosed, crossed and cut-off tags are closed
 where a browser would; character references are decoded; white space inside a block becomes one space; blocks are
-joined in page order by two line feeds.  Pages of any length are read whole; extra columns pass through.
+joined in page order by two line feeds.  Pages of any length and depth are read whole in linear time; repeated rows are
+read each; extra columns pass through, but for ``text`` and ``n_chars``, which are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -29,88 +32,133 @@ from .util import ship
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = BLOCK - {"html", "body", "title", "tr", "td", "th", "tbody", "thead", "tfoot", "caption"}
-SKIP = frozenset("script style noscript template head title iframe object svg canvas form button select textarea input nav header footer aside menu dialog".split())
+#: Elements without text of the page, wrapper or not.
+NEVER = frozenset("script style noscript template head title iframe object svg canvas button select textarea input".split())
+SKIP = NEVER | frozenset("form nav header footer aside menu dialog".split())
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-BOILERPLATE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|nav\w*|newsletter|notice|popup|promo\w*|related|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Words of a class or id that name a part of the page which is no main text, and first words that only say that the page has or lacks such a part.
+PARTS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disqus footer header masthead menu nav navbar navigation newsletter notice popup promo promotion related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets".split())
+STATES = frozenset("has no with without is not hide show hides shows left right full one two layout page".split())
+#: Parts of a page that only its wrapper holds two of.
+LANDMARKS = frozenset("nav header footer aside main".split())
+P_SCOPE = frozenset("table td th button object".split())
 SINGLE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPACE = re.compile(r"\s+")
 
 
+#: Bits of the tags that a start tag may close, for what is open within the nearest element that bounds them.
+BIT = {tag: 1 << k for k, tag in enumerate(["p", *SIBLING])}
+CLEARED: dict[str, int] = {}
+for _tag, _bounds in {"p": P_SCOPE, **SCOPE}.items():
+    for _bound in _bounds:
+        CLEARED[_bound] = CLEARED.get(_bound, 0) | BIT[_tag]
+CLOSED = {tag: sum(BIT[x] for x in closed) for tag, closed in SIBLING.items()}
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
+    __slots__ = ("tag", "parent", "children", "named", "skip", "link", "block", "open", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip or bool(parent and parent.skip)
+    def __init__(self, tag: str, parent: Node | None, named: bool):
+        self.tag, self.parent, self.named, self.skip = tag, parent, named, False
         self.link = tag == "a" or bool(parent and parent.link)
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.open = ((parent.open if parent else 0) & ~CLEARED.get(tag, 0)) | BIT.get(tag, 0)
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.best = self
 
 
+def _is_part(names: str) -> bool:
+    """Whether a class or id names a part: a word between hyphens, unless the first one says that the page has or lacks it."""
+    for name in names.lower().split():
+        words = name.replace("_", "-").split("-")
+        if not PARTS.isdisjoint(words) and words[0] not in STATES:
+            return True
+    return False
+
+
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None, False)
+        self.depth: Counter[str] = Counter()  # open elements by tag
+
+    def climb(self, to: Node) -> None:
+        while self.at is not to:
+            self.depth[self.at.tag] -= 1
+            self.at = self.at.parent
 
-    def close_to(self, names: set | frozenset, stop: set | frozenset = frozenset()) -> None:
+    def close_nearest(self, bits: int) -> None:
+        """Closes the nearest open element of those tags; every element above it is closed with it."""
         node = self.at
-        while node.parent and node.tag not in names:
-            if node.tag in stop:
-                return
+        while not BIT.get(node.tag, 0) & bits:
             node = node.parent
-        if node.parent:
-            self.at = node.parent
+        self.climb(node.parent)
 
     def handle_starttag(self, tag, attrs):
-        if tag == "body" and self.root.children:
-            self.close_to({"head"})
-        if tag in CLOSES_P:
-            self.close_to({"p"}, {"table", "td", "th", "button", "object"})
-        if tag in SIBLING:
-            self.close_to(SIBLING[tag], SCOPE[tag])
+        if self.depth["head"] and (tag == "body" or tag in BLOCK and tag not in ("html", "title")):
+            while self.depth["head"]:  # a body element ends an open head
+                self.climb(self.at.parent)
+        if tag in CLOSES_P and self.at.open & BIT["p"]:
+            self.close_nearest(BIT["p"])
+        if tag in CLOSED and self.at.open & CLOSED[tag]:
+            self.close_nearest(CLOSED[tag])
         values = dict(attrs)
-        names = f"{values.get('class') or ''} {values.get('id') or ''}"
-        structural = tag not in ("html", "body", "article", "main")
-        skip = tag in SKIP or (values.get("role") or "").lower() in ROLES or "hidden" in values or structural and bool(BOILERPLATE.search(names))
-        # a header inside an article introduces it
-        if tag == "header" and self.inside("article"):
-            skip = False
-        node = Node(tag, self.at, skip)
+        named = (values.get("role") or "").lower() in ROLES or "hidden" in values
+        if not named and tag not in ("html", "body", "article", "main"):
+            named = tag in SKIP or _is_part(f"{values.get('class') or ''} {values.get('id') or ''}")
+        if tag == "header" and self.depth["article"]:
+            named = False  # a header inside an article introduces it
+        node = Node(tag, self.at, named)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
-
-    def inside(self, tag: str) -> bool:
-        node = self.at
-        while node and node.tag != tag:
-            node = node.parent
-        return node is not None
+            self.depth[tag] += 1
 
     def handle_endtag(self, tag):
+        if not self.depth[tag]:
+            return
         node = self.at
-        while node and node.tag != tag:
+        while node.tag != tag:
             if tag not in BLOCK and node.tag in BLOCK:  # an inline end tag closes no block
                 return
             node = node.parent
-        if node and node.parent:
-            self.at = node.parent
+        self.climb(node.parent)
 
     def handle_data(self, data):
         self.at.children.append(data)
 
 
-def _measure(root: Node) -> list[Node]:
-    """Counts of every node, children before parents."""
+def _order(root: Node) -> list[Node]:
+    """All nodes, parents before children."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
         order.append(node)
         todo += [c for c in node.children if isinstance(c, Node)]
-    order.reverse()
+    return order
+
+
+def _skip(order: list[Node], lift: bool) -> None:
+    """Marks what counts nothing; a named node that wraps the page counts."""
+    parts: dict[Node, int] = {}
+    for node in reversed(order):
+        n = parts.get(node, 0)
+        if node.named and node.tag not in NEVER and (n >= 2 or lift):
+            node.named = False
+        n += 2 if node.tag in ("main", "h1") else node.tag in LANDMARKS
+        if node.parent and n:
+            parts[node.parent] = parts.get(node.parent, 0) + n
+    for node in order:
+        node.skip = node.named or bool(node.parent and node.parent.skip)
+
+
+def _measure(order: list[Node]) -> None:
+    """Counts of every node; children come before parents."""
     for node in order:
         if node.skip:
             continue
@@ -124,12 +172,11 @@ def _measure(root: Node) -> list[Node]:
                 node.link_chars += c.link_chars
                 node.tags += c.tags + 1
                 node.link_tags += c.link_tags + (c.tag == "a")
-    return order
 
 
-def _density(node: Node, body_ratio: float) -> float:
+def _density(c: int, t: int, lc: int, lt: int, body_ratio: float) -> float:
     """Characters per tag; links take away from it in the proportion of link to other text."""
-    c, t, lc, lt = node.chars, max(node.tags, 1), node.link_chars, node.link_tags
+    t = max(t, 1)
     if not c:
         return 0.0
     base = math.log(max(c * lc / max(c - lc, 1) + body_ratio * c, 0.0) + math.e)
@@ -168,12 +215,6 @@ def _blocks(node: Node, marked: set[Node]) -> list[str]:
     return out
 
 
-def _block(node: Node, body: Node) -> Node:
-    while node is not body and node.tag not in BLOCK:
-        node = node.parent
-    return node
-
-
 def _marked(order: list[Node], body: Node) -> set[Node]:
     """The nodes whose subtrees are the main text."""
     for node in order:  # children before parents; ties: the innermost
@@ -184,15 +225,16 @@ def _marked(order: list[Node], body: Node) -> set[Node]:
         node = node.parent
         path.append(node)
     threshold = min(n.density for n in path)
-    top = _block(top, body)
+    block = lambda n: n if n is body else n.block
+    top = block(top)
     if top.tag in SINGLE and top is not body:
-        top = _block(top.parent, body)  # a single paragraph is no page: its siblings belong to it
+        top = block(top.parent)  # a single paragraph is no page: its siblings belong to it
     marked, todo = {top}, [body]
     while todo:
         node = todo.pop()
         if node.density >= threshold and node is not top:
             if node is not body:
-                marked.add(_block(node.best, body))
+                marked.add(block(node.best))
             todo += [c for c in node.children if isinstance(c, Node) and not c.skip]
     # a heading stands in front of what it belongs to
     holds = {None}
@@ -211,23 +253,37 @@ def _marked(order: list[Node], body: Node) -> set[Node]:
     return marked
 
 
+def _text(order: list[Node]) -> str:
+    _measure(order)
+    root = order[-1]
+    body = next((n for n in reversed(order) if n.tag == "body"), root)
+    if not body.chars:
+        body = root
+    if not body.chars:
+        return ""
+    ratio = body.link_chars / body.chars
+    for node in order:
+        if node.skip:
+            continue
+        node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, ratio)
+        inner = [c for c in node.children if isinstance(c, Node) and not c.skip]
+        own = node.chars - sum(c.chars for c in inner)
+        node.total = sum(c.density for c in inner) + _density(own, 1, own if node.link else 0, int(node.link), ratio)
+    return "\n\n".join(_blocks(body, _marked(order, body)))
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = _Tree()
     tree.feed(html)
     tree.close()
-    order = _measure(tree.root)
-    body = next((n for n in reversed(order) if n.tag == "body"), tree.root)
-    if not body.chars:
-        return ""
-    ratio = body.link_chars / body.chars
-    for node in order:
-        node.density = 0.0 if node.skip else _density(node, ratio)
-        node.total = sum(c.density for c in node.children if isinstance(c, Node))
-        if not node.skip and any(isinstance(c, str) and c.strip() for c in node.children):
-            node.total = max(node.total, node.density)
-    return "\n\n".join(_blocks(body, _marked(order, body)))
+    order = _order(tree.root)
+    _skip(order, False)
+    children_first = order[::-1]
+    if not any(not n.skip and any(isinstance(c, str) and not c.isspace() for c in n.children) for n in order):
+        _skip(order, True)  # all text stands in nodes named as parts of a page
+    return _text(children_first)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
