@@ -1,15 +1,17 @@
 """Exact dedup: binary-fuse filters of an immutable snapshot screen the digests of a new batch.
 
 A text is normalised (every run of ASCII white space becomes one space) and hashed with SHA-256 over its whole bytes.
-``snapshot`` groups the digests of texts already taken in into exact buckets and builds, per shard of the digest space,
-a static 3-wise binary-fuse filter with 16-bit fingerprints; both are written once and not changed after.  ``screen``
-asks the filters about the batch's digests: those not found are certainly new and are grouped among themselves, the
-rest (real copies and about 1 in 65,000 of the new ones) join the exact buckets, where all 32 digest bytes and the
-length are compared.  Shards are sized by the number of digests, ``SHARD_KEYS`` each at most on average, and digests are grouped
-before anything is dealt out, so copies never crowd a shard.
-
-The comparison is of the whole digest and the length, not of the texts again: moving a third of all texts to
-compare them with their first copy would cost more than the corpus, and two texts with one SHA-256 aren't known.
+``write_snapshot`` groups the texts already taken in into exact buckets and builds, per shard of the digest space, a static
+3-wise binary-fuse filter with 16-bit fingerprints; both are written below one path, never changed after, and found again
+by ``open_snapshot``.  ``classes`` asks the filters about the digests of a batch: those not found are certainly new, and
+the batch's copies among them are grouped apart; the rest (real copies and about 1 in 65,000 of the new ones) fetch
+their texts and join the exact buckets byte by byte.  Copies within the batch are compared by their bytes too, so texts
+with one digest that differ are two classes.
+
+Shards hold about ``SHARD_KEYS`` digests of the snapshot; a batch with more digests to a shard is dealt to several tasks
+that each get the shard's filter, so a frame in a task is bounded whichever side is larger, also for an empty snapshot.
+Texts are grouped before they are dealt out, so copies never crowd a task, and only classes of several rows, spread over
+``SLICES`` or broadcast if they are few, are joined back to the rows.
 
 Defined results: null counts as empty; of equal texts the row with the smallest id stays; rows that repeat an id are
 counted each, and one id stays kept in each of them; a null id is never kept before another id, and a group of null
@@ -19,31 +21,42 @@ ids only keeps them.  Extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .util import per_core, ship, written
+from .util import at_most, per_core, scratch_dir, ship, written
 
 SHARD_KEYS = 200_000
+#: Tables of at most so many digests are broadcast.
+BROADCAST_ROWS = 300_000
+#: Tasks among which the rows of one digest are dealt in a larger join.
+SLICES = 32
+#: What a text is told by.
+KEYS = ("sha", "n", "norm")
 
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, sha, n): the digest and the length in bytes of each normalised text."""
-    norm = normalised(F.col(text))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(norm.cast("binary"), 256)).alias("sha"), F.octet_length(norm).alias("n"))
+def sha256(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """(doc_id, sha, n, norm): the digest and the length in bytes of each normalised text, and the text."""
+    norm = docs.select(F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("norm"))
+    return norm.select("doc_id", digest(F.col("norm")).alias("sha"), F.octet_length("norm").alias("n"), "norm")
 
 
-def grouped(rows: DataFrame) -> DataFrame:
-    """One row per digest: its smallest id and how many rows have it."""
-    return rows.groupBy("sha", "n").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+def grouped(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per key: its smallest id and how many rows have it."""
+    return rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
 
 
 # --- binary fuse filter ---------------------------------------------------------------------------------------------
@@ -126,51 +139,111 @@ def shard_of(sha: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(sha), F.lit(shards)).cast("int")
 
 
-def snapshot(rows: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, DataFrame, int]:
-    """The exact buckets (sha, n, least, copies), the filters (shard, filter), and the number of shards."""
-    ship(rows.sparkSession)
-    buckets = written(grouped(rows))
-    shards = max(per_core(rows.sparkSession), -(-buckets.count() // shard_keys))
+@dataclass
+class Snapshot:
+    #: (sha, n, norm, least, copies): the exact buckets, one row per text
+    buckets: DataFrame
+    #: (sha, n) of digests that several texts have (as good as never)
+    clashes: DataFrame
+    #: (shard, filter, shards)
+    filters: DataFrame
+    shards: int
+
+
+def write_snapshot(docs: DataFrame, path: str, shard_keys: int = SHARD_KEYS, doc_id: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256) -> Snapshot:
+    """Writes the exact buckets and the filters of ``docs`` below a path, which must not exist yet."""
+    spark = docs.sparkSession
+    ship(spark)
+    grouped(digests(docs, doc_id, text, digest), *KEYS).write.parquet(f"{path}/buckets")
+    keys = spark.read.parquet(f"{path}/buckets").select("sha", "n")
+    clashing(keys).write.parquet(f"{path}/clashes")
+    shards = max(per_core(spark), -(-keys.count() // shard_keys))
 
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"shard": [key[0]], "filter": [build_filter(_keys(part["sha"]))]})
 
-    filters = buckets.select(shard_of(F.col("sha"), shards).alias("shard"), "sha").groupBy("shard").applyInPandas(build, "shard int, filter binary")
-    return buckets, written(filters), shards
+    filters = keys.select(shard_of(F.col("sha"), shards).alias("shard"), "sha").groupBy("shard").applyInPandas(build, "shard int, filter binary")
+    filters.withColumn("shards", F.lit(shards)).write.parquet(f"{path}/filters")
+    return open_snapshot(spark, path)
+
 
+def clashing(keys: DataFrame) -> DataFrame:
+    return keys.groupBy("sha", "n").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("sha", "n")
 
-def screen(batch: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
+
+def open_snapshot(spark: SparkSession, path: str) -> Snapshot:
+    buckets, clashes, filters = (spark.read.parquet(f"{path}/{x}") for x in ("buckets", "clashes", "filters"))
+    first = filters.select("shards").first()
+    return Snapshot(buckets, clashes, filters, first.shards if first else 1)
+
+
+def screen(batch: DataFrame, snapshot: Snapshot, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """Adds ``maybe`` to grouped digests of a batch: false means certainly not in the snapshot."""
+    if snapshot.filters.isEmpty():
+        return batch.withColumn("maybe", F.lit(False))
+    slices = max(1, -(-batch.count() // (snapshot.shards * shard_keys)))
 
     def ask(key: tuple, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         rows["maybe"] = in_filter(own["filter"].iloc[0], _keys(rows["sha"])) if len(own) else False
-        return rows.drop(columns="shard")
+        return rows.drop(columns=["shard", "slice"])
 
-    left = batch.withColumn("shard", shard_of(F.col("sha"), shards)).groupBy("shard")
+    left = batch.withColumn("shard", shard_of(F.col("sha"), snapshot.shards)).withColumn("slice", F.pmod(F.xxhash64(F.lit("slice"), "sha"), F.lit(slices)))
+    filters = snapshot.filters.select("shard", "filter", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batch.schema)
-    return left.cogroup(filters.groupBy("shard")).applyInPandas(ask, f"{kinds}, maybe boolean")
-
-
-def dedup(rows: DataFrame, is_snapshot: Column, shard_keys: int = SHARD_KEYS) -> DataFrame:
-    """(doc_id, sha, keep_id, group_size) for digest rows, of which some are the snapshot and the others the batch."""
-    rows = written(rows.withColumn("_old", is_snapshot))
-    buckets, filters, shards = snapshot(rows.where("_old").drop("_old"), shard_keys)
-    batch = written(screen(grouped(rows.where("not _old").drop("_old")), filters, shards))
-    positives = batch.where("maybe").select(F.col("sha").alias("p_sha"), F.col("n").alias("p_n"), F.col("least").alias("p_least"), F.col("copies").alias("p_copies"))
-    same = (F.col("sha") == F.col("p_sha")) & (F.col("n") == F.col("p_n"))
-    known = buckets.join(positives, same, "left").select("sha", "n", F.least("least", "p_least").alias("keep_id"), (F.col("copies") + F.coalesce("p_copies", F.lit(0))).alias("group_size"))
-    new = batch.join(buckets.select("sha", "n"), ["sha", "n"], "left_anti").where("maybe").unionByName(batch.where("not maybe"))
-    classes = known.unionByName(new.select("sha", "n", F.col("least").alias("keep_id"), F.col("copies").alias("group_size")))
-    classes = classes.select(F.col("sha").alias("c_sha"), F.col("n").alias("c_n"), "keep_id", "group_size")
-    return rows.join(classes, (F.col("sha") == F.col("c_sha")) & (F.col("n") == F.col("c_n"))).select("doc_id", "sha", "keep_id", "group_size")
+    return left.groupBy("shard", "slice").cogroup(filters.groupBy("shard", "slice")).applyInPandas(ask, f"{kinds}, maybe boolean")
+
+
+def classes(snapshot: Snapshot, batch: DataFrame, shard_keys: int = SHARD_KEYS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(sha, n, norm, keep_id, group_size): every text that several rows of snapshot and batch have, and every text of
+    which the digest had to be looked at.  ``batch`` is of ``digests``."""
+    screened = written(screen(grouped(batch, "sha", "n"), snapshot, shard_keys))
+    suspects = written(screened.where("maybe or copies > 1").select("sha", "n"))
+    if at_most(suspects, broadcast_rows):
+        suspects = F.broadcast(suspects)
+        positives = grouped(batch.join(suspects, ["sha", "n"], "left_semi"), *KEYS)
+    else:  # copies are combined before the join, so that none crowds a task
+        positives = grouped(batch, *KEYS).join(suspects, ["sha", "n"], "left_semi")
+    asked = suspects.withColumn("asked", F.lit(True)).unionByName(snapshot.clashes.withColumn("asked", F.lit(True))).distinct()
+    buckets = snapshot.buckets.join(F.broadcast(asked) if at_most(asked, broadcast_rows) else asked, ["sha", "n"], "left").where("asked or copies > 1")
+    buckets = buckets.select(*KEYS, F.col("least").alias("old_least"), F.col("copies").alias("old_copies"))
+    both = positives.join(buckets, list(KEYS), "full")  # by the text itself: the byte check
+    return both.select(*KEYS, F.least("least", "old_least").alias("keep_id"), (F.coalesce("copies", F.lit(0)) + F.coalesce("old_copies", F.lit(0))).alias("group_size"))
+
+
+def assigned(rows: DataFrame, found: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, sha, keep_id, group_size) for rows of ``digests`` and the ``classes`` of all of them."""
+    found = written(found)
+    twice = written(clashing(found.select("sha", "n")))
+    out = ["doc_id", "sha", F.coalesce("keep_id", "doc_id").alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size")]
+    multiple = found.where("group_size > 1").select("sha", "n", "keep_id", "group_size")
+    apart = None
+    if not twice.isEmpty():  # texts of these digests are told apart by themselves
+        apart = rows.join(twice, ["sha", "n"], "left_semi").join(found, list(KEYS), "left").select(*out)
+        rows, multiple = rows.join(twice, ["sha", "n"], "left_anti"), multiple.join(twice, ["sha", "n"], "left_anti")
+    if at_most(multiple, broadcast_rows):
+        joined = rows.join(F.broadcast(multiple), ["sha", "n"], "left")
+    else:
+        slices = multiple.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+        joined = rows.drop("norm").withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))).join(slices, ["sha", "n", "slice"], "left")
+    joined = joined.select(*out)
+    return joined if apart is None else joined.unionByName(apart)
+
+
+def dedup(docs: DataFrame, is_snapshot: Column, path: str, shard_keys: int = SHARD_KEYS, broadcast_rows: int = BROADCAST_ROWS, digest: Callable[[Column], Column] = sha256) -> DataFrame:
+    """(doc_id, sha, keep_id, group_size) for all rows, of which some become the snapshot at ``path`` and the others the
+    batch."""
+    write_snapshot(docs.where(is_snapshot), path, shard_keys, digest=digest)
+    snapshot = open_snapshot(docs.sparkSession, path)
+    found = classes(snapshot, digests(docs.where(~is_snapshot), digest=digest), shard_keys, broadcast_rows)
+    return assigned(digests(docs, digest=digest), found, broadcast_rows)
 
 
 def op04_exact(docs: DataFrame) -> DataFrame:
     """The registered query: ids with an even crc32 are the snapshot, the others the new batch; the result is the same
     for any division."""
-    rows = digests(docs.select("doc_id", "text"))
+    docs = docs.select("doc_id", "text")
     old = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
-    out = dedup(rows, old)
+    out = dedup(docs, old, scratch_dir(docs.sparkSession))
     return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
