@@ -1,44 +1,58 @@
 """Toxicity by maximum-scoring segments.
 
-Every token has a log-odds of toxic to clean texts under Dirichlet priors in three levels: a word's counts are smoothed
-by those of its 4-character prefix, a prefix's by the rate of toxic texts.  A token's score is its log-odds less a
-drift, so that a clean text's scores sum up to less and less, and one linear scan finds every maximal scoring segment
-(each passage that can't be made better by lengthening or shortening).  Segment scores are calibrated by their
-extreme-value distribution, 1 - exp(-K m exp(-lambda S)) for the best of a clean text of m tokens: lambda and K come
-from clean training texts, the segments' normalised scores lambda S - ln(K m) that are above zero are summed up, and
-a logistic curve over the sum gives the score of the text.
+Every token has a log-odds of toxic to clean tokens under Dirichlet priors in three levels: a word's counts are smoothed
+by those of its 4-character prefix, a prefix's by the rate of all tokens.  A token's score is its log-odds less a drift, so
+that a clean text's scores sum up to less and less, and one linear scan finds every maximal scoring segment (each passage
+that can't be made better by lengthening or shortening).  Segment scores are calibrated by the extreme-value distribution
+of the best segment of a clean text of m tokens, P(best <= S) = exp(-K m exp(-lambda S)): lambda and K are its maximum
+likelihood over clean training texts, of which those without a segment count as best <= 0.  The segments' normalised scores
+lambda S - ln(K m) that are above zero are summed up, and a logistic curve over the sum, above a floor for labels that
+nothing in the text explains, gives the score of the text.
 
 ``fit`` learns from labelled rows, ``MAX_TRAIN_ROWS`` of them at most; token counts are a Spark aggregation, of which
-only odd tokens reach the driver.  Equal training texts count once.
+only odd tokens reach the driver.  Equal training texts count once.  The calibration sees each text through the table of
+the other ``FOLDS`` - 1 parts of the training texts.
 
 Defined results: null and empty texts have no segment and score as clean; without labelled rows of both kinds every
-text scores 0; repeated rows are scored each; labels, language, source and id are no inputs of a score.
+text scores 0; repeated rows are scored each; a column ``score`` of the input is replaced; labels, language, source and id
+are no inputs of a score.
 """
 
 from __future__ import annotations
 
 import math
-import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import bounded_sample, crc_mod, share, written
+from .util import at_most, bounded_sample, crc_mod, share, ship, written
 
 MAX_TRAIN_ROWS = 20_000
-#: Pseudo-texts that a word gets from its prefix, and a prefix from the whole.
-PRIOR = 6.0
+#: Pseudo-counts that a word gets from its prefix, and a prefix from the whole.
+PRIOR = 3.0
 PREFIX = 4
-#: A token is odd from so many log-odds on, if they are so many standard deviations from zero.
-MIN_LOG_ODDS, MIN_Z = 1.2, 2.0
-DRIFT = 0.15
+#: A token is odd from so many log-odds on, if it is in so many toxic texts, and so many standard deviations more often
+#: than clean ones would have it.
+MIN_LOG_ODDS, MIN_TOXIC, MIN_Z = 1.5, 3, 3.0
+DRIFT = 0.35
 CLEAN_TOKEN = -0.05
+FOLDS = 5
+#: Shares of labels that nothing in the text explains, of which the likeliest is taken.
+FLOORS = (0.0, 0.001, 0.002, 0.004, 0.006, 0.008, 0.01, 0.015, 0.02, 0.03)
 #: From this score on a text is called toxic.
 THRESHOLD = 0.7
-_WORD = re.compile(r"\w+")
+#: Prefix tables of at most so many rows are broadcast.
+BROADCAST_ROWS = 300_000
+_WORD = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
 
 
 @dataclass
@@ -49,13 +63,14 @@ class Model:
     k: float = 0.1
     slope: float = 0.0
     offset: float = -50.0
+    floor: float = 0.0
 
     def tokens(self, text: str | None) -> list[float]:
         out = []
-        for w in _WORD.findall((text or "").lower()):
+        for w in words_of(text):
             s = self.words.get(w)
             if s is None:
-                s = self.prefixes.get(w[:PREFIX], CLEAN_TOKEN)
+                s = self.prefixes.get(w[:PREFIX], CLEAN_TOKEN) if len(w) >= PREFIX else CLEAN_TOKEN
             out.append(s - DRIFT)
         return out
 
@@ -68,7 +83,7 @@ class Model:
 
     def score(self, text: str | None) -> float:
         z = self.offset + self.slope * self.statistic(text)
-        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+        return self.floor + (1 - self.floor) / (1 + math.exp(-z)) if z > -700 else self.floor
 
 
 def segments(scores: list[float]) -> list[tuple[int, int, float]]:
@@ -96,87 +111,131 @@ def segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right in stack]
 
 
-def _odds(toxic: Column, n: Column, parent: Column, base: Column) -> tuple[Column, Column, Column]:
-    """The smoothed rate of toxic texts, its log-odds against the base rate, and that in standard deviations."""
-    rate = (toxic + PRIOR * parent) / (n + PRIOR)
-    odds = F.log(rate / (1 - rate)) - F.log(base / (1 - base))
-    return rate, odds, odds / F.sqrt(1 / (toxic + PRIOR * base) + 1 / (n - toxic + PRIOR * (1 - base)))
+_COUNTS = ("toxic_tokens", "tokens", "toxic_texts", "texts")
+
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """(is_word, key, fold, counts) of words and prefixes in (text, label, fold)."""
 
-def _tables(words: DataFrame, toxic: str, n: str, base: float) -> Model:
-    """Log-odds of words and prefixes from the counts in two columns."""
-    own = words.select("word", F.substring("word", 1, PREFIX).alias("prefix"), F.col(toxic).alias("t"), F.col(n).alias("n")).where("n > 0")
-    rate, odds, z = _odds(F.col("pt"), F.col("pn"), F.lit(base), F.lit(base))
-    prefixes = own.groupBy("prefix").agg(F.sum("t").alias("pt"), F.sum("n").alias("pn")).select("prefix", rate.alias("p_rate"), odds.alias("p_odds"), z.alias("p_z"))
-    rate, odds, z = _odds(F.col("t"), F.col("n"), F.col("p_rate"), F.lit(base))
-    odd = lambda o, z: (F.col(o) >= MIN_LOG_ODDS) & (F.col(z) >= MIN_Z)
-    joined = own.join(prefixes, "prefix").select("word", odds.alias("odds"), z.alias("z"), "p_odds", "p_z")
-    chosen = joined.where(F.when(odd("p_odds", "p_z"), F.abs(F.col("odds") - F.col("p_odds")) > 0.5).otherwise(odd("odds", "z")))
-    found = chosen.select(F.lit(True).alias("is_word"), F.col("word").alias("key"), "odds").union(prefixes.where(odd("p_odds", "p_z") & (F.length("prefix") == PREFIX)).select(F.lit(False), "prefix", "p_odds")).collect()
+    @F.pandas_udf("array<struct<is_word:boolean,key:string,k:long>>")
+    def units(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            words = Counter(words_of(t))
+            prefixes: Counter = Counter()
+            for w, k in words.items():
+                if len(w) >= PREFIX:
+                    prefixes[w[:PREFIX]] += k
+            out.append([{"is_word": is_word, "key": w, "k": k} for is_word, found in ((True, words), (False, prefixes)) for w, k in found.items()])
+        return pd.Series(out)
+
+    found = rows.select("label", "fold", F.explode(units("text")).alias("u")).select("label", "fold", "u.*")
+    return found.groupBy("is_word", "key", "fold").agg(F.sum(F.col("k") * F.col("label")).alias("toxic_tokens"), F.sum("k").alias("tokens"), F.sum("label").alias("toxic_texts"), F.count(F.lit(1)).alias("texts"))
+
+
+def _tables(counted: DataFrame, texts: int, toxic_texts: int) -> Model:
+    """Log-odds of odd words and prefixes; ``counted`` has counts of words and prefixes."""
+    units = counted.groupBy("is_word", "key").agg(*(F.sum(c).alias(c) for c in _COUNTS))
+    sums = units.where("is_word").agg(F.sum("toxic_tokens"), F.sum("tokens")).first()
+    if not sums[1] or not 0 < sums[0] < sums[1] or not 0 < toxic_texts < texts:
+        return Model()
+    base, text_base = sums[0] / sums[1], toxic_texts / texts
+    logit = lambda x: F.log(x / (1 - x))
+    smoothed = lambda parent: (F.col("toxic_tokens") + PRIOR * parent) / (F.col("tokens") + PRIOR)
+    prefixes = units.where("not is_word").withColumn("rate", smoothed(F.lit(base)))
+    parents = prefixes.select(F.col("key").alias("prefix"), F.col("rate").alias("parent"))
+    parents = F.broadcast(parents) if at_most(parents, BROADCAST_ROWS) else parents
+    words = units.where("is_word").withColumn("prefix", F.when(F.length("key") >= PREFIX, F.substring("key", 1, PREFIX))).join(parents, "prefix", "left")
+    words = words.withColumn("rate", smoothed(F.coalesce("parent", F.lit(base))))
+    t, n = F.col("toxic_texts"), F.col("texts")
+    seen = (t + PRIOR * text_base) / (n + PRIOR)
+    z = (logit(seen) - math.log(text_base / (1 - text_base))) / F.sqrt(1 / (t + PRIOR * text_base) + 1 / (n - t + PRIOR * (1 - text_base)))
+    both = words.select("is_word", "key", "rate", *_COUNTS).unionByName(prefixes.select("is_word", "key", "rate", *_COUNTS))
+    odd = both.where(t >= MIN_TOXIC).withColumn("odds", logit(F.col("rate")) - math.log(base / (1 - base))).where((F.col("odds") >= MIN_LOG_ODDS) & (z >= MIN_Z))
+    found = odd.select("is_word", "key", "odds").collect()  # bounded by the sample, and few of its words
     return Model(words={r.key: r.odds for r in found if r.is_word}, prefixes={r.key: r.odds for r in found if not r.is_word})
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", max_rows: int = MAX_TRAIN_ROWS) -> Model:
     """The tables come from all training rows; the calibration from rows of which tables of the others know nothing."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    rows = bounded_sample(rows, F.col("key"), max_rows).dropDuplicates(["text"])
-    rows = rows.select("text", "label", (F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(3)) != 0).cast("int").alias("first")).persist()
-    try:
-        n, toxic, n_first, toxic_first = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0)), F.coalesce(F.sum("first"), F.lit(0)), F.coalesce(F.sum(F.col("label") * F.col("first")), F.lit(0))).first()
-        if not (0 < toxic < n and 0 < toxic_first < n_first):
-            return Model()
-        tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), 1))
-        words = rows.select("label", "first", F.explode(tokens).alias("word")).groupBy("word").agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n"), F.sum(F.col("label") * F.col("first")).alias("t1"), F.sum("first").alias("n1"))
-        words = written(words)
-        base = _tables(words, "t1", "n1", toxic_first / n_first)
-        _calibrate(base, rows.where("first = 0"))
-        model = _tables(words, "t", "n", toxic / n)
-        model.lam, model.k, model.slope, model.offset = base.lam, base.k, base.slope, base.offset
-        return model
-    finally:
-        rows.unpersist()
-
-
-def _calibrate(model: Model, rows: DataFrame) -> None:
-    """lambda and K from clean texts, then the logistic curve; what comes to the driver is a few numbers a row."""
-    shared = share(rows.sparkSession, model)
+    rows = bounded_sample(rows, F.col("key"), max_rows).groupBy("text").agg(F.max("label").alias("label"))
+    rows = written(rows.select("text", "label", F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(FOLDS)).cast("int").alias("fold")))
+    per_fold = {r.fold: (r.n, r.t) for r in rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t")).collect()}
+    n, toxic = (sum(x[k] for x in per_fold.values()) for k in (0, 1))
+    if not 0 < toxic < n:
+        return Model()
+    ship(labelled.sparkSession)
+    counted = written(_counted(rows))
+    parts = [_tables(counted.where(F.col("fold") != k), n - per_fold.get(k, (0, 0))[0], toxic - per_fold.get(k, (0, 0))[1]) for k in range(FOLDS)]
+    model = _tables(counted, n, toxic)
+    _calibrate(model, parts, rows)
+    return model
+
+
+def extreme_value_fit(best: np.ndarray, m: np.ndarray) -> tuple[float, float]:
+    """Maximum likelihood (lambda, K) of P(best <= S) = exp(-K m exp(-lambda S)), texts without a segment being cut at 0."""
+    some = best > 0
+    n = some.sum()
+    if n < 3:
+        return 1.0, max(n, 0.5) / max(m.sum(), 1)
+    scores, lengths = best[some], m[some]
+    k_of = lambda lam: n / ((lengths * np.exp(-lam * scores)).sum() + m[~some].sum())
+    slope = lambda lam: n / lam - scores.sum() + k_of(lam) * (lengths * scores * np.exp(-lam * scores)).sum()
+    low, high = 0.05, 5.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if slope(middle) > 0 else (low, middle)
+    return low, float(k_of(low))
+
+
+def logistic_fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """(offset, slope, floor) of P = floor + (1 - floor) / (1 + exp(-offset - slope x)), the likeliest with a small ridge."""
+    best = None
+    for floor in FLOORS:
+        a, b = -5.0, 0.7
+        for _ in range(200):
+            s = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
+            p = np.clip(floor + (1 - floor) * s, 1e-9, 1 - 1e-9)
+            d = (1 - floor) * s * (1 - s)
+            r, w = (y - p) / (p * (1 - p)) * d, d * d / (p * (1 - p)) + 1e-9
+            g = np.array([r.sum(), (r * x).sum() - 0.5 * b])
+            h = np.array([[w.sum() + 1e-3, (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + 0.5]])
+            da, db = np.linalg.solve(h, g)
+            a, b = a + float(np.clip(da, -0.5, 0.5)), b + float(np.clip(db, -0.1, 0.1))
+        p = np.clip(floor + (1 - floor) / (1 + np.exp(-np.clip(a + b * x, -30, 30))), 1e-9, 1 - 1e-9)
+        likely = (y * np.log(p) + (1 - y) * np.log(1 - p)).sum() - 0.25 * b * b
+        if best is None or likely > best[0]:
+            best = (likely, a, b, floor)
+    return best[1:]
+
+
+def _calibrate(model: Model, parts: list[Model], rows: DataFrame) -> None:
+    """lambda and K from clean texts, then the logistic curve; what comes to the driver is a few numbers a row of the
+    bounded sample."""
+    shared = share(rows.sparkSession, parts)
 
     @F.pandas_udf("m long, best double")
-    def measure(texts: pd.Series) -> pd.DataFrame:
+    def measure(texts: pd.Series, folds: pd.Series) -> pd.DataFrame:
         out = []
-        for t in texts:
-            s = shared.value.tokens(t)
+        for t, k in zip(texts, folds, strict=True):
+            s = shared.value[k].tokens(t)
             out.append((len(s), max((x for _, _, x in segments(s)), default=0.0)))
         return pd.DataFrame(out, columns=["m", "best"])
 
-    seen = rows.select("label", measure("text").alias("x")).select("label", "x.*").toPandas()
+    seen = rows.select("label", measure("text", "fold").alias("x")).select("label", "x.*").toPandas()
     clean = seen[(seen["label"] == 0) & (seen["m"] > 0)]
-    if len(clean):
-        best, length = clean["best"].to_numpy(float), clean["m"].mean()
-        some = best[best > 0]
-        # the tail of an extreme-value distribution falls by lambda a point; log-odds scores have lambda 1 at most
-        model.lam = float(np.clip(1 / some.mean(), 0.3, 1.0)) if len(some) > 20 else 1.0
-        # the share of clean texts without any segment is exp(-K m)
-        model.k = float(np.clip(-math.log(np.clip(np.mean(best <= 0), 0.01, 0.999)) / length, 1e-6, 1.0))
-    shared = share(rows.sparkSession, model)
+    lam, k = extreme_value_fit(clean["best"].to_numpy(float), clean["m"].to_numpy(float))
+    for m in (model, *parts):
+        m.lam, m.k = lam, k
+    shared = share(rows.sparkSession, parts)
 
     @F.pandas_udf("double")
-    def statistic(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.statistic(t) for t in texts])
-
-    data = rows.select("label", statistic("text").alias("x")).toPandas()
-    x, y = data["x"].to_numpy(float), data["label"].to_numpy(float)
-    a, b = math.log(max(y.mean(), 1e-6) / max(1 - y.mean(), 1e-6)), 0.0
-    for _ in range(50):  # Newton steps with a small ridge, so that separable labels end too
-        p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([(y - p).sum(), ((y - p) * x).sum() - 0.5 * b])
-        h = np.array([[w.sum() + 1e-3, (w * x).sum()], [(w * x).sum(), (w * x * x).sum() + 0.5]])
-        da, db = np.linalg.solve(h, g)
-        a, b = a + float(np.clip(da, -2, 2)), b + float(np.clip(db, -2, 2))
-        if abs(da) + abs(db) < 1e-8:
-            break
-    model.offset, model.slope = a, b
+    def statistic(texts: pd.Series, folds: pd.Series) -> pd.Series:
+        return pd.Series([shared.value[k].statistic(t) for t, k in zip(texts, folds, strict=True)], dtype="float64")
+
+    data = rows.select("label", statistic("text", "fold").alias("x")).toPandas()
+    model.offset, model.slope, model.floor = logistic_fit(data["x"].to_numpy(float), data["label"].to_numpy(float))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
