@@ -1,7 +1,9 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 Words become template tokens: a number is ``<num>``, a word of ``UNITS`` behind a number is ``<unit>``, a capitalised
-word inside a sentence is ``<name>``, and any other word is itself in lower case.  Windows of ``WINDOW`` tokens are
+word inside a sentence is ``<name>`` (one for a name of two words, told by the first), and any other word is itself in
+lower case: number words and a name that begins a sentence too.  A comma between groups of three digits belongs to the
+number.  Windows of ``WINDOW`` tokens are
 hashed and joined with the windows of the benchmark, so a question asked again with other numbers, names or units
 still matches.  What the placeholders stood for is then compared: a slot value of the item must map to one value
 of the document, and distinct numbers to distinct numbers, else the match is a coincidence of templates and is
@@ -51,7 +53,7 @@ _NAME = "\u0001"
 def words_of(text: Column) -> Column:
     """The words of a text; a capitalised word inside a sentence is marked."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[\p{Ll}\p{N},;]\s)(?=\p{Lu})", _NAME)
-    parts = F.split(marked, r"[^\u0001\p{L}\p{M}\p{N}.]+|\.(?!\p{N})|(?<!\p{N})\.")
+    parts = F.split(marked, r"[^\u0001\p{L}\p{M}\p{N}.,]+|[.,](?!\p{N})|(?<!\p{N})[.,]|,(?!\p{N}{3}(?!\p{N}))")
     return F.filter(parts, lambda w: w != "")
 
 
@@ -75,10 +77,13 @@ def templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
             .otherwise(F.lower(w))
         )
 
-    words = rows.select(*keys, words_of(F.col(text)).alias("words"))
     before = F.slice(F.concat(F.array(F.lit("")), "words"), F.lit(1), F.size("words"))
+    every = rows.select(*keys, words_of(F.col(text)).alias("words"))
+    is_name = lambda i: F.coalesce(F.ascii(F.get("words", i)) == 1, F.lit(False))
+    second = lambda i: is_name(i - 1) & ~is_name(i - 2) & ~is_name(i + 1)
+    words = every.select(*keys, F.filter("words", lambda w, i: (F.ascii(w) != 1) | ~second(i)).alias("words"))
     tokens = words.select(*keys, "words", F.zip_with("words", before, token).alias("tokens"))
-    value = F.zip_with("words", "tokens", lambda w, t: F.when(F.ascii(t) == ord("<"), F.concat(t, F.lower(w))))
+    value = F.zip_with("words", "tokens", lambda w, t: F.when(F.ascii(t) == ord("<"), F.concat(t, F.translate(F.lower(w), ",", ""))))
     return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"))
 
 

@@ -10,7 +10,7 @@ The automaton has the size of the vocabulary and is broadcast.  Counts of a word
 words repeat.
 
 Defined results: null, empty and white texts have no words and no tokens; words are separated by white space;
-repeated rows are counted each; ``count_tokens`` keeps extra columns.
+repeated rows are counted each; ``count_tokens`` keeps extra columns, but for those of its own names, which are replaced.
 """
 
 from __future__ import annotations
@@ -109,7 +109,9 @@ def count_tokens(docs: DataFrame, pieces: list[str], text: str = "text") -> Data
         known: dict[str, int] = {}
         return pd.DataFrame([count_text(shared.value, t, known) for t in texts], columns=["n_words", "n_tokens", "n_unknown"])
 
-    return docs.withColumn("_counts", count(F.col(text))).select(*(F.col(f"`{c}`") for c in docs.columns), "_counts.*")
+    names = ("n_words", "n_tokens", "n_unknown")
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), count(F.col(f"`{text}`")).alias("counts"))
+    return row.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in names), *(f"counts.{n}" for n in names))
 
 
 def default_path() -> str:

@@ -9,7 +9,7 @@ The sample has ``MAX_TRAIN_ROWS`` rows at most; all statistics are computed over
 
 Defined results: null and empty texts have statistics 0 and get the score of that; without labels of both kinds every
 text scores the share of label 1 (or 0.5 without any label); repeated rows are scored each; labels, language, source
-and id are no inputs of a score.
+and id are no inputs of a score; extra columns are kept, but for ``score`` and those named as statistics, which are replaced.
 """
 
 from __future__ import annotations
@@ -36,10 +36,11 @@ NAMES = ("log_words", "word_length", "symbols", "bangs", "capitals", "digits", "
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds the columns ``NAMES``."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keep = lambda chars: F.length(F.regexp_replace("_t", f"[^{chars}]+", "")).cast("double")
     over = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
-    rows = docs.withColumn("_t", t).withColumn("_w", F.filter(F.split("_t", r"\s+"), lambda w: w != ""))
+    rest = [c for c in docs.columns if c not in NAMES]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), t.alias("_t")).withColumn("_w", F.filter(F.split("_t", r"\s+"), lambda w: w != ""))
     n, words = F.length("_t"), F.size("_w")
     m = F.greatest(words - 1, F.lit(0))
     # words of two characters or more that repeat the one before; a pattern with a back reference overflows the stack on long runs
@@ -56,7 +57,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "line_words": over(words, F.length(F.regexp_replace("_t", "[^\n]+", "")) + 1),
         "repeats": over(F.aggregate(repeated, F.lit(0), lambda total, x: total + x), n),
     }
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns if c not in NAMES), *(values[k].alias(k) for k in NAMES))
+    return rows.select(*(F.col(f"row.`{c}`") for c in rest), *(values[k].alias(k) for k in NAMES))
 
 
 @dataclass

@@ -7,7 +7,8 @@ log-probabilities and scores batches of sparse rows in numpy.
 
 Defined results: a null text, an empty text and a text without a letter get ``und`` and 0.0; ties go to the
 language that sorts first; without a labelled row every text gets ``und``.  Rows with a null language or text
-teach nothing.  Repeated rows count each time; other columns pass through untouched.  A text of any length is
+teach nothing.  Repeated rows count each time; other columns pass through untouched, but for ``lang_pred`` and
+``score``, which are replaced.  A text of any length is
 read whole, in slices of ``SLICE`` characters that give what they would give in one piece.
 """
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import bounded_sample, crc_mod, share
+from .util import crc_mod, share
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -95,9 +96,15 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", max_rows: int = MAX_TRAIN_ROWS, buckets: int = BUCKETS, smooth: float = 0.5) -> Model:
-    """Learns from rows whose text and language are not null, from about ``max_rows`` of them at most."""
+    """Learns from rows whose text and language are not null, from about ``max_rows`` of them at most, dealt evenly among the
+    languages."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
-    rows = bounded_sample(rows, F.col("key"), max_rows)
+    # a bound for each language, so that one with few rows stays in the model however large the corpus is
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}  # as many rows as languages
+    share_of = lambda n: min(1.0, max_rows / max(len(sizes), 1) / n)
+    if sum(sizes.values()) > max_rows:
+        keep = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(1_000_000 * share_of(n)))))
+        rows = rows.where(F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(1_000_000)) < F.element_at(keep, F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
@@ -131,8 +138,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         names, best = shared.value.score(texts.tolist())
         return pd.DataFrame({"lang_pred": names, "score": best})
 
-    scored = docs.withColumn("_language", score(F.col(text)))
-    return scored.select(*docs.columns, "_language.lang_pred", "_language.score")
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), score(F.col(f"`{text}`")).alias("found"))
+    return row.select(*(F.col(f"row.`{c}`") for c in docs.columns if c not in ("lang_pred", "score")), "found.lang_pred", "found.score")
 
 
 def held_out(doc_id: Column) -> Column:
