@@ -119,22 +119,11 @@ def centroid_of(output: dict[str, Shape]):
     return of
 
 
-def _grid(first: str, columns: str, second: str, rows: str) -> tuple:
-    """Rules of two inputs from a table: the columns' terms, then one line per row with its term and the outcomes."""
-    heads = columns.split()
-    return tuple((((first, h), (second, line.split()[0])), o) for line in rows.strip().splitlines() for h, o in zip(heads, line.split()[1:], strict=True))
-
-
-def _lines(names: str, text: str) -> tuple:
+def _rules(names: str, text: str) -> tuple:
     """Rules from lines: a cell per input (* for any) and the outcome."""
     keys = names.split()
-    return tuple((tuple((k, c) for k, c in zip(keys, line.split(), strict=False) if c != "*"), line.split()[-1]) for line in text.strip().splitlines())
-
-
-def _expand(first: str, second: tuple[str, ...], third: tuple[str, ...], fourth: str, outcomes: str) -> str:
-    """Lines for one term of the first input: outcomes in the order of the second input, then the third."""
-    pairs = [(s, t) for s in second for t in third]
-    return "\n".join(f"{first} {s} {t} {fourth} {o}" for (s, t), o in zip(pairs, outcomes.split(), strict=True))
+    rows = [line.split() for line in text.strip().splitlines()]
+    return tuple((tuple((k, c) for k, c in zip(keys, row, strict=False) if c != "*"), row[-1]) for row in rows)
 
 
 # Memberships and outcomes of the four systems.
@@ -144,27 +133,35 @@ _DENSITY = {"none": (0, 0, 0.1), "rare": (0, 0.1, 0.5, 1.5), "occasional": (0.5,
 VEGETATION = System(
     inputs={"riparian": _SUITABILITY, "streamside": _SUITABILITY},
     output=_DENSITY,
-    rules=_grid("riparian", "unsuitable barely moderately suitable preferred", "streamside", """
-        unsuitable none rare rare occasional occasional
-        barely rare rare occasional occasional occasional
-        moderately rare occasional occasional frequent frequent
-        suitable occasional occasional frequent frequent pervasive
-        preferred occasional frequent pervasive pervasive pervasive"""),
+    rules=_rules("riparian streamside", """
+        unsuitable unsuitable none
+        barely unsuitable rare
+        moderately unsuitable rare
+        suitable unsuitable occasional
+        preferred unsuitable occasional
+        unsuitable barely rare
+        barely barely rare
+        moderately barely occasional
+        suitable barely occasional
+        preferred barely occasional
+        unsuitable moderately rare
+        barely moderately occasional
+        moderately moderately occasional
+        suitable moderately frequent
+        preferred moderately frequent
+        unsuitable suitable occasional
+        barely suitable occasional
+        moderately suitable frequent
+        suitable suitable frequent
+        preferred suitable pervasive
+        unsuitable preferred occasional
+        barely preferred frequent
+        moderately preferred pervasive
+        suitable preferred pervasive
+        preferred preferred pervasive"""),
     ranges={"riparian": (0, 4), "streamside": (0, 4)},
 )
 
-_FLOODS, _BASE = ("persists", "breach", "oblowout", "blowout"), ("can", "probably")
-
-
-def _sloped(veg: str, table: str) -> str:
-    """Lines for a vegetation term: per flood and base flow the outcomes on flat, fitting and steeper slopes."""
-    out = []
-    for line in table.strip().splitlines():
-        flood, base, *outcomes = line.split()
-        out += [f"{veg} {flood} {base} {s} {o}" for s, o in zip(("flat", "can", "probably"), outcomes, strict=True)]
-    return "\n".join(out)
-
-
 COMBINED = System(
     inputs={
         "vegetation": _DENSITY,
@@ -173,29 +170,74 @@ COMBINED = System(
         "slope": {"flat": (0, 0, 0.0002, 0.005), "can": (0.0002, 0.005, 0.12, 0.15), "probably": (0.12, 0.15, 0.17, 0.23), "cannot": (0.17, 0.23, 1, 1)},
     },
     output=_DENSITY,
-    rules=_lines("vegetation flood_power base_power slope", "\n".join([
-        "none * * * none", "* * cannot * none", "* * * cannot none",
-        _expand("rare", _FLOODS, _BASE, "!cannot", "rare rare rare rare rare rare none none"),
-        _expand("occasional", _FLOODS, _BASE, "!cannot", "occasional occasional occasional occasional occasional rare rare rare"),
-        _sloped("frequent", """
-            persists can occasional frequent occasional
-            persists probably occasional frequent occasional
-            breach can occasional frequent occasional
-            breach probably occasional frequent occasional
-            oblowout can occasional frequent occasional
-            oblowout probably rare occasional rare
-            blowout can rare rare rare
-            blowout probably rare rare none"""),
-        _sloped("pervasive", """
-            persists can frequent pervasive occasional
-            persists probably frequent pervasive frequent
-            breach can occasional frequent occasional
-            breach probably occasional frequent occasional
-            oblowout can occasional frequent occasional
-            oblowout probably occasional occasional rare
-            blowout can rare occasional rare
-            blowout probably rare rare rare"""),
-    ])),
+    rules=_rules("vegetation flood_power base_power slope", """
+        none * * * none
+        * * cannot * none
+        * * * cannot none
+        rare persists can !cannot rare
+        rare persists probably !cannot rare
+        rare breach can !cannot rare
+        rare breach probably !cannot rare
+        rare oblowout can !cannot rare
+        rare oblowout probably !cannot rare
+        rare blowout can !cannot none
+        rare blowout probably !cannot none
+        occasional persists can !cannot occasional
+        occasional persists probably !cannot occasional
+        occasional breach can !cannot occasional
+        occasional breach probably !cannot occasional
+        occasional oblowout can !cannot occasional
+        occasional oblowout probably !cannot rare
+        occasional blowout can !cannot rare
+        occasional blowout probably !cannot rare
+        frequent persists can flat occasional
+        frequent persists can can frequent
+        frequent persists can probably occasional
+        frequent persists probably flat occasional
+        frequent persists probably can frequent
+        frequent persists probably probably occasional
+        frequent breach can flat occasional
+        frequent breach can can frequent
+        frequent breach can probably occasional
+        frequent breach probably flat occasional
+        frequent breach probably can frequent
+        frequent breach probably probably occasional
+        frequent oblowout can flat occasional
+        frequent oblowout can can frequent
+        frequent oblowout can probably occasional
+        frequent oblowout probably flat rare
+        frequent oblowout probably can occasional
+        frequent oblowout probably probably rare
+        frequent blowout can flat rare
+        frequent blowout can can rare
+        frequent blowout can probably rare
+        frequent blowout probably flat rare
+        frequent blowout probably can rare
+        frequent blowout probably probably none
+        pervasive persists can flat frequent
+        pervasive persists can can pervasive
+        pervasive persists can probably occasional
+        pervasive persists probably flat frequent
+        pervasive persists probably can pervasive
+        pervasive persists probably probably frequent
+        pervasive breach can flat occasional
+        pervasive breach can can frequent
+        pervasive breach can probably occasional
+        pervasive breach probably flat occasional
+        pervasive breach probably can frequent
+        pervasive breach probably probably occasional
+        pervasive oblowout can flat occasional
+        pervasive oblowout can can frequent
+        pervasive oblowout can probably occasional
+        pervasive oblowout probably flat occasional
+        pervasive oblowout probably can occasional
+        pervasive oblowout probably probably rare
+        pervasive blowout can flat rare
+        pervasive blowout can can occasional
+        pervasive blowout can probably rare
+        pervasive blowout probably flat rare
+        pervasive blowout probably can rare
+        pervasive blowout probably probably rare"""),
     ranges={"vegetation": (0, 45), "flood_power": (0, 10000), "base_power": (0, 10000), "slope": (0, 1)},
 )
 
@@ -206,7 +248,7 @@ CONDITION = System(
         "access": {"low": (0, 0, 0.5, 0.7), "moderate": (0.5, 0.7, 0.9, 0.95), "high": (0.9, 0.95, 1, 1)},
     },
     output={"very_poor": (0, 0, 0.1), "poor": (0, 0.1, 0.3, 0.5), "moderate": (0.3, 0.5, 0.6, 0.8), "good": (0.6, 0.8, 0.95, 1), "intact": (0.95, 1, 1)},
-    rules=_lines("departure land_use access", """
+    rules=_rules("departure land_use access", """
         large low low poor
         large low moderate poor
         large low high moderate
@@ -235,7 +277,6 @@ CONDITION = System(
     ranges={"departure": (0, 1), "land_use": (0, 100), "access": (0, 1)},
 )
 
-_GRAZED = ("flat", "gentle", "too_steep")
 GRAZING = System(
     inputs={
         "water": {"close": (0, 0, 100, 500), "moderately_far": (100, 500, 800, 2000), "too_far": (800, 2000, 50000, 50000)},
@@ -244,15 +285,45 @@ GRAZING = System(
     },
     output={"none": (0, 0, 0.0005), "low": (0, 0.0005, 0.4, 0.5), "moderate": (0.4, 0.5, 0.9, 0.95), "high": (0.9, 0.95, 1, 1)},
     # barely suitable vegetation on a gentle slope close to water stands twice in the published table, as low and as moderate
-    rules=((((("vegetation", "unsuitable"),)), "none"), ((("vegetation", "barely"), ("slope", "gentle"), ("water", "close")), "moderate")) + tuple(
-        ((("vegetation", v), ("slope", s), ("water", w)), o)
-        for w, s, outcomes in (
-            ("close", "flat", "low low moderate high"), ("close", "gentle", "low low low moderate"), ("close", "too_steep", "low low low low"),
-            ("moderately_far", "flat", "low low low moderate"), ("moderately_far", "gentle", "none low low low"), ("moderately_far", "too_steep", "none none low low"),
-            ("too_far", "flat", "none none low moderate"), ("too_far", "gentle", "none none none low"), ("too_far", "too_steep", "none none none low"),
-        )
-        for v, o in zip(("barely", "moderately", "suitable", "preferred"), outcomes.split(), strict=True)
-    ),
+    rules=_rules("vegetation slope water", """
+        unsuitable * * none
+        barely gentle close moderate
+        barely flat close low
+        moderately flat close low
+        suitable flat close moderate
+        preferred flat close high
+        barely gentle close low
+        moderately gentle close low
+        suitable gentle close low
+        preferred gentle close moderate
+        barely too_steep close low
+        moderately too_steep close low
+        suitable too_steep close low
+        preferred too_steep close low
+        barely flat moderately_far low
+        moderately flat moderately_far low
+        suitable flat moderately_far low
+        preferred flat moderately_far moderate
+        barely gentle moderately_far none
+        moderately gentle moderately_far low
+        suitable gentle moderately_far low
+        preferred gentle moderately_far low
+        barely too_steep moderately_far none
+        moderately too_steep moderately_far none
+        suitable too_steep moderately_far low
+        preferred too_steep moderately_far low
+        barely flat too_far none
+        moderately flat too_far none
+        suitable flat too_far low
+        preferred flat too_far moderate
+        barely gentle too_far none
+        moderately gentle too_far none
+        suitable gentle too_far none
+        preferred gentle too_far low
+        barely too_steep too_far none
+        moderately too_steep too_far none
+        suitable too_steep too_far none
+        preferred too_steep too_far low"""),
     ranges={"water": (0, 50000), "slope": (0, 100), "vegetation": (0, 4)},
 )
 
@@ -262,23 +333,34 @@ def _centroid(output: dict[str, Shape], term: str) -> float:
     return float(centroids(list(output.values()), levels)[0])
 
 
+def _is_none(r: Column, output: dict[str, Shape]) -> Column:
+    """Whether a result is that of ``none`` alone at full strength, to six digits."""
+    return F.round(r, 6) == round(_centroid(output, "none"), 6)
+
+
 def vegetation_capacity(riparian: Column, streamside: Column) -> Column:
     """Dams a kilometre that vegetation allows: 0 for a result that is all ``none``, 40 for one as high as ``pervasive``."""
     r = VEGETATION.evaluate(riparian=riparian, streamside=streamside)
-    r = F.when(F.round(r, 4) <= round(_centroid(_DENSITY, "none"), 4), 0.0).otherwise(r)
+    r = F.when(_is_none(r, _DENSITY), 0.0).otherwise(r)
     return F.round(F.when(F.round(r) >= round(_centroid(_DENSITY, "pervasive")), 40.0).otherwise(r), 2)
 
 
-def combined_capacity(vegetation: Column, flood_power: Column, base_power: Column, slope: Column, drainage: Column, reach_code: Column, max_drainage: Column) -> Column:
+def unrounded_capacity(vegetation: Column, flood_power: Column, base_power: Column, slope: Column, drainage: Column, reach_code: Column, max_drainage: Column) -> Column:
     """Dams a kilometre, at most what vegetation allows; above the drainage limit only canals (33600) hold any."""
     r = F.least(COMBINED.evaluate(vegetation=vegetation, flood_power=flood_power, base_power=base_power, slope=slope), vegetation)
-    r = F.when(F.round(r, 4) <= round(_centroid(_DENSITY, "none"), 4), 0.0).otherwise(r)
+    r = F.when(_is_none(r, _DENSITY), 0.0).otherwise(r)
     open_to_dams = max_drainage.isNull() | (drainage < max_drainage) | (reach_code == 33600)
-    return F.round(F.when(open_to_dams, r).otherwise(0.0), 2)
+    return F.when(open_to_dams, r).otherwise(0.0)
+
+
+def combined_capacity(*inputs: Column) -> Column:
+    """``unrounded_capacity`` to two digits."""
+    return F.round(unrounded_capacity(*inputs), 2)
 
 
-def dam_count(capacity: Column, length_m: Column) -> Column:
-    n = capacity * length_m / 1000.0
+def dam_count(unrounded: Column, length_m: Column) -> Column:
+    """Dams of a reach from its capacity before rounding; a fraction of a dam is one."""
+    n = unrounded * length_m / 1000.0
     return F.round(F.when((n > 0) & (n < 1), 1.0).otherwise(n), 2)
 
 
@@ -291,4 +373,4 @@ def riparian_condition(departure: Column, land_use: Column, access: Column) -> C
 
 def grazing_likelihood(water: Column, slope: Column, vegetation: Column) -> Column:
     r = GRAZING.evaluate(water=water, slope=slope, vegetation=vegetation)
-    return F.when(F.round(r, 6) <= round(_centroid(GRAZING.output, "none"), 6), 0.0).otherwise(r)
+    return F.when(_is_none(r, GRAZING.output), 0.0).otherwise(r)

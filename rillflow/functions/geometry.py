@@ -180,13 +180,14 @@ def decode_wkb(data: bytes | None) -> list[np.ndarray] | None:
 
 
 def wkb_points(column: Column) -> Column:
-    """Parts of a geometry: array<array<struct<x,y>>>."""
+    """Parts of a geometry: array<array<struct<x,y>>>, built from flat arrays of a batch's coordinates."""
 
-    @F.pandas_udf(f"array<{POINTS}>")
+    @F.pandas_udf("array<array<double>>")
     def of(data: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else [[{"x": x, "y": y} for x, y in part] for part in decode_wkb(d)] for d in data])
+        return pd.Series([None if d is None else [part.ravel() for part in decode_wkb(d)] for d in data])
 
-    return of(column)
+    # pairs of numbers become points on the side of the engine
+    return F.transform(of(column), lambda flat: F.transform(F.sequence(F.lit(1), (F.size(flat) / 2).cast("int")), lambda i: F.struct(F.element_at(flat, 2 * i - 1).alias("x"), F.element_at(flat, 2 * i).alias("y"))))
 
 
 def clip_segment(x0: float, y0: float, x1: float, y1: float, ring: np.ndarray) -> list[tuple[float, float]]:

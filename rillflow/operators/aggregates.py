@@ -125,13 +125,15 @@ def regression_choice(df: DataFrame, zone: list[str], x: str, y: str) -> DataFra
     positive = (F.col("x") > 0) & (F.col("y") > 0)
     lx, ly = F.when(positive, F.log10("x")), F.when(positive, F.log10("y"))
     fit = rows.groupBy(*zone).agg(
-        ratio(F.sum(F.col("x") * F.col("y")), F.sum(F.col("x") * F.col("x"))).alias("b"),
-        F.sum(F.col("y") * F.col("y")).alias("yy"), F.sum(F.col("x") * F.col("y")).alias("xy"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum("y").alias("sy"), F.count(F.lit(1)).cast("double").alias("n"),
+        ratio(F.sum(F.col("x") * F.col("y")), F.sum(F.col("x") * F.col("x"))).alias("b"), F.avg("x").alias("mx"), F.avg("y").alias("my"), F.count(F.lit(1)).cast("double").alias("n"),
+        F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.covar_pop("x", "y").alias("cxy"),
         F.regr_slope(ly, lx).alias("ls"), F.regr_intercept(ly, lx).alias("li"), F.regr_r2(ly, lx).alias("lr"),
     )
     b = F.col("b")
-    residual = F.col("yy") - 2 * b * F.col("xy") + b * b * F.col("xx")
-    r2 = 1 - ratio(residual, F.col("yy") - F.col("sy") * F.col("sy") / F.col("n"))
+    # from centred moments, so that large values far from zero don't cancel
+    off = F.col("my") - b * F.col("mx")
+    residual = F.col("vy") - 2 * b * F.col("cxy") + b * b * F.col("vx") + off * off
+    r2 = 1 - ratio(residual, F.col("vy"))
     power = F.coalesce(F.col("lr") > r2, F.col("lr").isNotNull())
     pick = lambda p, o: F.when(power, p).otherwise(o)
     return fit.select(*zone, pick(F.lit("power"), F.lit("origin")).alias("kind"), pick(F.col("ls"), b).alias("slope"), pick(F.col("li"), F.lit(0.0)).alias("intercept"), pick(F.col("lr"), r2).alias("r2"))
