@@ -22,15 +22,17 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import at_most, bounded_sample, crc_mod, share, ship, written
+from .util import bounded_sample, crc_mod, share, ship, written
 
 MAX_TRAIN_ROWS = 20_000
 #: Pseudo-counts that a word gets from its prefix, and a prefix from the whole.
@@ -46,8 +48,8 @@ FOLDS = 5
 FLOORS = (0.0, 0.001, 0.002, 0.004, 0.006, 0.008, 0.01, 0.015, 0.02, 0.03)
 #: From this score on a text is called toxic.
 THRESHOLD = 0.7
-#: Prefix tables of at most so many rows are broadcast.
-BROADCAST_ROWS = 300_000
+#: Keys that a counting task holds at once.
+HELD = 100_000
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}_]+")
 
 
@@ -115,43 +117,62 @@ _COUNTS = ("toxic_tokens", "tokens", "toxic_texts", "texts")
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """(is_word, key, fold, counts) of words and prefixes in (text, label, fold)."""
-
-    @F.pandas_udf("array<struct<is_word:boolean,key:string,k:long>>")
-    def units(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            words = Counter(words_of(t))
-            prefixes: Counter = Counter()
-            for w, k in words.items():
-                if len(w) >= PREFIX:
-                    prefixes[w[:PREFIX]] += k
-            out.append([{"is_word": is_word, "key": w, "k": k} for is_word, found in ((True, words), (False, prefixes)) for w, k in found.items()])
-        return pd.Series(out)
-
-    found = rows.select("label", "fold", F.explode(units("text")).alias("u")).select("label", "fold", "u.*")
-    return found.groupBy("is_word", "key", "fold").agg(F.sum(F.col("k") * F.col("label")).alias("toxic_tokens"), F.sum("k").alias("tokens"), F.sum("label").alias("toxic_texts"), F.count(F.lit(1)).alias("texts"))
-
-
-def _tables(counted: DataFrame, texts: int, toxic_texts: int) -> Model:
-    """Log-odds of odd words and prefixes; ``counted`` has counts of words and prefixes."""
-    units = counted.groupBy("is_word", "key").agg(*(F.sum(c).alias(c) for c in _COUNTS))
-    sums = units.where("is_word").agg(F.sum("toxic_tokens"), F.sum("tokens")).first()
-    if not sums[1] or not 0 < sums[0] < sums[1] or not 0 < toxic_texts < texts:
+    """(is_word, key, counts of all and of each fold) of words and prefixes in (text, label, fold).
+
+    A task adds up what it has read and hands it on whenever it holds ``HELD`` keys, so its memory is bounded and one row
+    stands for many occurrences.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[bool, str, int], list[int]] = {}
+
+        def out() -> pa.RecordBatch:
+            keys, values = list(found), np.array(list(found.values()), np.int64).reshape(-1, 4)
+            columns = [pa.array([k[0] for k in keys], pa.bool_()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.int32()), *(pa.array(values[:, i]) for i in range(4))]
+            return pa.RecordBatch.from_arrays(columns, ["is_word", "key", "fold", *_COUNTS])
+
+        for batch in batches:
+            for text, label, fold in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                words = Counter(words_of(text.as_py()))
+                prefixes: Counter = Counter()
+                for w, k in words.items():
+                    if len(w) >= PREFIX:
+                        prefixes[w[:PREFIX]] += k
+                for is_word, units in ((True, words), (False, prefixes)):
+                    for key, k in units.items():
+                        cell = found.setdefault((is_word, key, fold), [0, 0, 0, 0])
+                        cell[0] += k * label
+                        cell[1] += k
+                        cell[2] += label
+                        cell[3] += 1
+                if len(found) > HELD:
+                    yield out()
+                    found.clear()
+        if found:
+            yield out()
+
+    kinds = "is_word boolean, key string, fold int, " + ", ".join(f"{c} long" for c in _COUNTS)
+    cells = rows.select("text", "label", "fold").mapInArrow(count, kinds)
+    of_fold = [F.coalesce(F.sum(F.when(F.col("fold") == k, F.col(c))), F.lit(0)).alias(f"{c}_{k}") for c in _COUNTS for k in range(FOLDS)]
+    return cells.groupBy("is_word", "key").agg(*(F.sum(c).alias(c) for c in _COUNTS), *of_fold)
+
+
+def _tables(units: DataFrame, tokens: int, toxic_tokens: int, texts: int, toxic_texts: int) -> Model:
+    """Log-odds of odd words and prefixes; ``units`` has counts of words and prefixes, the numbers are those of all."""
+    if not 0 < toxic_tokens < tokens or not 0 < toxic_texts < texts:
         return Model()
-    base, text_base = sums[0] / sums[1], toxic_texts / texts
+    base, text_base = toxic_tokens / tokens, toxic_texts / texts
     logit = lambda x: F.log(x / (1 - x))
     smoothed = lambda parent: (F.col("toxic_tokens") + PRIOR * parent) / (F.col("tokens") + PRIOR)
+    t, n = F.col("toxic_texts"), F.col("texts")
     prefixes = units.where("not is_word").withColumn("rate", smoothed(F.lit(base)))
     parents = prefixes.select(F.col("key").alias("prefix"), F.col("rate").alias("parent"))
-    parents = F.broadcast(parents) if at_most(parents, BROADCAST_ROWS) else parents
-    words = units.where("is_word").withColumn("prefix", F.when(F.length("key") >= PREFIX, F.substring("key", 1, PREFIX))).join(parents, "prefix", "left")
+    words = units.where(F.col("is_word") & (t >= MIN_TOXIC)).withColumn("prefix", F.when(F.length("key") >= PREFIX, F.substring("key", 1, PREFIX))).join(parents, "prefix", "left")
     words = words.withColumn("rate", smoothed(F.coalesce("parent", F.lit(base))))
-    t, n = F.col("toxic_texts"), F.col("texts")
     seen = (t + PRIOR * text_base) / (n + PRIOR)
     z = (logit(seen) - math.log(text_base / (1 - text_base))) / F.sqrt(1 / (t + PRIOR * text_base) + 1 / (n - t + PRIOR * (1 - text_base)))
-    both = words.select("is_word", "key", "rate", *_COUNTS).unionByName(prefixes.select("is_word", "key", "rate", *_COUNTS))
-    odd = both.where(t >= MIN_TOXIC).withColumn("odds", logit(F.col("rate")) - math.log(base / (1 - base))).where((F.col("odds") >= MIN_LOG_ODDS) & (z >= MIN_Z))
+    both = words.select("is_word", "key", "rate", *_COUNTS).unionByName(prefixes.where(t >= MIN_TOXIC).select("is_word", "key", "rate", *_COUNTS))
+    odd = both.withColumn("odds", logit(F.col("rate")) - math.log(base / (1 - base))).where((F.col("odds") >= MIN_LOG_ODDS) & (z >= MIN_Z))
     found = odd.select("is_word", "key", "odds").collect()  # bounded by the sample, and few of its words
     return Model(words={r.key: r.odds for r in found if r.is_word}, prefixes={r.key: r.odds for r in found if not r.is_word})
 
@@ -166,9 +187,14 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     if not 0 < toxic < n:
         return Model()
     ship(labelled.sparkSession)
-    counted = written(_counted(rows))
-    parts = [_tables(counted.where(F.col("fold") != k), n - per_fold.get(k, (0, 0))[0], toxic - per_fold.get(k, (0, 0))[1]) for k in range(FOLDS)]
-    model = _tables(counted, n, toxic)
+    units = written(_counted(rows))
+    sums = units.where("is_word").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for base in _COUNTS[:2] for c in (base, *(f"{base}_{k}" for k in range(FOLDS))))).first()
+    model = _tables(units.select("is_word", "key", *_COUNTS), sums["tokens"], sums["toxic_tokens"], n, toxic)
+    parts = []
+    for k in range(FOLDS):
+        own_n, own_toxic = per_fold.get(k, (0, 0))
+        others = units.select("is_word", "key", *((F.col(c) - F.col(f"{c}_{k}")).alias(c) for c in _COUNTS)).where("tokens > 0")
+        parts.append(_tables(others, sums["tokens"] - sums[f"tokens_{k}"], sums["toxic_tokens"] - sums[f"toxic_tokens_{k}"], n - own_n, toxic - own_toxic))
     _calibrate(model, parts, rows)
     return model
 
