@@ -70,10 +70,20 @@ def window_width(stream_size: Column, step: Column) -> Column:
     return F.greatest(F.element_at(sizes, stream_size).cast("double"), F.coalesce(2 * step, F.lit(0.0)).cast("double"))
 
 
-def neighbours(rows: DataFrame, path: str, distance: str, key: str) -> DataFrame:
-    """(key, upstream neighbour, downstream neighbour) in the order of distance on the same stream."""
-    w = Window.partitionBy(path).orderBy(distance, key)
-    return rows.select(path, distance, key, F.lag(key).over(w).alias("before"), F.lead(key).over(w).alias("behind"))
+def neighbours(rows: DataFrame, path: str, distance: str, key: str, stretch: float) -> DataFrame:
+    """(path, distance, key, before, behind): the neighbours in the order of distance on the same stream.
+
+    A stream is cut into stretches, so that a long one is shared by many tasks; the first and last rows of a stretch meet
+    those of the nearest stretches with rows, of which there is one row each.
+    """
+    cut = rows.select(path, distance, key).withColumn("_s", F.floor(F.col(distance) / stretch))
+    order = F.struct(distance, key)
+    ends = cut.groupBy(path, "_s").agg(F.min_by(key, order).alias("_first"), F.max_by(key, order).alias("_last"))
+    along = Window.partitionBy(path).orderBy("_s")
+    ends = ends.select(path, "_s", F.lag("_last").over(along).alias("_before"), F.lead("_first").over(along).alias("_behind"))
+    w = Window.partitionBy(path, "_s").orderBy(distance, key)
+    inner = cut.withColumn("_lag", F.lag(key).over(w)).withColumn("_lead", F.lead(key).over(w))
+    return inner.join(ends, [path, "_s"]).select(path, distance, key, F.coalesce("_lag", "_before").alias("before"), F.coalesce("_lead", "_behind").alias("behind"))
 
 
 # window metrics, over columns that moving_window has added

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import dam_risk
-from ..operators import filters, joins, sets
+from ..operators import filters, joins, sets, windows
 from ..operators.aggregates import share_of_everything, share_of_total
 from .registry import query
 
@@ -133,8 +133,7 @@ _DAYS = "SELECT DISTINCT l_suppkey, date_diff('day', DATE '1992-01-01', CAST(l_s
 @query("lineitem", sql=f"SELECT l_suppkey, day, lag(day) OVER w AS before, lead(day) OVER w AS behind FROM ({_DAYS}) WINDOW w AS (PARTITION BY l_suppkey ORDER BY day)")
 def adjacency_window_lag_lead(lineitem: DataFrame) -> DataFrame:
     days = lineitem.select("l_suppkey", F.datediff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01")).alias("day")).distinct()
-    w = Window.partitionBy("l_suppkey").orderBy("day")
-    return days.select("l_suppkey", "day", F.lag("day").over(w).alias("before"), F.lead("day").over(w).alias("behind"))
+    return windows.neighbours(days.withColumn("at", F.col("day")), "l_suppkey", "at", "day", 365.0).select("l_suppkey", "day", "before", "behind")
 
 
 @query("lineitem", "part", sql="""
