@@ -71,17 +71,20 @@ def length_to_mouth(nodes: DataFrame, key: str, next_key: str, value: str) -> Da
 def pointer_ends(nodes: DataFrame) -> DataFrame:
     """(node, end, cycle) for (node, next): where following the pointers leads.
 
-    A node without a next ends at itself.  Pointers are doubled; those that still move after as many rounds as all nodes
-    could need are on or lead to a cycle.
+    A node without a next ends at itself.  Pointers are doubled, so round k ends the nodes up to 2^(k-1) steps from
+    their end.  Of a path every node nearer to the end is there too, so once a round ends none, what still moves is on or
+    leads to a cycle.
     """
     p = written(nodes.select("node", F.coalesce("next", "node").alias("at"), F.col("next").isNull().alias("done")))
-    rounds = max(nodes.count(), 1).bit_length() + 1
-    for _ in range(rounds):
+    moving = p.filter("not done").count()
+    while moving:
         to = p.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("done").alias("_done"))
         moved = p.filter("not done").join(to, "at").select("node", F.col("_at").alias("at"), F.col("_done").alias("done"))
         p = written(p.filter("done").unionByName(moved))
-        if p.filter("not done").isEmpty():
+        left = p.filter("not done").count()
+        if left == moving:
             break
+        moving = left
     return p.select("node", F.col("at").alias("end"), (~F.col("done")).alias("cycle"))
 
 
