@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op04_exact, op08_lines, op12_filters, op13_merkle
+from . import op04_exact, op08_lines, op11_topk, op12_filters, op13_merkle
 from .op01_decontamination import op01_decontamination
 from .op02_bpe import op02_bpe
 from .op03_toxicity import op03_toxicity
@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": _over(op08_lines.op08_lines, "documents"),
     "op9_simhash": _over(op09_simhash, "documents"),
     "op10_language_id": _over(op10_language, "documents"),
+    "op11_exact_topk": _over(op11_topk.op11_topk, "embeddings"),
     "op12_filter_audit": _over(op12_filters.op12_filters, "documents", "labels"),
     "op13_merkle_manifest": _over(op13_merkle.op13_merkle, "documents"),
 }
@@ -40,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": op04_exact.ORACLE,
     "op8_line_dedup": op08_lines.ORACLE,
+    "op11_exact_topk": op11_topk.ORACLE,
     "op12_filter_audit": op12_filters.ORACLE,
     "op13_merkle_manifest": op13_merkle.ORACLE,
 }
