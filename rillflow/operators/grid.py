@@ -80,37 +80,30 @@ def slope_percent(cells: DataFrame, cell_size: float) -> DataFrame:
     return sums.filter("own is not null").select("row", "col", F.when(F.col("n") == 9, 100 * rise).alias("value"))
 
 
-def proximity(cells: DataFrame, sources: DataFrame, cell_size: float, reach: int) -> DataFrame:
-    """Distance of each cell to its nearest source within ``reach`` cells; beyond it null.
-
-    Blocks of ``reach`` cells: a cell meets the sources of its own block and the eight around it.
-    """
-    b = lambda c: F.floor(F.col(c) / reach)
-    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    s = sources.select(F.col("row").alias("s_row"), F.col("col").alias("s_col"), F.explode(around).alias("t")).withColumn("_br", b("s_row") + F.col("t.i")).withColumn("_bc", b("s_col") + F.col("t.j"))
-    c = cells.select("row", "col").withColumn("_br", b("row")).withColumn("_bc", b("col"))
-    d = F.sqrt(F.pow(F.col("row") - F.col("s_row"), 2) + F.pow(F.col("col") - F.col("s_col"), 2))
-    near = c.join(s, ["_br", "_bc"]).filter(d <= reach).groupBy("row", "col").agg((F.min(d) * cell_size).alias("value"))
-    return cells.select("row", "col").join(near, ["row", "col"], "left")
+#: Columns of a stretch of a raster's row.
+STRETCH = 4096
 
 
-def regions(cells: DataFrame, diagonal: bool = False) -> DataFrame:
-    """Adds ``region``: connected cells of one value share a number.
+def regions(cells: DataFrame, diagonal: bool = False, stretch: int = STRETCH) -> DataFrame:
+    """Adds ``region`` to the cells with a value: connected cells of one value share the name of their first cell by row and
+    column, row * 2^31 + column.
 
-    Runs of equal cells in a row become nodes first, so what is iterated over are runs, not cells.
+    Runs of equal cells in a row become nodes first, so what is iterated over are runs, not cells.  Rows are cut in
+    stretches, and a run that goes on behind a cut is linked with its other part.
     """
     from .network import components
     from pyspark.sql import Window
 
-    w = Window.partitionBy("row").orderBy("col")
+    own = cells.filter("value is not null").select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "value").withColumn("_s", F.floor(F.col("col") / stretch))
+    w = Window.partitionBy("row", "_s").orderBy("col")
     new = F.coalesce((F.lag("col").over(w) != F.col("col") - 1) | (F.lag("value").over(w) != F.col("value")), F.lit(True))
-    runs = cells.filter("value is not null").withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.withColumn("run_id", F.xxhash64("row", "_run"))
-    links = [(1, 0)] + ([(1, 1), (1, -1)] if diagonal else [])
-    ends = runs.select("row", "col", "value", "run_id")
-    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in links))
-    down = ends.select("value", F.col("run_id").alias("a"), F.explode(steps).alias("t"), "row", "col").select("value", "a", (F.col("row") + F.col("t.i")).alias("row"), (F.col("col") + F.col("t.j")).alias("col"))
-    edges = down.join(ends.select("row", "col", "value", F.col("run_id").alias("b")), ["row", "col", "value"]).select("a", "b").distinct()
+    first = F.max(F.when(F.col("_new"), F.col("col"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    runs = own.withColumn("_new", new).withColumn("run_id", F.col("row") * (1 << 31) + first).drop("_new")
+    step = lambda i, j: F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
+    down = F.array(*(step(i, j) for i, j in [(1, 0)] + ([(1, 1), (1, -1)] if diagonal else [])))
+    steps = F.when((F.col("col") + 1) % stretch == 0, F.concat(down, F.array(step(0, 1)))).otherwise(down)
+    there = runs.select(F.col("value").alias("_v"), F.col("run_id").alias("a"), F.explode(steps).alias("t"), "row", "col").select("_v", "a", (F.col("row") + F.col("t.i")).alias("row"), (F.col("col") + F.col("t.j")).alias("col"))
+    edges = there.join(runs.select("row", "col", "value", F.col("run_id").alias("b")), ["row", "col"]).filter("_v = value").select("a", "b").distinct()
     roots = components(edges)
     return runs.join(roots, runs["run_id"] == roots["node"], "left").select("row", "col", "value", F.coalesce("component", "run_id").alias("region"))
 
@@ -146,7 +139,7 @@ def floodplain_access(cells: DataFrame, valley: str = "in_vb") -> DataFrame:
 
 
 def outlines(labelled: DataFrame, cell_size: float) -> DataFrame:
-    """(region, value, first, n_cells, area, perimeter, rmin, rmax, cmin, cmax) of ``regions``: what a polygon round each
+    """(region, value, n_cells, area, perimeter, rmin, rmax, cmin, cmax) of ``regions``: what a polygon round each
     region would measure.
 
     A side counts for the perimeter unless the cell behind it is of the same region: every cell shows its region to its four
@@ -157,7 +150,7 @@ def outlines(labelled: DataFrame, cell_size: float) -> DataFrame:
     own = (F.col("t.i") == 0) & (F.col("t.j") == 0)
     met = seen.groupBy((F.col("row") + F.col("t.i")).alias("row"), (F.col("col") + F.col("t.j")).alias("col"), "region").agg(F.max(F.when(own, F.col("value"))).alias("value"), (F.count(F.lit(1)) - 1).alias("inner"), F.max(own).alias("own"))
     return met.filter("own").groupBy("region", "value").agg(
-        F.min(F.col("row") * 1000 + F.col("col")).alias("first"), F.count(F.lit(1)).alias("n_cells"), (F.count(F.lit(1)) * cell_size * cell_size).alias("area"), (F.sum(4 - F.col("inner")) * cell_size).alias("perimeter"),
+        F.count(F.lit(1)).alias("n_cells"), (F.count(F.lit(1)) * cell_size * cell_size).alias("area"), (F.sum(4 - F.col("inner")) * cell_size).alias("perimeter"),
         F.min("row").alias("rmin"), F.max("row").alias("rmax"), F.min("col").alias("cmin"), F.max("col").alias("cmax"),
     )
 

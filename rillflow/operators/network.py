@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
+#: Tasks among which the nodes of one label are dealt.
+SLICES = 16
+
 
 def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
     """(up, down, steps): every node with everything downstream of it, itself not included.
@@ -101,8 +104,10 @@ def components(edges: DataFrame) -> DataFrame:
         nearby = both.join(label.select(F.col("u").alias("v"), F.col("l").alias("lv")), "v").groupBy("u").agg(F.min("lv").alias("m"))
         best = label.join(nearby, "u").select("u", F.col("l").alias("old"), F.least("l", "m").alias("l"))
         # a label hooks onto the best label any of its members saw, then jumps
-        hook = best.groupBy(F.col("old").alias("h")).agg(F.min("l").alias("hl"))
-        jumped = best.join(hook, best["l"] == hook["h"], "left").select("u", "old", F.least("l", F.coalesce("hl", "l")).alias("l"))
+        hook = best.groupBy(F.col("old").alias("h")).agg(F.min("l").alias("hl")).filter("hl < h")
+        # most nodes may carry one label: its row is there once per slice, and the nodes are dealt to the slices
+        hook = hook.withColumn("hs", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+        jumped = best.withColumn("_s", F.pmod(F.xxhash64("u"), F.lit(SLICES)).cast("int")).join(hook, (F.col("l") == F.col("h")) & (F.col("_s") == F.col("hs")), "left").select("u", "old", F.least("l", F.coalesce("hl", "l")).alias("l"))
         now = written(jumped)
         label = now.select("u", "l")
         if now.filter("l <> old").isEmpty():

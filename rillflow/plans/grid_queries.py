@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify
-from ..operators import aggregates, grid
+from ..operators import aggregates, distance, grid, paths, rings
 from .aggregate_queries import _CELLS, cells_of
 from .registry import query
 
@@ -27,19 +27,69 @@ def dem_slope(embeddings: DataFrame) -> DataFrame:
     return grid.slope_percent(cells_of(embeddings), 10.0).select("row", "col", F.round("value", 6).alias("slope"))
 
 
-@query("embeddings", sql=f"""WITH cells AS (SELECT * FROM {_CELLS}), s AS (SELECT row, col FROM cells WHERE value > 0.25),
-near AS (SELECT c.row, c.col, min(sqrt((c.row - s.row) ^ 2 + (c.col - s.col) ^ 2)) * 10.0 AS distance FROM cells c JOIN s ON abs(c.row - s.row) <= 4 AND abs(c.col - s.col) <= 4
-  AND sqrt((c.row - s.row) ^ 2 + (c.col - s.col) ^ 2) <= 4 GROUP BY 1, 2)
-SELECT c.row, c.col, n.distance FROM cells c LEFT JOIN near n ON c.row = n.row AND c.col = n.col""")
+#: Sources of distances: about one cell in two hundred.
+SOURCES = "value > 0.3"
+_NEAREST = f"""cells AS MATERIALIZED (SELECT * FROM {_CELLS}), s AS MATERIALIZED (SELECT row, col FROM cells WHERE {SOURCES}),
+near AS (SELECT c.row, c.col, min((c.row - s.row) ^ 2 + (c.col - s.col) ^ 2) AS d2, arg_min((s.row, s.col), ((c.row - s.row) ^ 2 + (c.col - s.col) ^ 2, s.row, s.col)) AS seed FROM cells c, s GROUP BY 1, 2)"""
+
+
+@query("embeddings", sql=f"WITH {_NEAREST} SELECT row, col, sqrt(d2) * 10.0 AS distance FROM near")
 def proximity_raster(embeddings: DataFrame) -> DataFrame:
+    """The distance of every cell to its nearest source, however far."""
+    cells = cells_of(embeddings)
+    return distance.proximity(cells, cells.filter(SOURCES), 10.0).select("row", "col", F.col("value").alias("distance"))
+
+
+@query("embeddings", sql=f"WITH {_NEAREST} SELECT n.seed[1] AS seed_row, n.seed[2] AS seed_col, count(*) AS n_cells, sqrt(max(d2)) AS farthest, round(avg(c.value), 9) AS mean FROM near n JOIN cells c USING (row, col) GROUP BY 1, 2")
+def nearest_seed_zones(embeddings: DataFrame) -> DataFrame:
+    """Every cell goes to its nearest seed; cells, farthest distance and mean value of each seed's zone."""
+    cells = cells_of(embeddings)
+    seeds = cells.filter(SOURCES).select("row", "col", F.col("row").alias("r"), F.col("col").alias("c"))
+    zones = distance.seed_zones(cells, seeds, ["r", "c"]).join(cells, ["row", "col"])
+    return zones.groupBy(F.col("r").alias("seed_row"), F.col("c").alias("seed_col")).agg(F.count(F.lit(1)).alias("n_cells"), F.max("distance").alias("farthest"), F.round(F.avg("value"), 9).alias("mean"))
+
+
+_COSTS = f"""costs AS MATERIALIZED (SELECT row, col, row * 64 + col AS id, value, 1.0 + floor(abs(value) * 50) AS cost FROM {_CELLS}), steps(k, i, j) AS MATERIALIZED (VALUES (0, -1, -1), (1, -1, 0), (2, -1, 1), (3, 0, -1), (4, 0, 1), (5, 1, -1), (6, 1, 0), (7, 1, 1))"""
+#: Rounds of the neighbours of what was lowered, until nothing is.
+_TOTALS = """moves AS MATERIALIZED (SELECT c.id, n.id AS next, k, (c.cost + n.cost) / 2 * sqrt((i * i + j * j)::DOUBLE) AS step FROM (SELECT *, row + i AS r, col + j AS c FROM {passable}, steps) c JOIN {passable} n ON n.row = c.r AND n.col = c.c),
+totals(id, total) USING KEY (id) AS (SELECT id, 0.0::DOUBLE FROM {passable} WHERE value > 0.3
+UNION SELECT m.next, min(t.total + m.step) FROM totals t JOIN moves m ON m.id = t.id LEFT JOIN recurring.totals o ON o.id = m.next WHERE o.total IS NULL OR t.total + m.step < o.total GROUP BY m.next)"""
+
+
+def _costs(embeddings: DataFrame) -> DataFrame:
+    return cells_of(embeddings).withColumn("cost", 1.0 + F.floor(F.abs("value") * 50))
+
+
+@query("embeddings", sql=f"WITH RECURSIVE {_COSTS}, {_TOTALS.format(passable='costs')} SELECT row, col, round(total, 6) AS total FROM totals JOIN costs USING (id)")
+def least_cost_surface(embeddings: DataFrame) -> DataFrame:
+    """The cost of the cheapest way from every cell to the channel."""
+    cells = _costs(embeddings)
+    return paths.least_costs(cells, cells.filter(SOURCES)).select("row", "col", F.round("total", 6).alias("total"))
+
+
+@query("embeddings", sql=f"""WITH RECURSIVE {_COSTS}, {_TOTALS.format(passable='costs')}, target AS (SELECT max(row) AS row FROM costs),
+way(id, total) AS (SELECT t.id, t.total FROM totals t, target WHERE t.id = target.row * 64 + 31
+UNION ALL SELECT b.t[1], b.t[2] FROM (SELECT arg_min((n.id, n.total), (n.total + m.step, m.k)) AS t FROM way w JOIN moves m ON m.id = w.id JOIN totals n ON n.id = m.next WHERE w.total > 0) b WHERE b.t IS NOT NULL)
+SELECT row, col FROM way JOIN costs USING (id)""")
+def least_cost_path(embeddings: DataFrame) -> DataFrame:
+    """The cells of the cheapest way from the middle of the last row to the channel."""
+    cells = _costs(embeddings)
+    last = cells.agg(F.max("row").alias("row")).select("row", F.lit(31).alias("col"))
+    return paths.paths_to(paths.least_costs(cells, cells.filter(SOURCES)), last).select("row", F.col("col").cast("int").alias("col"))
+
+
+@query("embeddings", sql=f"""WITH RECURSIVE {_COSTS}, flat AS MATERIALIZED (SELECT row, col, id, value, 1.0::DOUBLE AS cost FROM costs WHERE value > 0.3 OR abs(value) < 0.12), {_TOTALS.format(passable='flat')}
+SELECT row, col, round(total, 6) AS distance FROM totals JOIN costs USING (id) WHERE total <= 12""")
+def valley_growth(embeddings: DataFrame) -> DataFrame:
+    """The valley bottom grown from the channel through low cells, up to twelve cells of way."""
     cells = cells_of(embeddings)
-    return grid.proximity(cells, cells.filter("value > 0.25"), 10.0, 4).select("row", "col", F.col("value").alias("distance"))
+    return paths.grown(cells, cells.filter(SOURCES), "abs(value) < 0.12", 12.0).select("row", "col", F.round("distance", 6).alias("distance"))
 
 
-_REGIONS = f"""cells AS (SELECT row, col, {_class_sql(5)} AS value FROM {_CELLS}),
-steps AS (SELECT a.row AS r1, a.col AS c1, b.row AS r2, b.col AS c2 FROM cells a JOIN cells b ON a.value = b.value AND abs(a.row - b.row) + abs(a.col - b.col) = 1),
+_REGIONS = f"""cells AS MATERIALIZED (SELECT row, col, {_class_sql(5)} AS value FROM {_CELLS}),
+steps AS MATERIALIZED (SELECT a.row AS r1, a.col AS c1, b.row AS r2, b.col AS c2 FROM cells a JOIN cells b ON a.value = b.value AND abs(a.row - b.row) + abs(a.col - b.col) = 1),
 seen AS (SELECT row, col, row AS r, col AS c FROM cells UNION SELECT s.row, s.col, t.r2, t.c2 FROM seen s JOIN steps t ON s.r = t.r1 AND s.c = t.c1),
-regions AS (SELECT row, col, min(r * 1000 + c) AS region, count(*) AS n_cells FROM seen GROUP BY row, col)"""
+regions AS MATERIALIZED (SELECT row, col, min(r * 2147483648 + c) AS region, count(*) AS n_cells FROM seen GROUP BY row, col)"""
 
 
 def _regions(embeddings: DataFrame) -> DataFrame:
@@ -49,8 +99,7 @@ def _regions(embeddings: DataFrame) -> DataFrame:
 @query("embeddings", sql=f"WITH RECURSIVE {_REGIONS} SELECT row, col, region, n_cells FROM regions")
 def region_labels(embeddings: DataFrame) -> DataFrame:
     r = _regions(embeddings)
-    first = r.groupBy("region").agg(F.min(F.col("row") * 1000 + F.col("col")).alias("first"), F.count(F.lit(1)).alias("n_cells"))
-    return r.join(first, "region").select("row", "col", F.col("first").alias("region"), "n_cells")
+    return r.join(r.groupBy("region").agg(F.count(F.lit(1)).alias("n_cells")), "region").select("row", "col", "region", "n_cells")
 
 
 @query("embeddings", sql=f"WITH RECURSIVE {_REGIONS} SELECT row, col, value FROM regions JOIN cells USING (row, col) WHERE n_cells >= 4")
@@ -59,18 +108,46 @@ def sieve_small_regions(embeddings: DataFrame) -> DataFrame:
 
 
 @query("embeddings", sql=f"""WITH RECURSIVE {_REGIONS}, one AS (SELECT DISTINCT region, value, n_cells FROM regions JOIN cells USING (row, col))
-SELECT value, max_by(region, n_cells * 1000000 - region) AS region, max(n_cells) AS n_cells FROM one GROUP BY value""")
+SELECT value, max_by(region, (n_cells, -region)) AS region, max(n_cells) AS n_cells FROM one GROUP BY value""")
 def largest_region(embeddings: DataFrame) -> DataFrame:
     """Per class the region with the most cells; of equal ones the first."""
-    r = _regions(embeddings).groupBy("region", "value").agg(F.min(F.col("row") * 1000 + F.col("col")).alias("first"), F.count(F.lit(1)).alias("n_cells"))
-    return r.groupBy("value").agg(F.max_by("first", F.struct("n_cells", -F.col("first"))).alias("region"), F.max("n_cells").alias("n_cells"))
+    r = _regions(embeddings).groupBy("region", "value").agg(F.count(F.lit(1)).alias("n_cells"))
+    return r.groupBy("value").agg(F.max_by("region", F.struct("n_cells", -F.col("region"))).alias("region"), F.max("n_cells").alias("n_cells"))
 
 
 @query("embeddings", sql=f"""WITH RECURSIVE {_REGIONS}, sides AS (SELECT r1 AS row, c1 AS col, count(*) AS inner_sides FROM steps GROUP BY 1, 2)
 SELECT region, value, count(*) AS n_cells, count(*) * 100.0 AS area, CAST(sum(4 - coalesce(inner_sides, 0)) AS BIGINT) * 10.0 AS perimeter, min(row) AS rmin, max(row) AS rmax, min(col) AS cmin, max(col) AS cmax
 FROM regions JOIN cells USING (row, col) LEFT JOIN sides USING (row, col) GROUP BY region, value""")
 def polygonize_regions(embeddings: DataFrame) -> DataFrame:
-    return grid.outlines(_regions(embeddings), 10.0).select(F.col("first").alias("region"), "value", "n_cells", "area", "perimeter", "rmin", "rmax", "cmin", "cmax")
+    return grid.outlines(_regions(embeddings), 10.0).select("region", "value", "n_cells", "area", "perimeter", "rmin", "rmax", "cmin", "cmax")
+
+
+_RINGS = f"""{_REGIONS}, named AS MATERIALIZED (SELECT row, col, region FROM regions), sides(d, i, j, a, b, e, f) AS (VALUES (0, -1, 0, 0, 0, 1, 0), (1, 0, 1, 1, 0, 1, 1), (2, 1, 0, 1, 1, 0, 1), (3, 0, -1, 0, 1, 0, 0)),
+edges AS MATERIALIZED (SELECT n.region, d, n.col + a AS x0, n.row + b AS y0, n.col + e AS x1, n.row + f AS y1, (n.row * 2147483648 + n.col) * 4 + d AS id FROM named n, sides LEFT JOIN named o ON o.row = n.row + i AND o.col = n.col + j WHERE o.region IS DISTINCT FROM n.region),
+succ AS MATERIALIZED (SELECT e.id, arg_min(n.id, CASE (n.d - e.d + 4) % 4 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END) AS next, arg_min(n.d, CASE (n.d - e.d + 4) % 4 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END) <> any_value(e.d) AS turns FROM edges e JOIN edges n ON n.region = e.region AND n.x0 = e.x1 AND n.y0 = e.y1 GROUP BY e.id),
+walk AS (SELECT id AS head, id AS here, 1 AS n FROM edges UNION ALL SELECT w.head, s.next, w.n + 1 FROM walk w JOIN succ s ON s.id = w.here WHERE s.next > w.head),
+closed AS (SELECT w.head FROM walk w JOIN succ s ON s.id = w.here AND s.next = w.head)"""
+
+
+@query("embeddings", sql=f"""WITH RECURSIVE {_RINGS}
+SELECT region, count(*) AS n_edges, abs(sum(x0 * y1 - x1 * y0)) / 2.0 AS area, sum(x0 * y1 - x1 * y0) < 0 AS hole, min(x0) * 1.0 AS xmin, min(y0) * 1.0 AS ymin FROM walk JOIN closed USING (head) JOIN edges ON id = here GROUP BY region, head""")
+def polygonize_rings(embeddings: DataFrame) -> DataFrame:
+    """The outer ring and the holes of every region of equal cells."""
+    linked = _rings(embeddings)
+    box = linked.groupBy("ring").agg(F.min("x0").alias("xmin"), F.min("y0").alias("ymin"))
+    return rings.measured(linked, ["region"]).join(box, "ring").drop("ring")
+
+
+@query("embeddings", sql=f"""WITH RECURSIVE {_RINGS}, cuts AS (SELECT e.region, head, count(*) AS n_corners, count(DISTINCT (e.x1, e.y1)) AS n_places, sum(e.x1 * 2 + e.y1) * 1.0 AS weight FROM walk JOIN closed USING (head) JOIN edges e ON e.id = here JOIN succ ON succ.id = here WHERE turns GROUP BY e.region, head)
+SELECT region, n_corners, n_places, weight FROM cuts""")
+def ring_corners(embeddings: DataFrame) -> DataFrame:
+    """The corners of every ring: how many, at how many places, and their sum."""
+    c = rings.corners(_rings(embeddings), ["region"])
+    return c.groupBy("region", "ring").agg(F.count(F.lit(1)).alias("n_corners"), F.count_distinct("x", "y").alias("n_places"), F.sum(F.col("x") * 2 + F.col("y")).alias("weight")).drop("ring")
+
+
+def _rings(embeddings: DataFrame) -> DataFrame:
+    return rings.linked(rings.dissolved(rings.region_edges(_regions(embeddings)), ["region"]), ["region"])
 
 
 @query("embeddings", sql=f"""WITH cells AS (SELECT * FROM {_CELLS})
@@ -89,7 +166,7 @@ def mosaic_first_wins(embeddings: DataFrame) -> DataFrame:
     return grid.mosaic([cells.filter("value > 0.1"), cells.filter("(row + col) % 3 = 0").withColumn("value", F.col("value") * 10)])
 
 
-@query("embeddings", sql=f"""WITH cells AS (SELECT * FROM {_CELLS}), e AS (SELECT row, col, value AS hand FROM cells), s AS (SELECT row - 1 AS row, col, value AS slope FROM cells), c AS (SELECT row, col - 1 AS col, value AS channel FROM cells)
+@query("embeddings", sql=f"""WITH cells AS MATERIALIZED (SELECT * FROM {_CELLS}), e AS (SELECT row, col, value AS hand FROM cells), s AS (SELECT row - 1 AS row, col, value AS slope FROM cells), c AS (SELECT row, col - 1 AS col, value AS channel FROM cells)
 SELECT row, col, round(greatest(0.65 * hand + 0.35 * slope, 0.995 * channel), 9) AS evidence FROM e JOIN s USING (row, col) JOIN c USING (row, col)""")
 def evidence_overlay(embeddings: DataFrame) -> DataFrame:
     """Three rasters cell by cell, weighed into one."""

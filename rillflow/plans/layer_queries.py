@@ -147,6 +147,10 @@ def intersect_with_measure(supplier: DataFrame, customer: DataFrame) -> DataFram
 _SPANS = "SELECT l_suppkey AS path, datediff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) * 1.0 AS a, datediff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) + l_quantity AS b, l_returnflag AS kind FROM lineitem"
 
 
+#: Streams are cut every so many days.
+STRETCH = 256.0
+
+
 def spans(lineitem: DataFrame) -> DataFrame:
     day = F.datediff("l_shipdate", F.lit("1992-01-01")).cast("double")
     return lineitem.select(F.col("l_suppkey").alias("path"), day.alias("a"), (day + F.col("l_quantity")).alias("b"), F.col("l_returnflag").alias("kind"))
@@ -159,44 +163,40 @@ u AS (SELECT path, kind, min(a) AS a, max(b) AS b FROM g GROUP BY path, kind, is
 
 @query("lineitem", sql=f"WITH s AS ({_SPANS}), {_DISSOLVED} SELECT path, kind, a, b FROM u")
 def dissolve_by_field(lineitem: DataFrame) -> DataFrame:
-    return intervals.dissolve(spans(lineitem), ["path", "kind"], "a", "b")
+    return intervals.dissolve(spans(lineitem), ["path", "kind"], "a", "b", STRETCH)
 
 
 @query("lineitem", sql=f"""WITH s AS (SELECT path, 'all' AS kind, a, b FROM ({_SPANS})), {_DISSOLVED} SELECT path, count(*) AS n_pieces, sum(b - a) AS covered, min(a) AS first, max(b) AS last FROM u GROUP BY path""")
 def channel_area_union(lineitem: DataFrame) -> DataFrame:
     """What overlapping channel pieces cover together: overlaps count once."""
-    u = intervals.dissolve(spans(lineitem), ["path"], "a", "b")
+    u = intervals.dissolve(spans(lineitem), ["path"], "a", "b", STRETCH)
     return u.groupBy("path").agg(F.count(F.lit(1)).alias("n_pieces"), F.sum(F.col("b") - F.col("a")).alias("covered"), F.min("a").alias("first"), F.max("b").alias("last"))
 
 
-_CUTS = "c AS (SELECT DISTINCT path, x FROM (SELECT path, a AS x FROM s UNION ALL SELECT path, b FROM s)), p AS (SELECT path, x AS a, lead(x) OVER (PARTITION BY path ORDER BY x) AS b FROM c)"
+#: Ends of spans with +1 and -1, summed up along the path: what covers each piece, over all rows.
+_PIECES = """e AS (SELECT path, a AS x, 1 AS d, kind FROM s UNION ALL SELECT path, b, -1, kind FROM s),
+p AS (SELECT path, x AS a, sum(d) AS n, sum(d) FILTER (WHERE kind = 'R') AS r, sum(d) FILTER (WHERE kind = 'N') AS k FROM e GROUP BY path, x),
+k AS (SELECT path, a, lead(a) OVER w AS b, sum(n) OVER w > 0 AS covered, coalesce(sum(r) OVER w, 0) > 0 AS has_r, coalesce(sum(k) OVER w, 0) > 0 AS has_n FROM p WINDOW w AS (PARTITION BY path ORDER BY a))"""
 
 
-@query("lineitem", sql=f"""WITH s AS ({_SPANS} WHERE l_linenumber <= 2), {_CUTS}
-SELECT p.path, p.a, p.b, bool_or(s.kind = 'R') AS has_r, bool_or(s.kind = 'N') AS has_n FROM p JOIN s ON s.path = p.path AND s.a < p.b AND s.b > p.a WHERE p.b IS NOT NULL GROUP BY 1, 2, 3""")
+@query("lineitem", sql=f"WITH s AS ({_SPANS}), {_PIECES} SELECT path, a, b, has_r, has_n FROM k WHERE covered AND b IS NOT NULL")
 def split_by_overlay(lineitem: DataFrame) -> DataFrame:
     """Streams cut at every end of every span, with the kinds of span that cover each piece."""
-    s = spans(lineitem.filter("l_linenumber <= 2"))
-    return intervals.split(s, ["path"], "a", "b", {"has_r": F.col("kind") == "R", "has_n": F.col("kind") == "N"}).select("path", "a", "b", "has_r", "has_n")
+    return intervals.split(spans(lineitem), ["path"], "a", "b", {"has_r": F.col("kind") == "R", "has_n": F.col("kind") == "N"}, STRETCH).select("path", "a", "b", "has_r", "has_n")
 
 
-@query("lineitem", sql=f"""WITH s AS ({_SPANS} WHERE l_linenumber <= 2), {_CUTS},
-k AS (SELECT p.path, p.a, p.b, bool_or(s.kind = 'R') AS has_r, bool_or(s.kind = 'N') AS has_n FROM p JOIN s ON s.path = p.path AND s.a < p.b AND s.b > p.a WHERE p.b IS NOT NULL GROUP BY 1, 2, 3)
-SELECT path, sum(b - a) AS length FROM k WHERE has_n AND NOT has_r GROUP BY path""")
+@query("lineitem", sql=f"WITH s AS ({_SPANS}), {_PIECES} SELECT path, sum(b - a) AS length FROM k WHERE has_n AND NOT has_r GROUP BY path")
 def difference_overlay(lineitem: DataFrame) -> DataFrame:
     """How much of a stream one kind of span covers and another doesn't."""
-    s = spans(lineitem.filter("l_linenumber <= 2"))
-    k = intervals.split(s, ["path"], "a", "b", {"has_r": F.col("kind") == "R", "has_n": F.col("kind") == "N"})
+    k = intervals.split(spans(lineitem), ["path"], "a", "b", {"has_r": F.col("kind") == "R", "has_n": F.col("kind") == "N"}, STRETCH)
     return k.filter("has_n and not has_r").groupBy("path").agg(F.sum(F.col("b") - F.col("a")).alias("length"))
 
 
-@query("lineitem", sql=f"""WITH s AS ({_SPANS} WHERE l_linenumber <= 2 AND l_returnflag <> 'A'), {_CUTS},
-k AS (SELECT p.path, p.b - p.a AS len, bool_or(s.kind = 'R') AS l, bool_or(s.kind = 'N') AS r FROM p JOIN s ON s.path = p.path AND s.a < p.b AND s.b > p.a WHERE p.b IS NOT NULL GROUP BY p.path, p.a, p.b)
-SELECT path, sum(len) AS length, least(sum(CASE WHEN l THEN len ELSE 0 END + CASE WHEN r THEN len ELSE 0 END) / sum(len), 1.0) AS ratio, sum(CASE WHEN l AND r THEN len ELSE 0 END) / sum(len) AS constriction FROM k GROUP BY path""")
+@query("lineitem", sql=f"""WITH s AS ({_SPANS} WHERE l_returnflag <> 'A'), {_PIECES}
+SELECT path, sum(b - a) AS length, least(sum((b - a) * (has_r::INT + has_n::INT)) / sum(b - a), 1.0) AS ratio, sum(CASE WHEN has_r AND has_n THEN b - a ELSE 0 END) / sum(b - a) AS constriction FROM k WHERE covered AND b IS NOT NULL GROUP BY path""")
 def confinement_per_flowline(lineitem: DataFrame) -> DataFrame:
     """A flowline is cut at the ends of its confined stretches; pieces confined on both sides count twice in the ratio."""
-    s = spans(lineitem.filter("l_linenumber <= 2 and l_returnflag <> 'A'"))
-    k = intervals.split(s, ["path"], "a", "b", {"on_left": F.col("kind") == "R", "on_right": F.col("kind") == "N"})
+    k = intervals.split(spans(lineitem.filter("l_returnflag <> 'A'")), ["path"], "a", "b", {"on_left": F.col("kind") == "R", "on_right": F.col("kind") == "N"}, STRETCH)
     return intervals.confinement(k, ["path"], "on_left", "on_right")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python once per application, so that none needs it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rillflow_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{root.name}", "zip", root.parent, root.name))
+    sc._rillflow_shipped = True
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cuts the lineage: writes ``df`` to the shared folder and reads it back."""
     path = scratch_dir(df.sparkSession)
