@@ -11,9 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 Shape = tuple[float, ...]
 
 
@@ -92,11 +94,10 @@ def centroids(shapes: list[Shape], levels: np.ndarray) -> np.ndarray:
 
     left, right = x[:, :-1], x[:, 1:]
     width = right - left
-    # the shape is linear inside a piece: take its heights a little inside, as it may jump at a vertical side
-    eps = width * 1e-6
-    h0, h1 = height(left + eps), height(right - eps)
+    # the shape is linear inside a piece, but may jump at its ends: two heights inside say all
+    h0, h1 = height(left + width / 4), height(right - width / 4)
     area = width * (h0 + h1) / 2
-    moment = width * (h0 * (2 * left + right) + h1 * (left + 2 * right)) / 6
+    moment = area * (left + right) / 2 + (h1 - h0) * width * width / 6
     total = area.sum(axis=1)
     with np.errstate(invalid="ignore", divide="ignore"):
         return np.where(total > 0, moment.sum(axis=1) / total, np.nan)
@@ -104,6 +105,7 @@ def centroids(shapes: list[Shape], levels: np.ndarray) -> np.ndarray:
 
 def centroid_of(output: dict[str, Shape]):
     shapes = list(output.values())
+    ship(SparkSession.active())
 
     @F.pandas_udf("double")
     def of(levels: pd.Series) -> pd.Series:

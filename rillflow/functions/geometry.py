@@ -5,14 +5,15 @@ A line or ring is ``array<struct<x: double, y: double>>``; a ring need not repea
 
 from __future__ import annotations
 
-import math
 import struct
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 POINTS = "array<struct<x:double,y:double>>"
 EARTH_RADIUS_M = 6371000.0
 
@@ -74,10 +75,6 @@ def box(points: Column) -> Column:
     return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"), F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 
 
-def boxes_meet(a: Column, b: Column) -> Column:
-    return (a["xmin"] <= b["xmax"]) & (b["xmin"] <= a["xmax"]) & (a["ymin"] <= b["ymax"]) & (b["ymin"] <= a["ymax"])
-
-
 def rounded(points: Column, digits: int) -> Column:
     return F.transform(points, lambda p: F.struct(F.round(p["x"], digits).alias("x"), F.round(p["y"], digits).alias("y")))
 
@@ -181,6 +178,7 @@ def decode_wkb(data: bytes | None) -> list[np.ndarray] | None:
 
 def wkb_points(column: Column) -> Column:
     """Parts of a geometry: array<array<struct<x,y>>>, built from flat arrays of a batch's coordinates."""
+    ship(SparkSession.active())
 
     @F.pandas_udf("array<array<double>>")
     def of(data: pd.Series) -> pd.Series:
@@ -188,42 +186,3 @@ def wkb_points(column: Column) -> Column:
 
     # pairs of numbers become points on the side of the engine
     return F.transform(of(column), lambda flat: F.transform(F.sequence(F.lit(1), (F.size(flat) / 2).cast("int")), lambda i: F.struct(F.element_at(flat, 2 * i - 1).alias("x"), F.element_at(flat, 2 * i).alias("y"))))
-
-
-def clip_segment(x0: float, y0: float, x1: float, y1: float, ring: np.ndarray) -> list[tuple[float, float]]:
-    """Parameter ranges (from, to) of a segment inside a ring."""
-    px, py = ring[:, 0], ring[:, 1]
-    qx, qy = np.roll(px, -1), np.roll(py, -1)
-    dx, dy, ex, ey = x1 - x0, y1 - y0, qx - px, qy - py
-    den = dx * ey - dy * ex
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = ((px - x0) * ey - (py - y0) * ex) / den
-        u = ((px - x0) * dy - (py - y0) * dx) / den
-    cuts = np.unique(np.concatenate(([0.0, 1.0], t[(den != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)])))
-    out = []
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        m = (a + b) / 2
-        x, y = x0 + m * dx, y0 + m * dy
-        with np.errstate(divide="ignore", invalid="ignore"):
-            hit = ((py > y) != (qy > y)) & (x < px + (y - py) * ex / ey)
-        if hit.sum() % 2:
-            out.append((float(a), float(b)))
-    return out
-
-
-def length_inside(line: Column, ring: Column) -> Column:
-    """Length of the part of a line inside a ring."""
-
-    @F.pandas_udf("double")
-    def of(lines: pd.Series, rings: pd.Series) -> pd.Series:
-        out = []
-        for l, r in zip(lines, rings, strict=True):
-            if l is None or r is None:
-                out.append(None)
-                continue
-            p = [(a["x"], a["y"]) for a in l]
-            q = np.array([(a["x"], a["y"]) for a in r])
-            out.append(sum((b - a) * math.hypot(x1 - x0, y1 - y0) for (x0, y0), (x1, y1) in zip(p, p[1:], strict=False) for a, b in clip_segment(x0, y0, x1, y1, q)))
-        return pd.Series(out, dtype="float64")
-
-    return of(line, ring)

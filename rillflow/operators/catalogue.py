@@ -73,8 +73,11 @@ def segments(records: DataFrame, metrics: list[Metric], path: str, distance: str
     return records.groupBy(path, distance).agg(F.sum(length).alias("length"), F.sum(area).alias("area"), *own)
 
 
-def windows_of(segments: DataFrame, metrics: list[Metric], path: str, distance: str, width: float) -> DataFrame:
-    """(path, distance, one column per metric with a window calculation), for every segment's place."""
+def windows_of(segments: DataFrame, metrics: list[Metric], path: str, distance: str, width: float | Column, stretch: float | None = None) -> DataFrame:
+    """(path, distance, one column per metric with a window calculation), for every segment's place.
+
+    A width that is a column is each segment's own; its windows end at whole numbers, cut towards zero, and streams are cut every
+    ``stretch``."""
     wanted = [m for m in metrics if m.window]
     inputs: dict[str, tuple[str, Column]] = {}
 
@@ -84,7 +87,11 @@ def windows_of(segments: DataFrame, metrics: list[Metric], path: str, distance:
 
     out = [(F.col(m.code) if m.window == "copy" else WINDOWS[m.window](F.col(m.code), total)).alias(m.code) for m in wanted]
     rows = segments.select("*", *(c.alias(name) for name, c in inputs.values()))
-    return windows.moving_window(rows, path, distance, width, sums=[name for name, _ in inputs.values()]).select(path, distance, *out)
+    names = [name for name, _ in inputs.values()]
+    if isinstance(width, Column):
+        low, high = ((F.col(distance) + sign * width / 2).cast("long") for sign in (-1, 1))
+        return windows.own_windows(rows, rows, path, distance, low, high, stretch, sums=names).select(path, distance, *out)
+    return windows.moving_window(rows, path, distance, width, sums=names).select(path, distance, *out)
 
 
 def long_form(wide: DataFrame, metrics: list[Metric], keys: list[str]) -> DataFrame:

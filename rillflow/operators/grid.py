@@ -66,18 +66,24 @@ def surface_temperature(raw: Column) -> Column:
     return F.nullif(raw, F.lit(0)) * 0.02 - 273.15
 
 
-def slope_percent(cells: DataFrame, cell_size: float) -> DataFrame:
-    """Slope of a surface from the 3 x 3 neighbourhood (Horn's weights); cells with a missing neighbour are null.
+def _horn(cells: DataFrame) -> DataFrame:
+    """(row, col, dx, dy, n): eight times the rise to the east and to the north over a cell, by Horn's weights, and how many
+    of the 3 x 3 cells are there.
 
     Every cell sends its weighted value to its eight neighbours, and one aggregation sums them up.
     """
-    targets = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(float(-j * (2 if i == 0 else 1))).alias("wx"), F.lit(float(-i * (2 if j == 0 else 1))).alias("wy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    targets = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(float(-j * (2 if i == 0 else 1))).alias("wx"), F.lit(float(i * (2 if j == 0 else 1))).alias("wy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     sent = cells.filter("value is not null").select("row", "col", "value", F.explode(targets).alias("t"))
     sums = sent.groupBy((F.col("row") + F.col("t.i")).alias("row"), (F.col("col") + F.col("t.j")).alias("col")).agg(
-        F.sum(F.col("value") * F.col("t.wx")).alias("dx"), F.sum(F.col("value") * F.col("t.wy")).alias("dy"), F.count(F.lit(1)).alias("n"), F.max(F.when((F.col("t.i") == 0) & (F.col("t.j") == 0), F.col("value"))).alias("own")
+        F.sum(F.col("value") * F.col("t.wx")).alias("dx"), F.sum(F.col("value") * F.col("t.wy")).alias("dy"), F.count(F.lit(1)).alias("n"), F.max((F.col("t.i") == 0) & (F.col("t.j") == 0)).alias("own")
     )
+    return sums.filter("own").drop("own")
+
+
+def slope_percent(cells: DataFrame, cell_size: float) -> DataFrame:
+    """Slope of a surface from the 3 x 3 neighbourhood; cells with a missing neighbour are null."""
     rise = F.sqrt(F.pow("dx", 2) + F.pow("dy", 2)) / (8 * cell_size)
-    return sums.filter("own is not null").select("row", "col", F.when(F.col("n") == 9, 100 * rise).alias("value"))
+    return _horn(cells).select("row", "col", F.when(F.col("n") == 9, 100 * rise).alias("value"))
 
 
 #: Columns of a stretch of a raster's row.
@@ -177,3 +183,69 @@ def rasterize(shapes: DataFrame, ring: str, cell_size: float) -> DataFrame:
     cells = b.withColumn("row", F.explode(F.sequence(n(F.col("_b.ymin")), n(F.col("_b.ymax"))))).withColumn("col", F.explode(F.sequence(n(F.col("_b.xmin")), n(F.col("_b.xmax")))))
     centre = lambda c: (F.col(c) + 0.5) * cell_size
     return cells.filter(in_ring(centre("col"), centre("row"), F.col(ring))).select(*keys, "row", "col")
+
+
+# --- grow and shrink -------------------------------------------------------------------------------------------------
+
+
+def _extreme(cells: DataFrame, axis: str, other: str, n: int, how, strip: int) -> DataFrame:
+    """Each cell's extreme of the cells up to n away along an axis, in strips with the cells near a border shared."""
+    home = F.floor(F.col(axis) / strip)
+    near = F.array_distinct(F.array(home, F.floor((F.col(axis) - n) / strip), F.floor((F.col(axis) + n) / strip)))
+    dealt = cells.withColumn("_home", home).withColumn("_strip", F.explode(near))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(other, "_strip").orderBy(axis).rangeBetween(-n, n)
+    return dealt.select("row", "col", "_home", "_strip", how("value").over(w).alias("value")).filter("_home = _strip").select("row", "col", "value")
+
+
+def grown(cells: DataFrame, n: int, strip: int = 1024) -> DataFrame:
+    """A raster of 0 and 1 with every 1 grown over the cells up to n rows and columns away; cells that are not there stay so."""
+    known = cells.filter("value is not null").select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "value")
+    if n >= strip:
+        raise ValueError("a strip must be wider than n")
+    return _square(known, n, F.max, strip, 0)
+
+
+def shrunk(cells: DataFrame, n: int, strip: int = 1024) -> DataFrame:
+    """The other way round: only the 1s stay that have no 0 up to n rows and columns away.  What lies outside of the raster is
+    neither."""
+    known = cells.filter("value is not null").select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "value")
+    if n >= strip:
+        raise ValueError("a strip must be wider than n")
+    return _square(known, n, F.min, strip, 1)
+
+
+def _square(known: DataFrame, n: int, how, strip: int, nothing: int) -> DataFrame:
+    """The extreme over a square, first along rows and then along columns.
+
+    A cell that is not there may still hand on what is beside it: the first pass also asks for the columns of the rows
+    around that have cells there.
+    """
+    around = F.explode(F.sequence(F.lit(-n), F.lit(n)))
+    wanted = known.select("row", "col").withColumn("_k", around).select((F.col("row") + F.col("_k")).alias("row"), "col").distinct()
+    there = known.select(F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
+    padded = wanted.join(there, (F.col("row") == F.col("_r")) & (F.col("col") == F.col("_c")), "left").select("row", "col", "value")
+    across = _extreme(padded, "col", "row", n, how, strip)
+    down = _extreme(across, "row", "col", n, how, strip)
+    return down.join(known.select("row", "col"), ["row", "col"], "left_semi").withColumn("value", F.coalesce("value", F.lit(nothing)))
+
+
+def closed(cells: DataFrame, n: int) -> DataFrame:
+    """Grown and shrunk again: gaps and holes up to 2 n wide are filled."""
+    return shrunk(grown(cells, n), n)
+
+
+def opened(cells: DataFrame, n: int) -> DataFrame:
+    """Shrunk and grown again: what is up to 2 n wide is gone."""
+    return grown(shrunk(cells, n), n)
+
+
+def hillshade(cells: DataFrame, cell_size: float, azimuth: float = 315.0, altitude: float = 45.0) -> DataFrame:
+    """Brightness 0 to 255 of a surface lit from a direction (degrees clockwise from north) at a height above the horizon;
+    cells with a missing neighbour are null."""
+    s = _horn(cells)
+    dx, dy = F.col("dx") / (8 * cell_size), F.col("dy") / (8 * cell_size)  # towards the east, towards the north
+    up, way = F.radians(F.lit(altitude)), F.radians(F.lit(azimuth))
+    lit = (F.sin(up) - F.cos(up) * (dx * F.sin(way) + dy * F.cos(way))) / F.sqrt(1 + dx * dx + dy * dy)
+    return s.select("row", "col", F.when(F.col("n") == 9, F.greatest(F.lit(0.0), 255 * lit)).alias("value"))

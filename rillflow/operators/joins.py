@@ -48,18 +48,80 @@ def nearest_key(left: DataFrame, right: DataFrame, on: list[str], left_at: str,
     return left.join(best, back, "left").select(*left.columns, *(F.col(f"_n.{c}").alias(f"near_{c}") for c in right.columns if c not in on), "distance")
 
 
-def grid_cells(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float) -> Column:
-    """The cells (cx, cy) that a box touches."""
-    axis = lambda a, b: F.sequence(F.floor(a / size), F.floor(b / size))
-    return F.flatten(F.transform(axis(xmin, xmax), lambda cx: F.transform(axis(ymin, ymax), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
-
-
-def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
-    """Points (x, y, ...) with the boxes (xmin, ymin, xmax, ymax, ...) they lie in; edges belong to a box."""
-    p = points.withColumn("_cx", F.floor(F.col("x") / size)).withColumn("_cy", F.floor(F.col("y") / size))
-    b = boxes.withColumn("_c", F.explode(grid_cells(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"), size))).withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy"))
+# --- a grid of levels ---------------------------------------------------------------------------------------------------
+#
+# A box is stored once: at the level of which the cells are as large as it is (each level's are twice as large as those
+# of the level below), in the cell of its lower left corner.  So a box that covers everything is one row, and who looks for
+# boxes asks a few cells of each level that has any.  Cells that would be more than a task's share are cut by counts taken
+# first: the askers and the boxes of such a cell are dealt to parts, and each part of the one meets each part of the other.
+
+#: Rows of either side that a part of a cell has at most, about.
+CELL_ROWS = 50_000
+_CELL = ("_lv", "_cx", "_cy")
+SIDES = ("xmin", "ymin", "xmax", "ymax")
+
+
+def _named(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(f"{prefix}{c}") for c in df.columns))
+
+
+def stored(boxes: DataFrame, size: float, prefix: str = "") -> DataFrame:
+    """Adds the cell (level, cx, cy) at which a box is stored; boxes with a null side are left out."""
+    x0, y0, x1, y1 = (F.col(f"{prefix}{c}").cast("double") for c in SIDES)
+    extent = F.greatest(x1 - x0, y1 - y0, F.lit(0.0))
+    near = F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(size)) / size)), F.lit(0)).cast("int")
+    level = F.when(F.pow(F.lit(2.0), near) * size < extent, near + 1).otherwise(near)  # the logarithm is rounded
+    width = F.pow(F.lit(2.0), F.col("_lv")) * size
+    return boxes.filter(x0.isNotNull() & y0.isNotNull() & x1.isNotNull() & y1.isNotNull()).withColumn("_lv", level).withColumns({"_cx": F.floor(x0 / width), "_cy": F.floor(y0 / width)})
+
+
+def _levels(boxes: DataFrame) -> list[int]:
+    """The levels that have boxes: a few dozen numbers at most."""
+    return sorted(r[0] for r in boxes.select("_lv").distinct().collect())
+
+
+def asked(rows: DataFrame, levels: list[int], size: float, box: tuple[Column, Column, Column, Column], own: Column | None = None, above: int = 0) -> DataFrame:
+    """A row for each cell that can hold a box that meets the row's own one, at the levels from ``own`` + ``above`` on."""
+    x0, y0, x1, y1 = box
+    width = F.pow(F.lit(2.0), F.col("_lv")) * size
+    at = F.array(*(F.lit(v) for v in levels)) if levels else F.array().cast("array<int>")
+    spread = rows.withColumn("_lv", F.explode(at if own is None else F.filter(at, lambda v: v >= own + above)))
+    span = lambda low, high: F.sequence(F.floor(low / width) - 1, F.floor(high / width))
+    return spread.withColumn("_cx", F.explode(span(x0, x1))).withColumn("_cy", F.explode(span(y0, y1)))
+
+
+def meet(askers: DataFrame, boxes: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Joins rows of ``asked`` with those of ``stored`` by cell, dense cells in parts."""
+    n_boxes = boxes.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nb"))
+    counts = askers.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_na")).join(n_boxes, list(_CELL))
+    dense = counts.filter((F.col("_na") > cell_rows) | (F.col("_nb") > cell_rows)).select(*_CELL, F.ceil(F.col("_na") / cell_rows).alias("_pa"), F.ceil(F.col("_nb") / cell_rows).alias("_pb"))
+    one = F.lit(1).cast("long")
+    parts = {c: F.coalesce(c, one) for c in ("_pa", "_pb")}
+    dealt = lambda df, own: df.join(dense, list(_CELL), "left").withColumns(parts).withColumn(f"_{own}", F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.col(f"_p{own}")))
+    a = dealt(askers, "a").withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pb") - 1))).drop("_pa", "_pb")
+    b = dealt(boxes, "b").withColumn("_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pa") - 1))).drop("_pa", "_pb")
+    return a.join(b, [*_CELL, "_a", "_b"]).drop(*_CELL, "_a", "_b")
+
+
+def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Points (x, y, ...) with the boxes (xmin, ymin, xmax, ymax, ...) they lie in; edges belong to a box.  ``size`` is that of
+    the smallest boxes worth a level of their own."""
+    b = stored(boxes, size)
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    p = asked(points.filter("x is not null and y is not null"), _levels(b), size, (x, y, x, y))
     hit = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
-    return p.join(b, ["_cx", "_cy"]).filter(hit).drop("_cx", "_cy", "_c")
+    return meet(p, b, cell_rows).filter(hit)
+
+
+def boxes_meet(left: DataFrame, right: DataFrame, size: float, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Pairs of boxes that touch or overlap, columns prefixed ``left_`` and ``right_``.  The smaller box of a pair asks for the
+    larger one, so a pair is found once."""
+    a, b = stored(_named(left, "left_"), size, "left_"), stored(_named(right, "right_"), size, "right_")
+    sides = lambda p: tuple(F.col(f"{p}{c}").cast("double") for c in SIDES)
+    ask = lambda df, p, levels, above: asked(df.withColumnRenamed("_lv", "_own").drop("_cx", "_cy"), levels, size, sides(p), F.col("_own"), above).drop("_own")
+    found = meet(ask(a, "left_", _levels(b), 0), b, cell_rows).unionByName(meet(ask(b, "right_", _levels(a), 1), a, cell_rows))
+    touch = (F.col("left_xmin") <= F.col("right_xmax")) & (F.col("right_xmin") <= F.col("left_xmax")) & (F.col("left_ymin") <= F.col("right_ymax")) & (F.col("right_ymin") <= F.col("left_ymax"))
+    return found.filter(touch)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, ring: str = "ring") -> DataFrame:

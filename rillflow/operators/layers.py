@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import _segments
-from .joins import grid_cells, points_in_boxes
+from ..session import written
+from .joins import boxes_meet, points_in_boxes
 
 #: The name space of domain names, of the published standard for such identifiers.
 NAMESPACE_DNS = "6ba7b8109dad11d180b400c04fd430c8"
@@ -32,24 +35,11 @@ def select_by_location(points: DataFrame, boxes: DataFrame, key: str, size: floa
     return points.join(inside, key, "left_anti" if outside else "left_semi").select(*points.columns)
 
 
-def _dealt(boxes: DataFrame, size: float) -> DataFrame:
-    cells = grid_cells(F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"), size)
-    return boxes.withColumn("_c", F.explode(cells)).withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")
-
-
 def boxes_overlap(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
-    """Pairs of boxes that share an area, columns prefixed ``left_`` and ``right_``, and the area.
-
-    Boxes meet in grid cells; a pair is taken in the cell that holds the lower left corner of what it shares, so it is found
-    once, without a distinct.
-    """
-    named = lambda df, side: df.select(*(F.col(c).alias(f"{side}_{c}") for c in df.columns))
-    a, b = (named(_dealt(df, size), side) for df, side in ((left, "left"), (right, "right")))
+    """Pairs of boxes that share an area, columns prefixed ``left_`` and ``right_``, and the area."""
     c = lambda f, x: f(F.col(f"left_{x}"), F.col(f"right_{x}"))
     x0, y0, x1, y1 = c(F.greatest, "xmin"), c(F.greatest, "ymin"), c(F.least, "xmax"), c(F.least, "ymax")
-    met = a.join(b, (F.col("left__cx") == F.col("right__cx")) & (F.col("left__cy") == F.col("right__cy")))
-    home = (F.floor(x0 / size) == F.col("left__cx")) & (F.floor(y0 / size) == F.col("left__cy"))
-    return met.filter((x0 < x1) & (y0 < y1) & home).withColumn("area", (x1 - x0) * (y1 - y0)).drop("left__cx", "left__cy", "right__cx", "right__cy")
+    return boxes_meet(left, right, size).filter((x0 < x1) & (y0 < y1)).withColumn("area", (x1 - x0) * (y1 - y0))
 
 
 def length_in_box(line: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
@@ -71,18 +61,17 @@ def length_in_box(line: Column, xmin: Column, ymin: Column, xmax: Column, ymax:
     return F.aggregate(_segments(line), F.lit(0.0), lambda s, p: s + inside(p))
 
 
-def lines_in_boxes(lines: DataFrame, boxes: DataFrame, line: str, size: float) -> DataFrame:
-    """Lines with the boxes they run through, and the length inside."""
-    from ..functions.geometry import box
-
-    spread = lines.withColumn("_b", box(F.col(line))).withColumn("_c", F.explode(grid_cells(F.col("_b.xmin"), F.col("_b.ymin"), F.col("_b.xmax"), F.col("_b.ymax"), size)))
-    spread = spread.withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")
-    met = spread.join(_dealt(boxes, size), ["_cx", "_cy"])
-    x0, y0 = F.greatest("_b.xmin", "xmin"), F.greatest("_b.ymin", "ymin")
-    home = (F.floor(x0 / size) == F.col("_cx")) & (F.floor(y0 / size) == F.col("_cy"))  # once per pair
-    meets = (F.col("_b.xmin") <= F.col("xmax")) & (F.col("xmin") <= F.col("_b.xmax")) & (F.col("_b.ymin") <= F.col("ymax")) & (F.col("ymin") <= F.col("_b.ymax"))
-    out = met.filter(meets & home).withColumn("length", length_in_box(F.col(line), *(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))))
-    return out.filter("length > 0").drop("_b", "_cx", "_cy")
+def lines_in_boxes(lines: DataFrame, boxes: DataFrame, line_keys: list[str], box_keys: list[str], line: str, size: float) -> DataFrame:
+    """(line keys, box keys, length): lines with the boxes they run through, and the length inside.  Each segment of a line looks
+    for boxes by itself, so a long line is not everywhere that the box around it is."""
+    a, b = F.col("s.a"), F.col("s.b")
+    segments = lines.select(*line_keys, F.explode(_segments(F.col(line))).alias("s")).select(
+        *line_keys, F.array("s.a", "s.b").alias("_segment"), F.least(a["x"], b["x"]).alias("xmin"), F.least(a["y"], b["y"]).alias("ymin"), F.greatest(a["x"], b["x"]).alias("xmax"), F.greatest(a["y"], b["y"]).alias("ymax")
+    )
+    met = boxes_meet(segments, boxes.select(*box_keys, "xmin", "ymin", "xmax", "ymax"), size)
+    inside = length_in_box(F.col("left__segment"), *(F.col(f"right_{c}") for c in ("xmin", "ymin", "xmax", "ymax")))
+    out = met.groupBy(*(F.col(f"left_{k}").alias(k) for k in line_keys), *(F.col(f"right_{k}").alias(k) for k in box_keys)).agg(F.sum(inside).alias("length"))
+    return out.filter("length > 0")
 
 
 def stratified_sample(points: DataFrame, key: str, extent: tuple[float, float, float, float], cells: int, per_cell: int) -> DataFrame:
@@ -101,6 +90,54 @@ def stratified_sample(points: DataFrame, key: str, extent: tuple[float, float, f
     return p.join(F.broadcast(full), ["cx", "cy"], "left_semi").withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= per_cell).drop("_k")
 
 
+def _largest_remainder(rows: DataFrame, total: Column, size: str, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds ``name``: a share of ``total`` for each row in proportion to its size, in whole numbers that sum up to it; what
+    rounding down leaves goes to the largest remainders."""
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    # in whole numbers, so that equal remainders are equal
+    down = F.expr("_total * `%s` div nullif(_sum, 0)" % size)
+    rows = rows.withColumn("_total", total).withColumn("_sum", F.sum(size).over(w)).withColumn("_down", F.coalesce(down, F.lit(0)))
+    rows = rows.withColumn("_rest", F.coalesce(F.col("_total") * F.col(size) - F.col("_down") * F.col("_sum"), F.lit(0))).withColumn("_left", F.col("_total") - F.sum("_down").over(w))
+    rank = F.row_number().over(w.orderBy(F.desc("_rest"), *order))
+    return rows.withColumn(name, F.col("_down") + (rank <= F.col("_left")).cast("int")).drop("_total", "_sum", "_down", "_rest", "_left")
+
+
+def quota_sample(points: DataFrame, key: str, strata: str, extent: tuple[float, float, float, float], n: int, least: int = 0) -> DataFrame:
+    """n of the points (key, stratum, x, y), or all if there are fewer, spread over strata and over the cells of a grid.
+
+    The grid has ceil(sqrt(n)) cells a side; cells with under half the mean number of points give none.  A stratum gets
+    ``least`` points (or all it has; in the order of strata if that is more than n altogether), and the rest goes to strata in
+    proportion to the points they have left; a stratum's number is dealt to its cells in proportion to their points.  Shares
+    are whole numbers by largest remainders, so the numbers are met exactly.  Within a cell and stratum the smallest hashes
+    of the key are taken, by a rank over all rows (a range sort), so that no cell is one task.  Adds (cx, cy).
+    """
+    from .network import ranked
+
+    side = math.ceil(math.sqrt(n))
+    x0, y0, x1, y1 = extent
+    at = lambda c, low, high: F.least(F.floor((F.col(c) - low) / ((high - low) / side)), F.lit(side - 1))
+    p = points.filter(F.col("x").between(x0, x1) & F.col("y").between(y0, y1) & F.col(strata).isNotNull()).withColumn("cx", at("x", x0, x1)).withColumn("cy", at("y", y0, y1))
+    cells = p.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_n"))
+    total = cells.agg(F.sum("_n").alias("_all"))
+    full = cells.crossJoin(F.broadcast(total)).filter(F.col("_n") >= F.ceil(F.col("_all") / (side * side) * 0.5)).select("cx", "cy")
+    p = p.join(F.broadcast(full), ["cx", "cy"])  # of at most side^2 rows
+    groups = written(p.groupBy(strata, "cx", "cy").agg(F.count(F.lit(1)).alias("_size")))  # strata times cells
+    own = groups.groupBy(strata).agg(F.sum("_size").alias("_have"))
+    first = F.least(F.col("_have"), F.lit(least))
+    before = F.coalesce(F.sum("_first").over(Window.orderBy(strata).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = own.withColumn("_first", first).withColumn("_first", F.greatest(F.least(F.col("_first"), n - before), F.lit(0)))
+    own = own.withColumn("_more", F.col("_have") - F.col("_first"))
+    everything = Window.partitionBy(F.lit(0))
+    spare = F.least(n - F.sum("_first").over(everything), F.sum("_more").over(everything))
+    own = _largest_remainder(own, spare, "_more", [], [F.col(strata)], "_second").select(strata, (F.col("_first") + F.col("_second")).alias("_quota"))
+    quotas = _largest_remainder(groups.join(own, strata), F.col("_quota"), "_size", [strata], [F.col("cx"), F.col("cy")], "_take").select(strata, "cx", "cy", "_size", "_take")
+    # where each group begins among all rows in the order of groups
+    order = Window.orderBy(strata, "cx", "cy").rowsBetween(Window.unboundedPreceding, -1)
+    quotas = quotas.withColumn("_begins", F.coalesce(F.sum("_size").over(order), F.lit(0)))
+    rank = ranked(p.withColumn("_h", F.md5(F.col(key).cast("string").cast("binary"))), [F.col(strata), F.col("cx"), F.col("cy"), F.col("_h"), F.col(key)], "_rank")
+    return rank.join(F.broadcast(quotas), [strata, "cx", "cy"]).filter(F.col("_rank") - F.col("_begins") <= F.col("_take")).select(*points.columns, "cx", "cy")
+
+
 def uuid5(name: Column, namespace: str = NAMESPACE_DNS) -> Column:
     """The identifier that a name has in a name space: bits of its SHA-1 with version 5 and the standard's variant."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace)), name.cast("binary")))

@@ -25,20 +25,20 @@ _SHOWN = "tr long, tc long, i int, j int, cost binary, total binary"
 
 
 def _grid(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<f8").reshape(TILE, TILE)
+    a = np.frombuffer(data, "<f8")
+    return a.reshape(math.isqrt(len(a)), -1)
 
 
 def _border(a: np.ndarray, i: int, j: int) -> np.ndarray:
     """The part of a tile that its neighbour at (i, j) touches."""
-    pick = lambda k: {-1: slice(0, 1), 0: slice(0, TILE), 1: slice(TILE - 1, TILE)}[k]
+    pick = lambda k: {-1: slice(0, 1), 0: slice(None), 1: slice(len(a) - 1, None)}[k]
     return a[pick(i), pick(j)]
 
 
 def _framed(own: np.ndarray, shown: pd.DataFrame, what: str) -> np.ndarray:
     """A tile with the cells around it; those that nobody shows are out of reach."""
-    out = np.full((TILE + 2, TILE + 2), np.inf)
-    out[1:-1, 1:-1] = own
-    place = lambda k: {-1: slice(TILE + 1, TILE + 2), 0: slice(1, TILE + 1), 1: slice(0, 1)}[k]
+    out = np.pad(own, 1, constant_values=np.inf)
+    place = lambda k: {-1: slice(len(own) + 1, None), 0: slice(1, len(own) + 1), 1: slice(0, 1)}[k]
     for i, j, data in zip(shown["i"], shown["j"], shown[what], strict=True):
         part = out[place(i), place(j)]  # the neighbour showed the side that lies at (i, j) of it
         part[:] = np.frombuffer(data, "<f8").reshape(part.shape)
@@ -48,7 +48,8 @@ def _framed(own: np.ndarray, shown: pd.DataFrame, what: str) -> np.ndarray:
 def _reached(total: np.ndarray, cost: np.ndarray, k: int) -> np.ndarray:
     """What the inner cells' totals are by way of the neighbour of step k."""
     i, j = STEPS[k]
-    there = (slice(1 + i, TILE + 1 + i), slice(1 + j, TILE + 1 + j))
+    n = len(total) - 2
+    there = (slice(1 + i, n + 1 + i), slice(1 + j, n + 1 + j))
     return total[there] + (cost[there] + cost[1:-1, 1:-1]) / 2 * math.hypot(i, j)
 
 
@@ -72,27 +73,27 @@ def _show(frames):
         yield pd.DataFrame(out, columns=["tr", "tc", "i", "j", "cost", "total"])
 
 
-def _tiles(cells: DataFrame, starts: DataFrame, cost: str) -> DataFrame:
+def _tiles(cells: DataFrame, starts: DataFrame, cost: str, tile: int) -> DataFrame:
     """The state before the first round: costs, and a total of 0 for starts."""
-    at = lambda c: F.floor(F.col(c) / TILE)
-    inside = ((F.col("row") - at("row") * TILE) * TILE + F.col("col") - at("col") * TILE).cast("int")
+    at = lambda c: F.floor(F.col(c) / tile)
+    inside = ((F.col("row") - at("row") * tile) * tile + F.col("col") - at("col") * tile).cast("int")
     s = starts.select("row", "col").distinct().withColumn("_start", F.lit(True))
     rows = cells.filter(f"`{cost}` is not null").join(s, ["row", "col"], "left").select(at("row").alias("tr"), at("col").alias("tc"), inside.alias("at"), F.col(cost).cast("double").alias("cost"), F.coalesce("_start", F.lit(False)).alias("start"))
 
     def pack(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        cost, total = np.full(TILE * TILE, np.inf), np.full(TILE * TILE, np.inf)
+        cost, total = np.full(tile * tile, np.inf), np.full(tile * tile, np.inf)
         if (own["cost"] <= 0).any():
             raise ValueError("costs must be over 0")
         cost[own["at"]] = own["cost"]
         total[own["at"][own["start"]]] = 0.0
         nothing = pd.DataFrame({"i": [], "j": [], "cost": [], "total": []})
-        total = _relaxed(_framed(total.reshape(TILE, TILE), nothing, "total"), _framed(cost.reshape(TILE, TILE), nothing, "cost"))
+        total = _relaxed(_framed(total.reshape(tile, tile), nothing, "total"), _framed(cost.reshape(tile, tile), nothing, "cost"))
         return pd.DataFrame([(*key, cost.tobytes(), total.tobytes(), bool(own["start"].any()))], columns=["tr", "tc", "cost", "total", "changed"])
 
     return rows.groupBy("tr", "tc").applyInPandas(pack, _STATE)
 
 
-def least_costs(cells: DataFrame, starts: DataFrame, cost: str = "cost") -> DataFrame:
+def least_costs(cells: DataFrame, starts: DataFrame, cost: str = "cost", tile: int = TILE) -> DataFrame:
     """(row, col, total, from_row, from_col): the least cost of a path from any start, and the cell before on such a path.
 
     Cells without a cost are not entered; cells that no path reaches have nulls.  Of equally good cells before, the first in
@@ -100,7 +101,7 @@ def least_costs(cells: DataFrame, starts: DataFrame, cost: str = "cost") -> Data
     """
     spark = cells.sparkSession
     ship(spark)
-    state = written(_tiles(cells, starts, cost))
+    state = written(_tiles(cells, starts, cost, tile))
 
     def relax(key: tuple, own: pd.DataFrame, shown: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
@@ -124,7 +125,7 @@ def least_costs(cells: DataFrame, starts: DataFrame, cost: str = "cost") -> Data
         step = np.array(STEPS)[by_way.argmin(axis=0)]
         r, c = np.nonzero(np.isfinite(cost[1:-1, 1:-1]))
         t = total[1:-1, 1:-1][r, c]
-        row, col = r + key[0] * TILE, c + key[1] * TILE
+        row, col = r + key[0] * tile, c + key[1] * tile
         led = np.isfinite(t) & (t > 0)
         back = lambda at, k: pd.array(np.where(led, at + step[r, c, k], 0), "Int64")
         out = pd.DataFrame({"row": row, "col": col, "total": pd.array(np.where(np.isfinite(t), t, 0), "Float64"), "from_row": back(row, 0), "from_col": back(col, 1)})

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .aggregates import ratio
 
 #: Window lengths in metres by stream size.
@@ -54,6 +55,84 @@ def window_members(anchors: DataFrame, rows: DataFrame, path: str, distance: str
     return a.join(r, [path, "_cell"]).filter(F.col(distance).between(F.col("_from"), F.col("_to"))).drop("_cell", "_from", "_to", "_width")
 
 
+def _same_path(path: str, other: str) -> Column:
+    return F.col(path).eqNullSafe(F.col(other))
+
+
+def _timeline(asked: DataFrame, rows: DataFrame, path: str, distance: str, values: list[str], stretch: float) -> DataFrame:
+    """(path, _low, _high, and per value what lies before each end): sums and counts of the values at distances below ``_low``
+    and up to ``_high``, each as a part within the end's stretch of the stream and a part of the stretches before.
+
+    The ends stand in one timeline with the rows, so a running sum answers both, and no window is joined with its rows.
+    """
+    value = [F.col(v).cast("double").alias(v) for v in values]
+    none = [F.lit(None).cast("double").alias(v) for v in values]
+    no = F.lit(None).cast("double")
+    ends = F.explode(F.array(F.struct(F.col("_low").alias("x"), F.lit(0).alias("kind")), F.struct(F.col("_high").alias("x"), F.lit(2).alias("kind"))))
+    events = rows.select(F.col(path).alias("_p"), F.col(distance).cast("double").alias("_x"), F.lit(1).alias("_kind"), no.alias("_low"), no.alias("_high"), *value)
+    events = events.unionByName(asked.select(F.col(path).alias("_p"), "_low", "_high", ends.alias("e")).select("_p", F.col("e.x").alias("_x"), F.col("e.kind").alias("_kind"), "_low", "_high", *none))
+    events = events.filter("_x is not null").withColumn("_s", F.floor(F.col("_x") / stretch))
+    w = Window.partitionBy("_p", "_s").orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    per = events.groupBy("_p", "_s").agg(*(F.coalesce(F.sum(v), F.lit(0.0)).alias(f"_t_{v}") for v in values), *(F.count(v).alias(f"_k_{v}") for v in values))
+    before = Window.partitionBy("_p").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("_p").alias("_q"), F.col("_s").alias("_qs"), *(F.coalesce(F.sum(f"{t}{v}").over(before), F.lit(0)).alias(f"_b{t}{v}") for v in values for t in ("_t_", "_k_")))
+    here = events.withColumns({f"_t_{v}": F.coalesce(F.sum(v).over(w), F.lit(0.0)) for v in values} | {f"_k_{v}": F.count(v).over(w) for v in values}).filter("_kind <> 1").drop(*values)
+    met = here.join(per, _same_path("_p", "_q") & (F.col("_s") == F.col("_qs"))).drop("_q", "_qs")
+    at = lambda kind, c: F.max(F.when(F.col("_kind") == kind, F.col(c)))
+    return met.groupBy("_p", "_low", "_high").agg(*(at(kind, f"{b}{t}{v}").alias(f"{b}{t}{kind}_{v}") for v in values for t in ("_t_", "_k_") for b in ("", "_b") for kind in (0, 2)))
+
+
+def own_windows(anchors: DataFrame, rows: DataFrame, path: str, distance: str, low: Column, high: Column, stretch: float, sums: list[str] = (), mins: list[str] = (), maxs: list[str] = ()) -> DataFrame:
+    """The anchors with ``mw_<column>``: the sum, minimum or maximum over the rows of the same stream from ``low`` to ``high``,
+    both ends included, which each anchor has its own of.
+
+    Sums are differences of running sums, minima and maxima come from tables of the extremes of 2^k rows, of which two cover
+    any window; so what a window costs does not grow with its width.  A window without values gives null, and so does
+    one with an end that is null.  A sum is as exact as the running sums of its stream's stretches are.
+    """
+    keyed = anchors.withColumns({"_low": low.cast("double"), "_high": high.cast("double")})
+    asked = keyed.filter("_low <= _high").select(path, "_low", "_high").distinct()
+    extremes = [*mins, *maxs]
+    numbered = rows.withColumn("_row", F.lit(1.0))
+    values = [*sums, *(["_row"] if extremes else [])]
+    found = _timeline(asked, numbered, path, distance, values, stretch)
+    total = lambda t, v: (F.col(f"{t}2_{v}") - F.col(f"{t}0_{v}")) + (F.col(f"_b{t}2_{v}") - F.col(f"_b{t}0_{v}"))
+    out = found.select("_p", "_low", "_high", *(F.when(total("_k_", v) > 0, total("_t_", v)).alias(f"mw_{v}") for v in sums), *([(F.col("_k_0__row") + F.col("_b_k_0__row")).alias("_from"), total("_k_", "_row").alias("_n")] if extremes else []))
+    if extremes:
+        out = _extremes(out, rows, path, distance, list(mins), list(maxs), stretch)
+    names = [f"mw_{c}" for c in (*sums, *extremes)]
+    found = out.select("_p", F.col("_low").alias("_l"), F.col("_high").alias("_h"), *names)
+    return keyed.join(found, _same_path(path, "_p") & (F.col("_low") == F.col("_l")) & (F.col("_high") == F.col("_h")), "left").select(*anchors.columns, *names)
+
+
+def _extremes(asked: DataFrame, rows: DataFrame, path: str, distance: str, mins: list[str], maxs: list[str], stretch: float) -> DataFrame:
+    """Adds the extremes of the ``_n`` rows after the first ``_from`` ones of the stream."""
+    both = [(f"_min_{c}", F.min, F.least, c) for c in mins] + [(f"_max_{c}", F.max, F.greatest, c) for c in maxs]
+    cut = rows.filter(F.col(distance).isNotNull()).select(F.col(path).alias("_r"), F.col(distance).cast("double").alias("_x"), *(F.col(c).alias(n) for n, _, _, c in both)).withColumn("_s", F.floor(F.col("_x") / stretch))
+    per = cut.groupBy("_r", "_s").agg(F.count(F.lit(1)).alias("_k"))
+    per = per.select(F.col("_r").alias("_q"), F.col("_s").alias("_qs"), F.coalesce(F.sum("_k").over(Window.partitionBy("_r").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    names = [n for n, *_ in both]
+    placed = cut.withColumn("_i", F.row_number().over(Window.partitionBy("_r", "_s").orderBy("_x")) - 1).join(per, _same_path("_r", "_q") & (F.col("_s") == F.col("_qs")))
+    table = written(placed.select("_r", F.lit(0).alias("_level"), (F.col("_i") + F.col("_before")).alias("_i"), *names))
+    size = lambda level: F.pow(F.lit(2.0), level).cast("long")
+    near = F.floor(F.log2("_n")).cast("int")  # the logarithm is rounded
+    asked = written(asked.withColumn("_lv", F.when(F.col("_n") > 0, F.when(size(near + 1) <= F.col("_n"), near + 1).when(size(near) > F.col("_n"), near - 1).otherwise(near))))
+    highest = asked.agg(F.max("_lv")).first()[0] or 0
+    tables, last = table, table
+    for k in range(highest):
+        # row i of the next level covers 2^k rows from i on and 2^k from i + 2^k on
+        shifted = last.withColumn("_i", F.col("_i") - (1 << k)).filter("_i >= 0")
+        merged = last.unionByName(shifted).groupBy("_r", "_i").agg(*(how(n).alias(n) for n, how, _, _ in both))
+        last = written(merged.select("_r", F.lit(k + 1).alias("_level"), "_i", *names))
+        tables = tables.unionByName(last)
+    starts = F.explode(F.array_distinct(F.array(F.col("_from"), F.col("_from") + F.col("_n").cast("long") - size(F.col("_lv")))))
+    looked = asked.filter("_lv is not null").withColumn("_at", starts)
+    met = looked.join(tables, _same_path("_p", "_r") & (F.col("_lv") == F.col("_level")) & (F.col("_at") == F.col("_i")))
+    best = met.groupBy("_p", "_low", "_high").agg(*(how(n).alias(f"mw_{c}") for n, how, _, c in both))
+    best = best.select(F.col("_p").alias("_bp"), F.col("_low").alias("_bl"), F.col("_high").alias("_bh"), *(f"mw_{c}" for *_, c in both))
+    return asked.join(best, _same_path("_p", "_bp") & (F.col("_low") == F.col("_bl")) & (F.col("_high") == F.col("_bh")), "left")
+
+
 def spacing(rows: DataFrame, path: str, distance: str) -> DataFrame:
     """(stream, spacing): the difference of a stream's two smallest distances; null with fewer than two.
 

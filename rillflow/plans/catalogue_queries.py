@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import catalogue
+from ..operators import catalogue, windows
 from .domain_queries import FOOT, FOOT_2
 from .registry import query
 
@@ -43,6 +43,31 @@ def catalogue_engine(lineitem: DataFrame) -> DataFrame:
     return catalogue.windows_of(rows, metrics, "path", "distance", 120.0)
 
 
+#: Widths by the size of the stream (here the supplier's number modulo 5), twice the spacing at least.
+_OWN = "least AS (SELECT path, min(distance) AS a FROM d GROUP BY path), gap AS (SELECT d.path, min(distance) - any_value(a) AS spacing FROM d JOIN least USING (path) WHERE distance > a GROUP BY d.path), o AS (SELECT d.*, greatest([200, 400, 1200, 2000, 8000][path % 5 + 1], coalesce(2 * spacing, 0)) * 1.0 AS width FROM d LEFT JOIN gap USING (path))"
+
+
+@query("lineitem", sql=f"""WITH {_SEGMENTS}, {_OWN}, w AS (SELECT a.path, a.distance, any_value(a.planform) AS planform, sum(d.length) AS n, sum(d.area) AS area, sum(d.strmleng) AS strmleng, sum(d.riparian) AS riparian, sum(d.lui * d.area) AS lui, sum(d.dams) AS dams,
+sum(d.confinement * d.length) AS confinement, sum(d.roads) AS roads FROM o a JOIN d ON d.path = a.path AND d.distance BETWEEN trunc(a.distance - a.width / 2) AND trunc(a.distance + a.width / 2) GROUP BY 1, 2)
+SELECT path, distance, strmleng, planform, riparian / area AS riparian, lui / area AS lui, dams * 1000 / n AS dams, confinement / n AS confinement, roads / n AS roads, (riparian * 0.000247105) / (n / 1609.34) AS valley, (riparian / 10000.0) / (n / 1000.0) AS floodplain FROM w""")
+def catalogue_engine_own_width(lineitem: DataFrame) -> DataFrame:
+    """The catalogue in windows of each point's own width: by stream size, enlarged to twice the spacing of its stream."""
+    rows, metrics = _segments(lineitem)
+    gaps = windows.spacing(rows, "path", "distance")
+    wide = rows.join(gaps, "path").withColumn("width", windows.window_width((F.col("path") % 5).cast("int"), F.col("spacing")))
+    return catalogue.windows_of(wide, metrics, "path", "distance", F.col("width"), 512.0)
+
+
+@query("lineitem", sql="""WITH d AS (SELECT l_suppkey AS path, datediff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS x, min(l_tax) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY 1, 2)
+SELECT a.path, a.x AS distance, min(d.low) AS mw_low, max(d.high) AS mw_high, count(*) * 1.0 AS mw_one FROM d a JOIN d ON d.path = a.path AND d.x BETWEEN a.x - 5 * (a.x % 40) AND a.x + 3 * (a.x % 70) GROUP BY 1, 2""")
+def own_window_extremes(lineitem: DataFrame) -> DataFrame:
+    """Minimum, maximum and count in windows that every point has its own of, uneven to both sides."""
+    x = F.datediff("l_shipdate", F.lit("1992-01-01"))
+    d = lineitem.groupBy(F.col("l_suppkey").alias("path"), x.alias("distance")).agg(F.min("l_tax").alias("low"), F.max("l_extendedprice").alias("high")).withColumn("one", F.lit(1.0))
+    out = windows.own_windows(d, d, "path", "distance", F.col("distance") - 5 * (F.col("distance") % 40), F.col("distance") + 3 * (F.col("distance") % 70), 512.0, ["one"], ["low"], ["high"])
+    return out.select("path", "distance", "mw_low", "mw_high", "mw_one")
+
+
 @query("lineitem", sql=f"""WITH {_SEGMENTS} SELECT path, distance, unnest([1, 5, 9]) AS metric_id, unnest([strmleng, dams, highest]) AS value FROM d""")
 def catalogue_values_long(lineitem: DataFrame) -> DataFrame:
     rows, metrics = _segments(lineitem)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify
 from ..operators import aggregates, distance, grid, paths, rings
+from ..session import written
 from .aggregate_queries import _CELLS, cells_of
 from .registry import query
 
@@ -292,3 +293,25 @@ def catchment_relief(embeddings: DataFrame) -> DataFrame:
     return grid.zonal(cells_of(embeddings).withColumn("site", F.col("row") % 10), ["site"]).select("site", "mean", F.col("min").alias("low"), F.col("max").alias("high"), ((F.col("max") - F.col("min")) / 64.0).alias("slope"))
 
 
+
+
+_SPREAD = """(SELECT row, col, {f}(m) OVER (PARTITION BY col ORDER BY row RANGE BETWEEN {n} PRECEDING AND {n} FOLLOWING) AS value FROM (SELECT row, col, {f}(value) OVER (PARTITION BY row ORDER BY col RANGE BETWEEN {n} PRECEDING AND {n} FOLLOWING) AS m FROM {t}))"""
+
+
+@query("embeddings", sql=f"""WITH b AS (SELECT row, col, (value > 0.05)::INT AS value FROM {_CELLS}), g1 AS {_SPREAD.format(f="max", n=1, t="b")}, c1 AS {_SPREAD.format(f="min", n=1, t="g1")}, g2 AS {_SPREAD.format(f="min", n=2, t="c1")}, o2 AS {_SPREAD.format(f="max", n=2, t="g2")}
+SELECT row, col, b.value AS before, c1.value AS closed, o2.value AS opened FROM b JOIN c1 USING (row, col) JOIN o2 USING (row, col)""")
+def grow_and_shrink(embeddings: DataFrame) -> DataFrame:
+    """Gaps of a mask closed, and then what is too small taken away."""
+    mask = cells_of(embeddings).select("row", "col", (F.col("value") > 0.05).cast("int").alias("value"))
+    closed = written(grid.closed(mask, 1))
+    opened = grid.opened(closed, 2).withColumnRenamed("value", "opened")
+    return mask.withColumnRenamed("value", "before").join(closed.withColumnRenamed("value", "closed"), ["row", "col"]).join(opened, ["row", "col"])
+
+
+@query("embeddings", sql=f"""WITH cells AS MATERIALIZED (SELECT * FROM {_CELLS}), w AS (SELECT * FROM (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)),
+sent AS (SELECT row + i AS row, col + j AS col, value * -j * (CASE i WHEN 0 THEN 2 ELSE 1 END) / 80 AS dx, value * i * (CASE j WHEN 0 THEN 2 ELSE 1 END) / 80 AS dy, i = 0 AND j = 0 AS own FROM cells, w),
+s AS (SELECT row, col, sum(dx) AS dx, sum(dy) AS dy, count(*) AS n FROM sent GROUP BY row, col HAVING bool_or(own)),
+a AS (SELECT *, CASE WHEN dx = 0 AND dy = 0 THEN 0 ELSE atan2(-dx, -dy) END AS aspect, atan(sqrt(dx * dx + dy * dy)) AS slope FROM s)
+SELECT row, col, CASE WHEN n = 9 THEN round(greatest(0, 255 * (cos(radians(45)) * cos(slope) + sin(radians(45)) * sin(slope) * cos(radians(315) - aspect))), 6) END AS shade FROM a""")
+def hillshade(embeddings: DataFrame) -> DataFrame:
+    return grid.hillshade(cells_of(embeddings), 10.0).select("row", "col", F.round("value", 6).alias("shade"))

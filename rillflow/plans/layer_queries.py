@@ -139,7 +139,7 @@ def intersect_with_measure(supplier: DataFrame, customer: DataFrame) -> DataFram
     p = places(customer)
     end = lambda dx: F.struct((F.col("x") + dx).alias("x"), F.col("y").alias("y"))
     lines = p.select("c_custkey", F.array(end(0), end(5), end(20)).alias("line"))
-    return layers.lines_in_boxes(lines, areas(supplier), "line", 12.0).select("c_custkey", "s_suppkey", F.round("length", 6).alias("length"))
+    return layers.lines_in_boxes(lines, areas(supplier), ["c_custkey"], ["s_suppkey"], "line", 3.0).select("c_custkey", "s_suppkey", F.round("length", 6).alias("length"))
 
 
 # --- intervals along streams -----------------------------------------------------------------------------------------

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import grid, polygons, rings
+from ..functions import geometry
+from ..operators import grid, layers, polygons, rings, shapes
 from .aggregate_queries import _CELLS, cells_of
 from .layer_queries import _AREAS, _PLACES, areas, places
 from .registry import query
@@ -129,3 +130,48 @@ def dissolve_polygons(part: DataFrame) -> DataFrame:
     left = rings.linked(rings.dissolved(polygons.ring_edges(parcels, ["kind"]), ["kind"]), ["kind"])
     m = rings.measured(left, ["kind"])
     return m.groupBy("kind").agg(F.count_if(~F.col("hole")).alias("n_parts"), F.sum(F.when(F.col("hole"), -F.col("area")).otherwise(F.col("area"))).alias("area"), F.sum("n_edges").alias("n_edges"))
+
+
+# --- hulls, chains, samples ---------------------------------------------------------------------------------------------
+
+
+@query("customer", sql=f"""WITH p AS MATERIALIZED (SELECT DISTINCT CAST(floor(x / 20) AS BIGINT) AS tx, CAST(floor(y / 30) AS BIGINT) AS ty, round(x * 10)::DOUBLE AS x, round(y * 10)::DOUBLE AS y FROM ({_PLACES})),
+pairs AS (SELECT a.tx, a.ty, a.x AS x0, a.y AS y0, b.x AS x1, b.y AS y1 FROM p a JOIN p b ON a.tx = b.tx AND a.ty = b.ty AND (a.x <> b.x OR a.y <> b.y)),
+sides AS (SELECT s.tx, s.ty, x0, y0, x1, y1 FROM pairs s JOIN p c ON c.tx = s.tx AND c.ty = s.ty GROUP BY ALL
+HAVING min(round((x1 - x0) * (c.y - y0) - (y1 - y0) * (c.x - x0), 6)) >= 0 AND bool_and(abs((x1 - x0) * (c.y - y0) - (y1 - y0) * (c.x - x0)) > 1e-6 OR (c.x BETWEEN least(x0, x1) AND greatest(x0, x1) AND c.y BETWEEN least(y0, y1) AND greatest(y0, y1))))
+SELECT tx, ty, count(*) AS n_corners, sum(x0 * y1 - x1 * y0) / 2 AS area FROM sides GROUP BY tx, ty HAVING count(*) > 2""")
+def convex_hull(customer: DataFrame) -> DataFrame:
+    """Corners and area of the convex hull of each tile's places, in tenths of a degree."""
+    p = places(customer).withColumn("tx", F.floor(F.col("x") / 20)).withColumn("ty", F.floor(F.col("y") / 30)).withColumn("x", F.round(F.col("x") * 10)).withColumn("y", F.round(F.col("y") * 10))
+    hulls = shapes.convex_hulls(p, ["tx", "ty"])
+    ring = hulls.groupBy("tx", "ty").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "x", "y"))), lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"))).alias("ring"))
+    return ring.filter(F.size("ring") > 2).select("tx", "ty", F.size("ring").cast("long").alias("n_corners"), geometry.area(F.col("ring")).alias("area"))
+
+
+@query("part", sql="""WITH p AS (SELECT p_partkey AS part, p_size FROM part WHERE p_partkey % 7 <> 0), m AS (SELECT *, CASE WHEN part % 7 = 1 OR part % 35 = 3 THEN 1 ELSE 0 END AS new FROM p),
+g AS (SELECT *, sum(new) OVER (ORDER BY part) AS island FROM m), l AS (SELECT part, min(part) OVER w AS line, row_number() OVER (PARTITION BY island ORDER BY part) - 1 AS place, p_size % 2 = 1 AND count(*) OVER w > 1 AS turned FROM g WINDOW w AS (PARTITION BY island))
+SELECT * FROM l UNION ALL SELECT part + 10000000, part + 10000000, 0, false FROM p WHERE part % 35 = 3""")
+def merge_line_parts(part: DataFrame) -> DataFrame:
+    """Parts of lines, drawn in either direction, put together where two meet; a spur at every thirty-fifth node ends lines."""
+    n = F.col("p_partkey")
+    odd = F.col("p_size") % 2 == 1
+    rows = part.filter(n % 7 != 0)
+    edges = rows.select(n.alias("part"), F.when(odd, n + 1).otherwise(n).alias("a"), F.when(odd, n).otherwise(n + 1).alias("b"))
+    spurs = rows.filter(n % 35 == 3).select((n + 10_000_000).alias("part"), n.alias("a"), (n + 20_000_000).alias("b"))
+    return shapes.chained(edges.unionByName(spurs)).select("part", "line", "place", "turned")
+
+
+@query("customer", sql=f"""WITH p AS (SELECT c_custkey, c_mktsegment AS segment, x, y, least(CAST(floor((x + 180) / (360 / 8.0)) AS BIGINT), 7) AS cx, least(CAST(floor((y + 90) / (180 / 8.0)) AS BIGINT), 7) AS cy FROM ({_PLACES}) JOIN customer USING (c_custkey)),
+cells AS (SELECT cx, cy, count(*) AS n FROM p GROUP BY 1, 2), ok AS (SELECT cx, cy FROM cells WHERE n >= ceil((SELECT sum(n) FROM cells) / 64 * 0.5)),
+q AS (SELECT p.* FROM p JOIN ok USING (cx, cy)), groups AS (SELECT segment, cx, cy, count(*) AS size FROM q GROUP BY 1, 2, 3),
+own AS (SELECT segment, sum(size)::BIGINT AS have FROM groups GROUP BY 1), f AS (SELECT segment, have, least(have, 5) AS first, have - least(have, 5) AS more FROM own),
+s AS (SELECT *, least(60 - sum(first) OVER (), sum(more) OVER ())::BIGINT AS spare, sum(more) OVER ()::BIGINT AS all_more FROM f), s2 AS (SELECT *, spare * more // all_more AS down, spare * more % all_more AS rest FROM s),
+s3 AS (SELECT segment, first + down + CASE WHEN row_number() OVER (ORDER BY rest DESC, segment) <= spare - sum(down) OVER () THEN 1 ELSE 0 END AS quota FROM s2),
+t AS (SELECT g.*, quota, sum(size) OVER (PARTITION BY segment)::BIGINT AS total FROM groups g JOIN s3 USING (segment)), t2 AS (SELECT *, quota * size // total AS down, quota * size % total AS rest FROM t),
+t3 AS (SELECT segment, cx, cy, down + CASE WHEN row_number() OVER (PARTITION BY segment ORDER BY rest DESC, cx, cy) <= quota - sum(down) OVER (PARTITION BY segment) THEN 1 ELSE 0 END AS take FROM t2),
+r AS (SELECT q.*, row_number() OVER (PARTITION BY segment, cx, cy ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey) AS k FROM q)
+SELECT c_custkey, segment, r.cx, r.cy FROM r JOIN t3 USING (segment, cx, cy) WHERE k <= take""")
+def quota_sample(customer: DataFrame) -> DataFrame:
+    """Sixty places over five segments, five of each at least, and over a grid of eight by eight."""
+    p = places(customer.select("c_custkey")).join(customer.select("c_custkey", F.col("c_mktsegment").alias("segment")), "c_custkey")
+    return layers.quota_sample(p, "c_custkey", "segment", (-180.0, -90.0, 180.0, 90.0), 60, 5).select("c_custkey", "segment", "cx", "cy")

@@ -63,18 +63,21 @@ def defined_table(nation: DataFrame) -> DataFrame:
     rows.write.parquet(path)
     name = f"rillflow_{path[-12:]}"
     spark.sql(tables.table_definition(rows, name, path, {"n_name": "the nation's name"}))
-    return spark.table(name)
+    found = spark.table(name).select("n_nationkey", "n_name")
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return found
 
 
-@query("events", sql="SELECT user_id, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+@query("events", sql="SELECT user_id, arg_max(event_id, (event_id % 3, event_id)) AS event_id, arg_max(value, (event_id % 3, event_id)) AS value, max(event_id % 3) AS batch FROM events GROUP BY user_id")
 def landing_merge(events: DataFrame) -> DataFrame:
-    """A landing folder in three drops, merged by a stream: the newest row of each user stays."""
+    """A landing folder in three drops, merged by a stream after each: a later batch replaces what an earlier one brought, and
+    within a batch the newest row of a user counts."""
     spark, base = events.sparkSession, scratch_dir(events.sparkSession)
     rows = events.select("user_id", "event_id", "value")
     for k in range(3):
-        rows.filter(F.col("event_id") % 3 == k).write.parquet(f"{base}/landing/drop={k}")
-    landing.merge_landing(spark, f"{base}/landing/*", "user_id long, event_id long, value double", f"{base}/target", f"{base}/progress", ["user_id"], "event_id", files_per_batch=1_000_000).awaitTermination()
-    return landing.read_target(spark, f"{base}/target")
+        rows.filter(F.col("event_id") % 3 == k).coalesce(1).write.parquet(f"{base}/landing/drop={k}")
+        landing.merge_landing(spark, f"{base}/landing/*", "user_id long, event_id long, value double", f"{base}/target", f"{base}/progress", ["user_id"], "event_id", stamp="batch", buckets=8).awaitTermination()
+    return landing.read_target(spark, f"{base}/target").select("user_id", "event_id", "value", F.col("batch").cast("long").alias("batch"))
 
 
 @query("orders", "lineitem", sql="SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")

@@ -152,7 +152,6 @@ def test_geometry(spark):
     assert [(p["from"], p["to"]) for p in one(spark, geometry.pieces(F.lit(10.5), 4.0, 2.0))] == [(0, 4), (4, 8), (8, 10.5)]
     assert [(p["from"], p["to"]) for p in one(spark, geometry.pieces(F.lit(9.0), 4.0, 2.0))] == [(0, 4), (4, 9)]
     assert len(one(spark, geometry.without_small_holes(F.array(square, points((1, 1), (2, 1), (2, 2)), points((0, 0), (3, 0), (3, 3))), 2.0))) == 2
-    assert one(spark, geometry.length_inside(points((-1, 1), (9, 1)), square)) == pytest.approx(4)
     assert one(spark, layers.length_in_box(points((-1, -1), (9, 9)), *(F.lit(float(v)) for v in (0, 0, 4, 4)))) == pytest.approx(4 * math.sqrt(2))
 
 
