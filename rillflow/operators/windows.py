@@ -88,7 +88,8 @@ def own_windows(anchors: DataFrame, rows: DataFrame, path: str, distance: str, l
 
     Sums are differences of running sums, minima and maxima come from tables of the extremes of 2^k rows, of which two cover
     any window; so what a window costs does not grow with its width.  A window without values gives null, and so does
-    one with an end that is null.  A sum is as exact as the running sums of its stream's stretches are.
+    one with an end that is null.  A sum is as exact as the running sums of its stream's stretches are.  A column is in one of the
+    three lists only.
     """
     keyed = anchors.withColumns({"_low": low.cast("double"), "_high": high.cast("double")})
     asked = keyed.filter("_low <= _high").select(path, "_low", "_high").distinct()
