@@ -171,7 +171,7 @@ def test_intervals_over_empty_stretches_and_null_keys(spark):
 
 STAR = [(0.3, 0.2), (9.7, 1.1), (6.2, 4.9), (9.1, 9.4), (4.4, 6.1), (-2.6, 8.8), (2.7, 3.9)]
 HOLE = [(3.1, 2.2), (4.4, 2.9), (3.6, 4.1)]
-RHOMB = [(4.0, -1.5), (8.5, 3.0), (4.0, 7.5), (-0.5, 3.0)]
+RHOMB = [(4.0, -1.5), (8.4, 3.0), (4.1, 7.5), (-0.5, 2.9)]
 
 
 def shapes(spark, key, parts):
@@ -217,7 +217,7 @@ def test_polygons_by_a_fine_grid(spark, cell):
 
 
 def test_many_nodes_of_one_component(spark):
-    n = 3000
+    n = 400
     edges = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     out = network.components(edges)
     assert out.count() == n and out.filter("component <> 0").isEmpty()
