@@ -2,7 +2,9 @@
 
 Each page's markup becomes a tree; scripts, styles, forms, navigation, headers, footers, sidebars, adverts and reader
 comments (by tag, role or a word of a class or id) count nothing, unless such a node is the page's wrapper: it holds the
-main element, a first-level heading or several of the page's parts, or all text there is.  Every node has the composite
+main element, a first-level heading or several of the page's parts, or all text there is.  A word of a class or id is a weak
+sign: where the text outside of such nodes is no article, or a small part beside one of them, the fullest of them counts, if
+it is not made of links, and reader comments only if nothing else does.  Every node has the composite
 density: characters per tag, adjusted by its share of link characters and tags against those of the body.  A node's
 density sum is the sum of its children's densities; text that stands directly in a node is a child of its own.  The
 threshold is the smallest density on the path from the body to the node with the largest sum.  From the body down, every
@@ -41,6 +43,12 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 #: Words of a class or id that name a part of the page which is no main text, and first words that only say that the page has or lacks such a part.
 PARTS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disqus footer header masthead menu nav navbar navigation newsletter notice popup promo promotion related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget widgets".split())
 STATES = frozenset("has no with without is not hide show hides shows left right full one two layout page".split())
+#: Words of reader comments, which may be longer than what they comment on.
+REPLIES = frozenset("comment comments commentlist disqus respond".split())
+#: Characters outside of links and headings that make an article, beside a node named by a word; the part of that node's
+#: characters that they must be, unless it holds replies; its largest share of link characters; and how many such
+#: nodes inside each other are looked through.
+LEAST_TEXT, LEAST_PART, MOST_LINKS, NESTED = 200, 0.2, 0.3, 16
 #: Parts of a page that only its wrapper holds two of.
 LANDMARKS = frozenset("nav header footer aside main".split())
 P_SCOPE = frozenset("table td th button object".split())
@@ -59,10 +67,11 @@ CLOSED = {tag: sum(BIT[x] for x in closed) for tag, closed in SIBLING.items()}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "named", "skip", "link", "block", "open", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
+    __slots__ = ("tag", "parent", "children", "named", "word", "skip", "link", "block", "open", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
     def __init__(self, tag: str, parent: Node | None, named: bool):
         self.tag, self.parent, self.named, self.skip = tag, parent, named, False
+        self.word = ""  # what the node is named by, if only by a word
         self.link = tag == "a" or bool(parent and parent.link)
         self.block = self if parent is None or tag in BLOCK else parent.block
         self.open = ((parent.open if parent else 0) & ~CLEARED.get(tag, 0)) | BIT.get(tag, 0)
@@ -72,13 +81,14 @@ class Node:
         self.best = self
 
 
-def _is_part(names: str) -> bool:
-    """Whether a class or id names a part: a word between hyphens, unless the first one says that the page has or lacks it."""
+def _part(names: str) -> str:
+    """The word by which a class or id names a part: one between hyphens, unless the first one says that the page has or lacks
+    it; empty if none does."""
     for name in names.lower().split():
         words = name.replace("_", "-").split("-")
         if not PARTS.isdisjoint(words) and words[0] not in STATES:
-            return True
-    return False
+            return next(w for w in words if w in PARTS)
+    return ""
 
 
 class _Tree(HTMLParser):
@@ -109,11 +119,14 @@ class _Tree(HTMLParser):
             self.close_nearest(CLOSED[tag])
         values = dict(attrs)
         named = (values.get("role") or "").lower() in ROLES or "hidden" in values
+        word = ""
         if not named and tag not in ("html", "body", "article", "main"):
-            named = tag in SKIP or _is_part(f"{values.get('class') or ''} {values.get('id') or ''}")
+            named = tag in SKIP
+            word = "" if named else _part(f"{values.get('class') or ''} {values.get('id') or ''}")
         if tag == "header" and self.depth["article"]:
             named = False  # a header inside an article introduces it
-        node = Node(tag, self.at, named)
+        node = Node(tag, self.at, named or bool(word))
+        node.word = word
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -153,10 +166,37 @@ def _skip(order: list[Node], lift: bool) -> None:
         n += 2 if node.tag in ("main", "h1") else node.tag in LANDMARKS
         if node.parent and n:
             parts[node.parent] = parts.get(node.parent, 0) + n
+    for _ in range(NESTED):
+        if not _counts_after_all(order):
+            break
     for node in order:
         node.skip = node.named or bool(node.parent and node.parent.skip)
 
 
+def _counts_after_all(order: list[Node]) -> bool:
+    """Lets the fullest of the nodes that are named by a word count, if hardly any text stands outside of such nodes."""
+    outside, inside, links = 0, {}, {}  # characters of the text outside, of each outermost such node, and of its links
+    under: dict[Node, Node | None] = {}  # the outermost such node of each node that has text of the page
+    for node in order:  # parents first
+        if node.parent and node.parent not in under or node.named and not node.word:
+            continue
+        top = under[node.parent] if node.parent else None
+        under[node] = top = top or (node if node.named else None)
+        n = sum(len(_SPACE.sub(" ", c).strip()) for c in node.children if isinstance(c, str))
+        if top:
+            inside[top] = inside.get(top, 0) + n
+            links[top] = links.get(top, 0) + n * node.link
+        elif not node.link and node.block.tag not in HEADINGS:
+            outside += n
+    full = [t for t, n in inside.items() if links[t] < MOST_LINKS * n and outside < max(LEAST_TEXT, 0 if t.word in REPLIES else LEAST_PART * n)]
+    full = [t for t in full if t.word not in REPLIES] or full
+    most = max((inside[t] for t in full), default=0)
+    chosen = [t for t in full if inside[t] >= max(most / 2, LEAST_TEXT / 2, outside)]
+    for t in chosen:
+        t.named = False
+    return bool(chosen)
+
+
 def _measure(order: list[Node]) -> None:
     """Counts of every node; children come before parents."""
     for node in order:
