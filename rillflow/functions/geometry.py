@@ -186,3 +186,81 @@ def wkb_points(column: Column) -> Column:
 
     # pairs of numbers become points on the side of the engine
     return F.transform(of(column), lambda flat: F.transform(F.sequence(F.lit(1), (F.size(flat) / 2).cast("int")), lambda i: F.struct(F.element_at(flat, 2 * i - 1).alias("x"), F.element_at(flat, 2 * i).alias("y"))))
+
+
+def as_wkb(rings: Column) -> Column:
+    """A polygon of rings (the first is the outer one) as WKB; rings are closed."""
+    ship(SparkSession.active())
+
+    @F.pandas_udf("binary")
+    def of(flat: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else _polygon([np.asarray(r, float) for r in p]) for p in flat])
+
+    return of(F.transform(rings, lambda r: F.flatten(F.transform(r, lambda p: F.array(p["x"], p["y"])))))
+
+
+def _polygon(rings: list[np.ndarray]) -> bytes:
+    out = [struct.pack("<BII", 1, 3, len(rings))]
+    for r in rings:
+        closed = r if len(r) and (r[:2] == r[-2:]).all() else np.concatenate([r, r[:2]])
+        out += [struct.pack("<I", len(closed) // 2), closed.astype("<f8").tobytes()]
+    return b"".join(out)
+
+
+def net_area(rings: Column) -> Column:
+    """The outer ring's area without that of the holes."""
+    return F.aggregate(F.transform(rings, area), F.lit(0.0), lambda s, a: s - a) + 2 * area(F.element_at(rings, 1))
+
+
+# --- cuts of lines ------------------------------------------------------------------------------------------------------
+
+
+def between(line: Column, start: Column, end: Column) -> Column:
+    """The part of a line from one distance along it to another: the point at the start, the line's own points after it, and
+    the point at the end.  Distances beyond the line's ends are its ends; null if nothing is left."""
+    # each point with its distance along the line, worked out once
+    run = F.aggregate(
+        F.slice(line, 2, F.greatest(F.size(line) - 1, F.lit(0))),
+        F.array(F.struct(F.element_at(line, 1)["x"].alias("x"), F.element_at(line, 1)["y"].alias("y"), F.lit(0.0).alias("m"))),
+        lambda s, p: F.concat(s, F.array(F.struct(p["x"].alias("x"), p["y"].alias("y"), (F.element_at(s, -1)["m"] + distance(F.element_at(s, -1), p)).alias("m")))),
+    )
+
+    def cut(v: Column) -> Column:
+        points, a, b = v["run"], v["a"], v["b"]
+
+        def at(m: Column) -> Column:
+            p, q = F.element_at(F.filter(points, lambda p: p["m"] <= m), -1), F.get(F.filter(points, lambda p: p["m"] > m), F.lit(0))
+            t = F.coalesce((m - p["m"]) / (q["m"] - p["m"]), F.lit(0.0))
+            return F.struct((p["x"] + t * F.coalesce(q["x"] - p["x"], F.lit(0.0))).alias("x"), (p["y"] + t * F.coalesce(q["y"] - p["y"], F.lit(0.0))).alias("y"))
+
+        inner = F.transform(F.filter(points, lambda p: (p["m"] > a) & (p["m"] < b)), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+        return F.when(a < b, F.concat(F.array(at(a)), inner, F.array(at(b))))
+
+    ends = lambda r: F.struct(r.alias("run"), F.greatest(start.cast("double"), F.lit(0.0)).alias("a"), F.least(end.cast("double"), F.element_at(r, -1)["m"]).alias("b"))
+    return _let(_let(run, ends), cut)
+
+
+def _let(value: Column, of) -> Column:
+    """``of`` a value that is worked out once, however often ``of`` names it."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
+def inside_box(line: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    """The parts of a line's segments that lie in a box: array<struct<a, b>> in the order of the line; touching it in a point
+    only gives none."""
+
+    def part(s: Column) -> Column:
+        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+
+        def axis(at: Column, d: Column, low: Column, high: Column) -> tuple[Column, Column]:
+            step = F.nullif(d, F.lit(0.0))
+            here = F.when(at.between(low, high), F.lit(1.0)).otherwise(F.lit(-1.0))
+            return F.coalesce(F.least((low - at) / step, (high - at) / step), F.lit(0.0)), F.coalesce(F.greatest((low - at) / step, (high - at) / step), here)
+
+        (x_in, x_out), (y_in, y_out) = axis(s["a"]["x"], dx, xmin, xmax), axis(s["a"]["y"], dy, ymin, ymax)
+        t0, t1 = F.greatest(x_in, y_in, F.lit(0.0)), F.least(x_out, y_out, F.lit(1.0))
+        at = lambda t: F.struct((s["a"]["x"] + t * dx).alias("x"), (s["a"]["y"] + t * dy).alias("y"))
+        return F.struct(at(t0).alias("a"), at(t1).alias("b"), ((t0 < t1) & ((dx != 0) | (dy != 0))).alias("in"))
+
+    kept = F.filter(F.transform(_segments(line), part), lambda s: s["in"])
+    return F.transform(kept, lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))

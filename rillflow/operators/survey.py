@@ -125,3 +125,30 @@ def undercut(banks: DataFrame, visit: list[str], length: str, area: str, site_le
     """Length by half the site's length in per cent units, as published no per cent, and per cent of the area."""
     a, total = F.sum(area), F.max(wetted_area)
     return banks.groupBy(*visit).agg(ratio(F.sum(length), F.max(site_length) * 100 / 2).alias("length_pct"), ratio(100 * a, total + a).alias("area_pct"))
+
+
+def thalweg(lines: DataFrame, key: list[str], line: str, depths: DataFrame, surface: DataFrame, cell_size: float, step: float, centerline: str) -> DataFrame:
+    """(key, min, max, mean, stdev, count, length, gradient, gradient_pct, sinuosity, cv, to_centerline) of thalwegs, from a
+    raster of depths sampled every ``step`` along each line and from the water surface at its ends (downstream first).
+
+    Minimum and maximum are those of the samples with data; one without makes mean and deviation (of the population) null, as
+    a sample of no data does in the original.  ``count`` is the number of samples that are not 0.  A line with an end off the
+    water surface has no gradient.
+    """
+    from ..functions import geometry
+
+    at = lambda c: F.floor(c / cell_size)
+    l = F.col(line)
+    rows = lines.select(*key, geometry.length(l).alias("length"), geometry.sinuosity(l).alias("sinuosity"), F.col(centerline).alias("_center"), F.explode(geometry.points_along(l, step)).alias("_p"))
+    rows = rows.select(*key, "length", "sinuosity", "_center", at(F.col("_p.p.y")).alias("row"), at(F.col("_p.p.x")).alias("col"))
+    met = rows.join(depths.select("row", "col", F.col("value").alias("_d")), ["row", "col"], "left")
+    whole = F.count(F.lit(1)) == F.count("_d")
+    sampled = met.groupBy(*key).agg(
+        F.min("_d").alias("min"), F.max("_d").alias("max"), F.when(whole, F.avg("_d")).alias("mean"), F.when(whole, F.stddev_pop("_d")).alias("stdev"),
+        (F.count(F.lit(1)) - F.count_if(F.col("_d") == 0)).alias("count"), F.first("length").alias("length"), F.first("sinuosity").alias("sinuosity"), F.first("_center").alias("_center"),
+    )
+    ends = lines.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("k"), F.element_at(l, 1).alias("p")), F.struct(F.lit(1).alias("k"), F.element_at(l, -1).alias("p")))).alias("_e"))
+    ends = ends.select(*key, F.col("_e.k").alias("_k"), at(F.col("_e.p.y")).alias("row"), at(F.col("_e.p.x")).alias("col")).join(surface.select("row", "col", F.col("value").alias("_w")), ["row", "col"], "left")
+    rise = ends.groupBy(*key).agg((F.max(F.when(F.col("_k") == 1, F.col("_w"))) - F.max(F.when(F.col("_k") == 0, F.col("_w")))).alias("_rise"))
+    out = sampled.join(rise, key).withColumn("gradient", ratio(F.col("_rise"), F.col("length")))
+    return out.select(*key, "min", "max", "mean", "stdev", "count", "length", "gradient", (100 * F.col("gradient")).alias("gradient_pct"), "sinuosity", ratio(F.col("stdev"), F.col("mean")).alias("cv"), ratio(F.col("length"), F.col("_center")).alias("to_centerline"))

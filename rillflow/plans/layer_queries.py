@@ -288,3 +288,48 @@ def stratified_spatial_sample(customer: DataFrame) -> DataFrame:
 FROM (SELECT c_custkey, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(c_name)) AS h FROM customer)""")
 def deterministic_uuid(customer: DataFrame) -> DataFrame:
     return customer.select("c_custkey", layers.uuid5(F.col("c_name")).alias("uuid"))
+
+
+# --- cuts and formats ---------------------------------------------------------------------------------------------------
+
+
+@query("lineitem", sql=f"""WITH l AS (SELECT *, sqrt(x1 ^ 2 + y1 ^ 2) AS a, sqrt((x2 - x1) ^ 2 + (y2 - y1) ^ 2) AS b FROM ({_LINE})), c AS (SELECT *, a + b AS total, 0.3 * (a + b) AS m0, 0.9 * (a + b) AS m1 FROM l),
+p AS (SELECT l_orderkey, l_linenumber, m0 < a AND a < m1 AS bent, CASE WHEN m0 <= a THEN x1 * m0 / a ELSE x1 + (x2 - x1) * (m0 - a) / b END AS fx, CASE WHEN m0 <= a THEN y1 * m0 / a ELSE y1 + (y2 - y1) * (m0 - a) / b END AS fy,
+CASE WHEN m1 <= a THEN x1 * m1 / a ELSE x1 + (x2 - x1) * (m1 - a) / b END AS tx, CASE WHEN m1 <= a THEN y1 * m1 / a ELSE y1 + (y2 - y1) * (m1 - a) / b END AS ty, x1, y1 FROM c)
+SELECT l_orderkey, l_linenumber, CASE WHEN bent THEN 3 ELSE 2 END AS n_points, round(fx, 6) AS fx, round(fy, 6) AS fy, round(tx, 6) AS tx, round(ty, 6) AS ty, CASE WHEN bent THEN round(x1, 6) END AS bx FROM p""")
+def cut_lines(lineitem: DataFrame) -> DataFrame:
+    """The piece of each line between three and nine tenths of its length, with its vertices."""
+    line = F.col("line")
+    piece = lines(lineitem).select("l_orderkey", "l_linenumber", geometry.between(line, geometry.length(line) * 0.3, geometry.length(line) * 0.9).alias("p"))
+    at = lambda k, c: F.round(F.element_at("p", k)[c], 6)
+    return piece.select("l_orderkey", "l_linenumber", F.size("p").alias("n_points"), at(1, "x").alias("fx"), at(1, "y").alias("fy"), at(-1, "x").alias("tx"), at(-1, "y").alias("ty"), F.when(F.size("p") == 3, at(2, "x")).alias("bx"))
+
+
+@query("lineitem", sql=f"""WITH l AS MATERIALIZED (SELECT row_number() OVER () AS line, * FROM ({_LINE})), s AS (SELECT line, l_orderkey, l_linenumber, 0.0 AS px, 0.0 AS py, x1 AS qx, y1 AS qy FROM l UNION ALL SELECT line, l_orderkey, l_linenumber, x1, y1, x2, y2 FROM l),
+t AS (SELECT *, greatest(0, least((5 - px) / (qx - px), (30 - px) / (qx - px)), CASE WHEN qy = py THEN 0 ELSE least((1 - py) / (qy - py), (6 - py) / (qy - py)) END) AS t0,
+least(1, greatest((5 - px) / (qx - px), (30 - px) / (qx - px)), CASE WHEN qy = py THEN CASE WHEN py BETWEEN 1 AND 6 THEN 1 ELSE -1 END ELSE greatest((1 - py) / (qy - py), (6 - py) / (qy - py)) END) AS t1 FROM s)
+SELECT l_orderkey, l_linenumber, count(*) AS n_parts, round(sum((t1 - t0) * sqrt((qx - px) ^ 2 + (qy - py) ^ 2)), 6) AS length, round(min(px + t0 * (qx - px)), 6) AS x FROM t WHERE t0 < t1 GROUP BY line, l_orderkey, l_linenumber""")
+def clip_lines_to_box(lineitem: DataFrame) -> DataFrame:
+    """What of each line lies in the box from (5, 1) to (30, 6)."""
+    box = (F.lit(float(v)) for v in (5, 1, 30, 6))
+    parts = lines(lineitem).select("l_orderkey", "l_linenumber", geometry.inside_box(F.col("line"), *box).alias("p")).filter(F.size("p") > 0)
+    total = F.aggregate("p", F.lit(0.0), lambda s, e: s + geometry.distance(e["a"], e["b"]))
+    return parts.select("l_orderkey", "l_linenumber", F.size("p").cast("long").alias("n_parts"), F.round(total, 6).alias("length"), F.round(F.element_at("p", 1)["a"]["x"], 6).alias("x"))
+
+
+@query("supplier", sql=f"""SELECT s_suppkey, 1 + (s_suppkey % 3 > 0)::INT AS n_rings, 5 + 5 * (s_suppkey % 3 > 0)::INT AS n_vertices, 12 * 9 - CASE WHEN s_suppkey % 3 > 0 THEN 2 * (s_suppkey % 3) ELSE 0 END - 0.25 AS area, 12 * 9 - CASE WHEN s_suppkey % 3 = 2 THEN 4.0 ELSE 0 END AS filled, round(xmin, 6) AS xmin FROM ({_AREAS})""")
+def wkb_polygons(supplier: DataFrame) -> DataFrame:
+    """Polygons with up to two holes written as WKB and read again: rings, vertices, area, and the area once small holes are
+    filled; the smallest hole is gone before the rings are counted."""
+    a = areas(supplier).select("s_suppkey", *(F.col(c).cast("double").alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
+    k = (F.col("s_suppkey") % 3).cast("double")
+    ring = lambda x0, y0, x1, y1: F.array(*(geometry.point(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))))
+    x, y = F.col("xmin"), F.col("ymin")
+    outer = ring(x, y, F.col("xmax"), F.col("ymax"))
+    rings = F.concat(F.array(outer), F.when(k > 0, F.array(ring(x + 1, y + 1, x + 1 + k, y + 3))).otherwise(F.array().cast(f"array<{geometry.POINTS}>")), F.array(ring(x + 6, y + 6, x + 6.5, y + 6.5)))
+    read = a.select("s_suppkey", geometry.wkb_points(geometry.as_wkb(rings)).alias("r"))
+    whole = geometry.without_small_holes(F.col("r"), 0.5)
+    return read.select(
+        "s_suppkey", F.size(whole).alias("n_rings"), F.aggregate(whole, F.lit(0), lambda s, r: s + F.size(r)).alias("n_vertices"), F.round(geometry.net_area(F.col("r")), 6).alias("area"),
+        F.round(geometry.net_area(geometry.without_small_holes(F.col("r"), 3.0)), 6).alias("filled"), F.round(geometry.box(F.element_at("r", 1))["xmin"], 6).alias("xmin"),
+    )

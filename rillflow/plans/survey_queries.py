@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, survey
+from ..operators import aggregates, rules, survey
+from ..operators.rules import Rule
 from .registry import query
 
 _V = "l_suppkey AS visit"
@@ -147,3 +148,53 @@ def fish_counts(lineitem: DataFrame) -> DataFrame:
 def thalweg_variation(lineitem: DataFrame) -> DataFrame:
     m = measured(lineitem).groupBy("visit").agg(F.sum("area").alias("total"), F.stddev_samp("area").alias("sd"), F.avg("area").alias("mean"))
     return m.withColumn("cv", aggregates.ratio(F.col("sd"), F.col("mean")))
+
+
+_RULES = [
+    Rule("one main line", "lines", "exactly", where="l_linenumber = 1", value=1),
+    Rule("three lines", "lines", "at_least", value=3, status="Warning"),
+    Rule("few lines", "lines", "at_most", value=6),
+    Rule("dates known", "lines", "required", column="late", status="Warning"),
+    Rule("numbers unique", "lines", "unique", column="l_suppkey"),
+    Rule("flags", "lines", "one_of", column="l_returnflag", value=("A", "N")),
+    Rule("sizes", "lines", "between", column="l_quantity", value=(2, 48)),
+    Rule("tax", "lines", "between", column="l_tax", where="l_linestatus = 'F'", value=(0.0, 0.07)),
+    Rule("status", "visits", "pattern", column="o_orderstatus", value="^[FO]$"),
+    Rule("lines as visits", "lines", "as_many_as", value="visits"),
+    Rule("prices", "lines", "no_more_than", column="l_extendedprice", value="visits", other_column="o_totalprice"),
+    Rule("lines if a visit", "lines", "has_rows_if", value="visits", status="Warning"),
+]
+
+
+@query("lineitem", "orders", sql="""WITH l AS (SELECT l_orderkey AS visit, count(*) AS n, count(*) FILTER (WHERE l_linenumber = 1) AS one, count(*) FILTER (WHERE l_quantity = 7) AS nulls, count(*) - count(DISTINCT l_suppkey) AS same, count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) AS flags,
+count(*) FILTER (WHERE NOT l_quantity BETWEEN 2 AND 48) AS sizes, count(*) FILTER (WHERE l_linestatus = 'F' AND NOT l_tax BETWEEN 0 AND 0.07) AS tax, sum(l_extendedprice) AS price FROM lineitem WHERE l_orderkey % 5 <> 0 GROUP BY 1),
+o AS (SELECT o_orderkey AS visit, count(*) AS m, count(*) FILTER (WHERE NOT regexp_matches(o_orderstatus, '^[FO]$')) AS status, sum(o_totalprice) AS total FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1),
+v AS (SELECT visit, coalesce(n, 0) AS n, coalesce(one, 0) AS one, coalesce(nulls, 0) AS nulls, coalesce(same, 0) AS same, coalesce(flags, 0) AS flags, coalesce(sizes, 0) AS sizes, coalesce(tax, 0) AS tax, coalesce(price, 0) AS price, coalesce(m, 0) AS m, coalesce(status, 0) AS bad, coalesce(total, 0) AS total FROM l FULL JOIN o USING (visit)),
+r AS (SELECT visit, unnest([('one main line', one = 1, 'Error', one), ('three lines', n >= 3, 'Warning', n), ('few lines', n <= 6, 'Error', n), ('dates known', nulls = 0, 'Warning', nulls), ('numbers unique', same = 0, 'Error', same), ('flags', flags = 0, 'Error', flags), ('sizes', sizes = 0, 'Error', sizes), ('tax', tax = 0, 'Error', tax),
+('status', bad = 0, 'Error', bad), ('lines as visits', n = m, 'Error', n - m), ('prices', price <= total, 'Error', price - total), ('lines if a visit', m = 0 OR n > 0, 'Warning', n - m)]) AS x FROM v)
+SELECT visit, x[1] AS rule, CASE WHEN x[2] THEN 'Pass' ELSE x[3] END AS status, round(x[4]::DOUBLE, 2) AS observed FROM r""")
+def survey_rules(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Twelve rules, in eleven forms, of two tables that each lack some visits."""
+    lines = lineitem.filter("l_orderkey % 5 <> 0").withColumn("visit", F.col("l_orderkey")).withColumn("late", F.when(F.col("l_quantity") != 7, F.col("l_shipdate")))
+    visits = orders.filter("o_orderkey % 7 <> 0").withColumn("visit", F.col("o_orderkey"))
+    return rules.evaluate({"lines": lines, "visits": visits}, _RULES, "visit").withColumn("observed", F.round("observed", 2))
+
+
+@query("embeddings", sql="""WITH cells AS MATERIALIZED (SELECT vec_id AS row, i - 1 AS col, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, range(1, 65) t(i)),
+l AS (SELECT vec_id AS visit, vec_id + 0.5 AS y0, sqrt(37.75 ^ 2 + 100) AS a, sqrt(20.5 ^ 2 + 49) AS b FROM embeddings WHERE vec_id % 20 = 0),
+p AS (SELECT visit, y0, a, b, i * 1.7 AS m FROM l, range(0, 36) t(i) WHERE i <= floor((a + b) / 1.7)),
+xy AS (SELECT visit, a + b AS length, CASE WHEN m <= a THEN 2.5 + m / a * 37.75 ELSE 40.25 + (m - a) / b * 20.5 END AS x, CASE WHEN m <= a THEN y0 + m / a * 10 ELSE y0 + 10 - (m - a) / b * 7 END AS y FROM p),
+s AS (SELECT visit, any_value(length) AS length, min(value) AS min, max(value) AS max, CASE WHEN count(*) = count(value) THEN avg(value) END AS mean, CASE WHEN count(*) = count(value) THEN stddev_pop(value) END AS stdev, count(*) - count(*) FILTER (WHERE value = 0) AS count FROM xy LEFT JOIN cells ON row = floor(y) AND col = floor(x) GROUP BY visit)
+SELECT visit, min, max, round(mean, 9) AS mean, round(stdev, 9) AS stdev, count, round(length, 6) AS length, round((u.value - d.value) * 10 / length, 9) AS gradient, round(length / sqrt(58.25 ^ 2 + 9), 6) AS sinuosity, round(stdev / nullif(mean, 0), 6) AS cv, round(length / 50, 6) AS to_centerline
+FROM s LEFT JOIN cells d ON d.row = visit AND d.col = 2 LEFT JOIN cells u ON u.row = visit + 3 AND u.col = 60""")
+def thalweg_metrics(embeddings: DataFrame) -> DataFrame:
+    """Depths sampled along a bent line through the raster, and the fall of the water surface from end to end."""
+    from .aggregate_queries import cells_of
+
+    y = F.col("vec_id") + 0.5
+    point = lambda x, v: F.struct(F.lit(x).cast("double").alias("x"), v.cast("double").alias("y"))
+    lines = embeddings.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("visit"), F.array(point(2.5, y), point(40.25, y + 10), point(60.75, y + 3)).alias("line"), F.lit(50.0).alias("centre"))
+    cells = cells_of(embeddings)
+    t = survey.thalweg(lines, ["visit"], "line", cells, cells.withColumn("value", F.col("value") * 10), 1.0, 1.7, "centre")
+    r = lambda c, k: F.round(c, k).alias(c)
+    return t.select("visit", "min", "max", r("mean", 9), r("stdev", 9), "count", r("length", 6), r("gradient", 9), r("sinuosity", 6), r("cv", 6), r("to_centerline", 6))

@@ -271,3 +271,37 @@ def test_scratch_needs_a_shared_folder(spark):
 
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark).startswith(base)
+
+
+def test_parts_of_lines(spark):
+    line = points((0, 0), (3, 4), (3, 10))
+    piece = lambda a, b: [(p.x, p.y) for p in one(spark, geometry.between(line, F.lit(a), F.lit(b))) or []]
+    assert piece(2.5, 8.0) == [(1.5, 2.0), (3.0, 4.0), (3.0, 7.0)]
+    assert piece(-5.0, 99.0) == [(0.0, 0.0), (3.0, 4.0), (3.0, 10.0)]
+    assert piece(5.0, 6.0) == [(3.0, 4.0), (3.0, 5.0)] and piece(6.0, 6.0) == [] and piece(20.0, 30.0) == []
+    box = [F.lit(float(v)) for v in (1.5, -1, 9, 6)]
+    assert [(s.a.x, s.a.y, s.b.x, s.b.y) for s in one(spark, geometry.inside_box(line, *box))] == [(1.5, 2.0, 3.0, 4.0), (3.0, 4.0, 3.0, 6.0)]
+    assert one(spark, geometry.inside_box(points((0, 0), (0, 5), (0, 5)), *box)) == []
+
+
+def test_wkb_of_rings(spark):
+    rings = F.array(points((0, 0), (4, 0), (4, 4), (0, 4)), points((1, 1), (2, 1), (2, 2), (1, 2), (1, 1)))
+    back = one(spark, geometry.wkb_points(geometry.as_wkb(rings)))
+    assert [[(p.x, p.y) for p in r] for r in back] == [[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]]
+    assert one(spark, geometry.net_area(rings)) == 15
+
+
+def test_rules_of_missing_tables_and_kinds(spark):
+    from rillflow.operators import rules
+
+    a = spark.createDataFrame([(1, "x", 5.0), (1, "x", None), (2, "y", 9.0), (None, "z", 1.0)], "visit long, k string, v double")
+    b = spark.createDataFrame([(2, 1.0), (3, 2.0)], "visit long, w double")
+    wanted = [rules.Rule("one", "a", "exactly", value=1), rules.Rule("k", "a", "unique", column="k"), rules.Rule("v", "a", "required", column="v", status="Warning"), rules.Rule("sum", "a", "no_more_than", column="v", value="b", other_column="w"), rules.Rule("has", "a", "has_rows_if", value="b")]
+    out = {(r.visit, r.rule): (r.status, r.observed) for r in rules.evaluate({"a": a, "b": b}, wanted, "visit").collect()}
+    assert out == {
+        (1, "one"): ("Error", 2.0), (1, "k"): ("Error", 1.0), (1, "v"): ("Warning", 1.0), (1, "sum"): ("Error", 5.0), (1, "has"): ("Pass", 2.0),
+        (2, "one"): ("Pass", 1.0), (2, "k"): ("Pass", 0.0), (2, "v"): ("Pass", 0.0), (2, "sum"): ("Error", 8.0), (2, "has"): ("Pass", 0.0),
+        (3, "one"): ("Error", 0.0), (3, "k"): ("Pass", 0.0), (3, "v"): ("Pass", 0.0), (3, "sum"): ("Pass", -2.0), (3, "has"): ("Error", -1.0),
+    }
+    with pytest.raises(ValueError, match="no kind"):
+        rules.evaluate({"a": a}, [rules.Rule("r", "a", "never")], "visit")
