@@ -308,12 +308,12 @@ def threshold_area_pct(embeddings: DataFrame) -> DataFrame:
 # --- networks and geometry ------------------------------------------------------------------------------------------
 
 
-@query("nation", sql="""
-WITH RECURSIVE e AS (SELECT CAST(n_nationkey AS BIGINT) AS k, CAST(n_nationkey // 2 AS BIGINT) AS nxt FROM nation WHERE n_nationkey > 0),
+@query("part", sql="""
+WITH RECURSIVE e AS (SELECT CAST(p_partkey AS BIGINT) AS k, CAST(p_partkey // 2 AS BIGINT) AS nxt FROM part WHERE p_partkey > 1),
 f AS (SELECT k AS up, nxt AS down FROM e UNION ALL SELECT f.up, e.nxt FROM f JOIN e ON f.down = e.k)
 SELECT down AS k, count(*) AS n_up, CAST(sum(up) AS BIGINT) AS sum_up FROM f GROUP BY down""")
-def recursive_closure(nation: DataFrame) -> DataFrame:
-    edges = nation.filter("n_nationkey > 0").select(F.col("n_nationkey").cast("long").alias("k"), F.floor(F.col("n_nationkey") / 2).alias("nxt"))
+def recursive_closure(part: DataFrame) -> DataFrame:
+    edges = part.filter("p_partkey > 1").select(F.col("p_partkey").cast("long").alias("k"), F.floor(F.col("p_partkey") / 2).alias("nxt"))
     return network.closure(edges, "k", "nxt").groupBy(F.col("down").alias("k")).agg(F.count(F.lit(1)).alias("n_up"), F.sum("up").alias("sum_up"))
 
 
