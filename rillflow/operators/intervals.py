@@ -17,12 +17,13 @@ def _carried(rows: DataFrame, keys: list[str], value: Column, how, name: str) ->
 
 
 def _with(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
-    """Null keys meet each other too."""
+    """Null keys meet each other too.  What is carried, a row per stretch, is hashed in each partition, and the rows stay dealt by
+    stretch whichever side is smaller."""
     c = carried.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_s").alias("_ks"), *(x for x in carried.columns if x not in (*keys, "_s")))
     on = F.col("_s") == F.col("_ks")
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return rows.join(c, on).drop("_ks", *(f"_k{i}" for i in range(len(keys))))
+    return rows.join(c.hint("shuffle_hash"), on).drop("_ks", *(f"_k{i}" for i in range(len(keys))))
 
 
 def dissolve(df: DataFrame, keys: list[str], a: str, b: str, stretch: float) -> DataFrame:

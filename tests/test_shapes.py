@@ -147,7 +147,7 @@ def test_region_names_of_wide_rasters(spark):
 
 
 def test_a_long_row_and_a_long_stream_are_many_tasks(spark):
-    n = 200_000
+    n = 40_000
     cells = spark.range(n).select(F.lit(0).alias("row"), F.col("id").alias("col"), F.lit(1).alias("value"))
     assert grid.regions(cells, stretch=4096).select("region").distinct().count() == 1
     spans = spark.range(n).select(F.lit("x").alias("path"), F.col("id").cast("double").alias("a"), (F.col("id") + 1.5).alias("b"))
