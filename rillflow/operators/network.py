@@ -104,7 +104,9 @@ def components(edges: DataFrame) -> DataFrame:
         nearby = both.join(label.select(F.col("u").alias("v"), F.col("l").alias("lv")), "v").groupBy("u").agg(F.min("lv").alias("m"))
         best = label.join(nearby, "u").select("u", F.col("l").alias("old"), F.least("l", "m").alias("l"))
         # a label hooks onto the best label any of its members saw, then jumps
-        hook = best.groupBy(F.col("old").alias("h")).agg(F.min("l").alias("hl")).filter("hl < h")
+        # and so does the label that the node it names has by now, which halves the way that is left along a chain
+        offers = best.select(F.col("old").alias("h"), "l").union(best.select(F.col("u").alias("h"), "l"))
+        hook = offers.groupBy("h").agg(F.min("l").alias("hl")).filter("hl < h").join(best.select(F.col("l").alias("h")).distinct(), "h", "left_semi")
         # most nodes may carry one label: its row is there once per slice, and the nodes are dealt to the slices
         hook = hook.withColumn("hs", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
         jumped = best.withColumn("_s", F.pmod(F.xxhash64("u"), F.lit(SLICES)).cast("int")).join(hook, (F.col("l") == F.col("h")) & (F.col("_s") == F.col("hs")), "left").select("u", "old", F.least("l", F.coalesce("hl", "l")).alias("l"))
