@@ -13,9 +13,11 @@ put in or left out stays whole, and all of the document together.  The item is f
 Windows with fewer than ``MIN_LITERALS`` literal words are too common as templates, so they must match with the
 values of their slots.
 
-The benchmark's windows are broadcast only if there are at most ``BROADCAST_ROWS`` of them, and are otherwise
-joined by shuffling.  A window travels as a 64-bit hash and the few values of its slots, so texts are read once and
-never shuffled.
+Each document is canonicalised once, and its windows of all wanted lengths are joined with the distinct templates of the
+benchmark, however many items share one.  Items are then proposed by their rarest windows, and the places of an item
+are attached only for the documents where it may be found.  Templates are broadcast only if there are at most
+``BROADCAST_ROWS`` of them, and are otherwise joined by shuffling in slices.  A window travels as a 64-bit hash and the
+few values of its slots, so texts are read once and never shuffled.
 
 An item is found in a document by ``MIN_WINDOWS`` consistent windows or by ``MIN_SHARE`` of the item's windows.  Items
 shorter than a window are matched as one window of their own length, and items of fewer than ``MIN_LITERALS`` words
@@ -40,6 +42,8 @@ MIN_SHARE = 0.5
 #: The share of slot pairs that must follow one mapping of values.
 MIN_AGREEMENT = 0.8
 BROADCAST_ROWS = 500_000
+#: Tasks among which the rows of one key are dealt in a join by shuffling.
+SLICES = 16
 #: Units that become a placeholder behind a number.
 UNITS = (
     "mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "ft", "yard", "yards", "mile", "miles", "mg", "g", "gram", "grams", "kg", "ton", "tons",
@@ -62,10 +66,11 @@ def _is_number(w: Column) -> Column:
 
 
 def templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, hashes, values): per word the hash of its template token, and what a placeholder stood for (else null).
+    """(keys, hashes, values, own): per word the hash of its template token, and what a placeholder stood for (else null).
 
-    Each step is a projection of its own that names the arrays of the step before more than once, so that the
-    optimizer doesn't inline an array into a lambda, where it would be computed anew for every word.
+    ``own`` has the hash of every word in lower case, for what is matched word by word.  Each step is a projection of its
+    own that names the arrays of the step before more than once, so that the optimizer doesn't inline an array into a
+    lambda, where it would be computed anew for every word.
     """
     units = F.array(*map(F.lit, UNITS))
 
@@ -81,56 +86,80 @@ def templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     every = rows.select(*keys, words_of(F.col(text)).alias("words"))
     is_name = lambda i: F.coalesce(F.ascii(F.get("words", i)) == 1, F.lit(False))
     second = lambda i: is_name(i - 1) & ~is_name(i - 2) & ~is_name(i + 1)
-    words = every.select(*keys, F.filter("words", lambda w, i: (F.ascii(w) != 1) | ~second(i)).alias("words"))
-    tokens = words.select(*keys, "words", F.zip_with("words", before, token).alias("tokens"))
-    value = F.zip_with("words", "tokens", lambda w, t: F.when(F.ascii(t) == ord("<"), F.concat(t, F.translate(F.lower(w), ",", ""))))
-    return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"))
-
-
-def verbatim(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """As ``templates``, but every word in lower case is its own token."""
-    words = rows.select(*keys, words_of(F.col(text)).alias("words"))
     own = F.transform("words", lambda w: F.xxhash64(F.lower(F.ltrim(w, F.lit(_NAME)))))
-    return words.select(*keys, own.alias("hashes"), F.transform("words", lambda w: F.lit(None).cast("string")).alias("values"))
+    words = every.select(*keys, F.filter("words", lambda w, i: (F.ascii(w) != 1) | ~second(i)).alias("words"), own.alias("own"))
+    tokens = words.select(*keys, "own", "words", F.zip_with("words", before, token).alias("tokens"))
+    value = F.zip_with("words", "tokens", lambda w, t: F.when(F.ascii(t) == ord("<"), F.concat(t, F.translate(F.lower(w), ",", ""))))
+    return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"), "own")
 
 
-def windows(rows: DataFrame, keys: list[str], length: int, min_literals: int) -> DataFrame:
-    """(keys, at, h, slots) for every window: its place, its hash, its placeholders' values.
+def windows(rows: DataFrame, keys: list[str], min_literals: int) -> DataFrame:
+    """(keys, at, h, slots) for every window of ``len`` words: its place, its hash, its placeholders' values.
 
-    With too few literals the values are part of the hash.
+    With too few literals the values are part of the hash; windows of fewer than ``min_literals`` words are those of
+    ``own``, which has no placeholders.
     """
-    n = F.size("hashes") - length + 1
+    short = F.col("len") < min_literals
+    rows = rows.select(*keys, "len", F.when(short, F.col("own")).otherwise(F.col("hashes")).alias("hashes"), F.when(~short, F.col("values")).alias("values"))
+    n = F.size("hashes") - F.col("len") + 1
     window = lambda i: F.struct(
-        F.xxhash64(F.slice("hashes", i + 1, length)).alias("h"),
-        F.filter(F.slice("values", i + 1, length), lambda v: v.isNotNull()).alias("slots"),
+        F.xxhash64(F.slice("hashes", i + 1, F.col("len"))).alias("h"),
+        F.coalesce(F.filter(F.slice("values", i + 1, F.col("len")), lambda v: v.isNotNull()), F.array().cast("array<string>")).alias("slots"),
     )
-    every = F.when((n > 0) & (F.size("values") > 0), F.transform(F.sequence(F.lit(0), n - 1), window))
-    out = rows.select(*keys, F.posexplode(every).alias("at", "w")).select(*keys, "at", "w.h", "w.slots")
-    return out.withColumn("h", F.when(F.size("slots") <= length - min_literals, F.col("h")).otherwise(F.xxhash64("h", "slots")))
+    out = rows.select(*keys, "len", F.posexplode(F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), window))).alias("at", "w")).select(*keys, "len", "at", "w.h", "w.slots")
+    as_template = short | (F.size("slots") <= F.col("len") - min_literals)
+    return out.withColumn("h", F.when(as_template, F.col("h")).otherwise(F.xxhash64("h", "slots"))).drop("len")
+
+
+def _matched(rows: DataFrame, few: DataFrame, on: str, dealt_by: str, broadcast_rows: int) -> DataFrame:
+    """``rows`` joined with ``few`` by ``on``.
+
+    ``few`` is broadcast up to so many rows.  Beyond them its rows are there once per slice and the rows of one key are dealt
+    to the slices, so that a common template or item is never one task's.
+    """
+    if at_most(few, broadcast_rows):
+        return rows.join(F.broadcast(few), on)
+    sliced = few.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    return rows.withColumn("_s", F.pmod(F.xxhash64(dealt_by), F.lit(SLICES)).cast("int")).join(sliced, [on, "_s"]).drop("_s")
+
+
+def proposers(of_items: DataFrame, totals: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(h, item_id): the windows by which an item is looked for.
+
+    An item found has hits at ``need`` of its places, so of any ``places - need + 1`` of them one is hit.  Those whose
+    templates the fewest items share are taken: what is common to the items of a frame proposes none of them.
+    """
+    shared = of_items.groupBy("h").agg(F.count_distinct("item_id").alias("n"))
+    places = _matched(of_items, shared, "h", "item_id", broadcast_rows).groupBy("item_id", "at").agg(F.max("n").alias("n"))
+    rarest = places.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("n", "at"))).alias("places"))  # as many as an item has words
+    rarest = rarest.join(totals, "item_id").select("item_id", F.explode(F.slice("places", F.lit(1), F.greatest(F.size("places") - F.col("need") + 1, F.lit(0)).cast("int"))).alias("p"))
+    return of_items.join(rarest.select("item_id", F.col("p.at").alias("at")), ["item_id", "at"]).select("h", "item_id").distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = MIN_WINDOWS, min_share: float = MIN_SHARE, min_literals: int = MIN_LITERALS, broadcast_rows: int = BROADCAST_ROWS, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots): one row per document and the item found in it."""
     item_texts = benchmark.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
     doc_texts = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    of_items, of_docs = {}, {}
-    for how in (templates, verbatim):
-        of_items[how] = how(item_texts, ["item_id"], "text").withColumn("len", F.least(F.size("hashes"), F.lit(window)))
-        of_docs[how] = how(doc_texts, ["doc_id"], "text")
-    items = written(of_items[templates].where(F.col("len") >= min_literals).unionByName(of_items[verbatim].where(F.col("len").between(1, min_literals - 1))))
-    found = None
-    for length in sorted(r.len for r in items.select("len").distinct().collect()):  # at most ``window`` values
-        rows, literals = (of_docs[templates], min_literals) if length >= min_literals else (of_docs[verbatim], 0)
-        wanted = windows(items.where(F.col("len") == length), ["item_id"], length, literals).select("item_id", "h", F.col("at").alias("i_at"), F.col("slots").alias("i_slots"))
-        wanted = F.broadcast(wanted) if at_most(wanted, broadcast_rows) else wanted
-        hits = windows(rows, ["doc_id"], length, literals).join(wanted, "h").select("doc_id", "item_id", "at", "i_at", "i_slots", F.col("slots").alias("d_slots"))
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
+    # an item that is short without the second words of its names is matched word by word
+    items = templates(item_texts, ["item_id"], "text").withColumn("len", F.least(F.size("hashes"), F.lit(window)))
+    items = items.withColumn("len", F.when(F.col("len") < min_literals, F.least(F.size("own"), F.lit(min_literals - 1))).otherwise(F.col("len")))
+    size = F.when(F.col("len") < min_literals, F.size("own")).otherwise(F.size("hashes"))
+    items = written(items.withColumn("size", size).where("len > 0"))
+    lengths = sorted(r.len for r in items.select("len").distinct().collect())  # at most ``window`` values
+    if not lengths:
         kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, item_id {benchmark.schema[item_id].dataType.simpleString()}, n_windows long, item_windows long, n_slots long"
         return docs.sparkSession.createDataFrame([], kinds)
-    found = written(found)  # read twice below; few rows beside the windows that were compared
+    totals = items.select("item_id", "size", (F.col("size") - F.col("len") + 1).cast("long").alias("item_windows")).groupBy("item_id").agg(F.max("size").alias("size"), F.max("item_windows").alias("item_windows"))
+    totals = written(totals.withColumn("need", F.greatest(F.least(F.lit(min_windows), F.ceil(min_share * F.col("item_windows"))), F.lit(1))))
+    of_items = written(windows(items, ["item_id"], min_literals))
+    # each document is canonicalised once, and the windows of all lengths are cut from that
+    rows = templates(doc_texts, ["doc_id"], "text").withColumn("len", F.explode(F.array(*map(F.lit, lengths))))
+    hits = written(_matched(windows(rows, ["doc_id"], min_literals), of_items.select("h").distinct(), "h", "doc_id", broadcast_rows))
+    # items are attached to documents that hit one of their rarest windows, and only then to all hits of such pairs
+    pairs = written(_matched(hits.select("doc_id", "h").distinct(), proposers(of_items, totals, broadcast_rows), "h", "doc_id", broadcast_rows).select("doc_id", "item_id").distinct())
+    wanted = _matched(pairs, of_items.select("item_id", "h", F.col("at").alias("i_at"), F.col("slots").alias("i_slots")), "item_id", "doc_id", broadcast_rows)
+    found = written(wanted.join(hits.withColumnRenamed("slots", "d_slots"), ["doc_id", "h"]))  # read twice below
     # each hit belongs to its alignment, to the two stretches of the item's length that hold it, and to the document
-    totals = items.select("item_id", F.size("hashes").alias("size"), (F.size("hashes") - F.col("len") + 1).cast("long").alias("item_windows")).groupBy("item_id").agg(F.max("size").alias("size"), F.max("item_windows").alias("item_windows"))
     shift, size = F.col("at") - F.col("i_at"), F.col("size")
     places = F.array(*(F.struct(F.lit(scope).alias("scope"), place.cast("long").alias("place")) for scope, place in enumerate((shift, F.floor(shift / size), F.floor(shift / size + 0.5), F.lit(0)))))
     found = found.join(totals, "item_id").select("doc_id", "item_id", F.explode(places).alias("p"), "i_at", "i_slots", "d_slots")
