@@ -1,14 +1,15 @@
-"""Shapes out of points and parts: convex hulls, and lines chained from their parts."""
+"""Shapes out of points and parts: convex hulls, lines chained from their parts, and gaps between lines."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship, written
 from .network import components, length_to_mouth
+from .sets import union_all
 
 #: Parts to which the points of one key are dealt before hulls are merged.
 SLICES = 64
@@ -107,3 +108,79 @@ def _walked(cut: DataFrame, starts: DataFrame) -> DataFrame:
         known = written(known.unionByName(known.join(jump, "way").select(F.col("next").alias("way"), "line", "_n")).distinct())
         jump = written(jump.join(jump.select(F.col("way").alias("next"), F.col("next").alias("_n2")), "next").select("way", F.col("_n2").alias("next")))
     return known
+
+
+# --- gaps between lines -----------------------------------------------------------------------------------------------
+
+#: Free ends that a cell of the finest grid has at most, about, and the halvings of a limit that are tried for it.
+CELL_ENDS, HALVINGS = 64, 24
+
+
+def bridges(parts: DataFrame, key: str, limit: str, part: str = "part") -> DataFrame:
+    """(key, from_part, from_end, to_part, to_end, gap): what closes the gaps between lines of one key.
+
+    ``parts`` has a number of its own for each part, its ends ``ax, ay`` and ``bx, by`` and its key's ``limit``.  A free end is one
+    that meets no other end.  Of all free ends of two lines the nearest two are bridged, then the nearest two of what is left, as
+    long as they are nearer than the limit; both ends of one line are never bridged, and of equal gaps that of the smaller parts
+    comes first.  ``from_end`` and ``to_end`` are 0 for an end ``a`` and 1 for an end ``b``.  Null coordinates and limits close nothing.
+
+    A pair that is the nearest of either line is bridged whatever happens elsewhere, so each round bridges all such pairs at
+    once, and as many lines are left fewer.  The grid begins with cells so small that they hold few ends, and doubles when no gap
+    of a cell's size is left: then the free ends of unlike lines are a cell apart, so cells stay as thin and no round compares all
+    ends of a key.
+    """
+    k = F.col(key)
+    rows = parts.select(k.alias("key"), F.col(part).cast("long").alias("part"), *(F.col(c).cast("double").alias(c) for c in ("ax", "ay", "bx", "by")), F.col(limit).cast("double").alias("limit"))
+    rows = written(rows)
+    node = lambda s: F.struct("key", F.col(f"{s}x").alias("x"), F.col(f"{s}y").alias("y"))
+    line = chained(rows.select("part", node("a").alias("a"), node("b").alias("b"))).select("part", "line")
+    ends = F.explode(F.array(*(F.struct((F.col("part") * 2 + i).alias("end"), F.col(f"{s}x").alias("x"), F.col(f"{s}y").alias("y")) for i, s in enumerate("ab"))))
+    every = rows.select("key", "part", "limit", ends.alias("e")).select("key", "part", "limit", "e.end", "e.x", "e.y")
+    alone = every.groupBy("key", "x", "y").agg(F.count(F.lit(1)).alias("n"), F.min("end").alias("end"), F.min("part").alias("part"), F.min("limit").alias("limit"))
+    alone = alone.filter((F.col("n") == 1) & F.col("x").isNotNull() & F.col("y").isNotNull() & (F.col("limit") > 0))
+    free = written(alone.join(line, "part").select("key", "line", "end", "x", "y", "limit"))
+
+    cell = lambda c, halved: F.floor(F.col(c) / (F.col("limit") / F.pow(F.lit(2.0), halved))).cast("long")
+    tried = free.withColumn("halved", F.explode(F.sequence(F.lit(0), F.lit(HALVINGS))))
+    counts = tried.groupBy("halved", "key", cell("x", F.col("halved")).alias("cx"), cell("y", F.col("halved")).alias("cy")).count()
+    most = dict(counts.groupBy("halved").agg(F.max("count").alias("n")).collect())  # a number per halving
+    found = []
+    for halved in range(min((h for h, n in most.items() if n <= CELL_ENDS), default=HALVINGS), -1, -1):
+        while True:
+            closed = written(_nearest_of_both(free, F.lit(halved), cell))
+            if closed.isEmpty():
+                break
+            found.append(closed)
+            used = closed.select(F.explode(F.array("lo", "hi")).alias("end"))
+            names = closed.select(F.explode(F.array("lo_line", "hi_line")).alias("line"), F.least("lo_line", "hi_line").alias("_line"))
+            free = written(free.join(used, "end", "left_anti").join(names, "line", "left").withColumn("line", F.coalesce("_line", "line")).drop("_line"))
+    if not found:
+        found = [written(_nearest_of_both(free.limit(0), F.lit(0), cell))]
+    of = lambda c: (F.floor(F.col(c) / 2).alias(f"{'from' if c == 'lo' else 'to'}_part"), (F.col(c) % 2).cast("int").alias(f"{'from' if c == 'lo' else 'to'}_end"))
+    return union_all(found).select(F.col("key").alias(key), *of("lo"), *of("hi"), "gap")
+
+
+def _nearest_of_both(free: DataFrame, halved: Column, cell) -> DataFrame:
+    """(key, gap, lo, hi, lo_line, hi_line): pairs of ends nearer than a cell's size that are the nearest of either line."""
+    size = F.col("limit") / F.pow(F.lit(2.0), halved)
+    stored = free.select("key", F.col("line").alias("_line"), F.col("end").alias("_end"), F.col("x").alias("_x"), F.col("y").alias("_y"), cell("x", halved).alias("cx"), cell("y", halved).alias("cy"))
+    beside = [F.struct((cell("x", halved) + i).alias("cx"), (cell("y", halved) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    asked = free.withColumn("size", size).withColumn("c", F.explode(F.array(*beside))).select("key", "line", "end", "x", "y", "size", "c.cx", "c.cy")
+    dx, dy = F.col("x") - F.col("_x"), F.col("y") - F.col("_y")
+    near = asked.join(stored, ["key", "cx", "cy"]).filter("line <> _line").withColumn("gap", F.sqrt(dx * dx + dy * dy)).filter("gap < size")
+    first = F.col("end") < F.col("_end")
+    pair = F.struct("gap", F.least("end", "_end").alias("lo"), F.greatest("end", "_end").alias("hi"), F.when(first, F.col("line")).otherwise(F.col("_line")).alias("lo_line"), F.when(first, F.col("_line")).otherwise(F.col("line")).alias("hi_line"))
+    best = near.groupBy("key", "line").agg(F.min(pair).alias("p"))
+    return best.groupBy("key", "p").agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select("key", "p.*")
+
+
+def closed_lines(parts: DataFrame, key: str, pairs: DataFrame, part: str = "part") -> DataFrame:
+    """(key, part, line): parts, with gaps closed by the ``bridges`` given, by the line they belong to, named by its smallest part."""
+    rows = written(parts.select(F.col(key).alias("key"), F.col(part).cast("long").alias("part"), *(F.col(c).cast("double").alias(c) for c in ("ax", "ay", "bx", "by"))))
+    node = lambda s: F.struct("key", F.col(f"{s}x").alias("x"), F.col(f"{s}y").alias("y"))
+    line = written(chained(rows.select("part", node("a").alias("a"), node("b").alias("b"))).select("part", "line"))
+    of = lambda side: pairs.select(F.col("from_part"), F.col("to_part")).join(line, F.col(f"{side}_part") == F.col("part")).select("from_part", "to_part", F.col("line").alias(side))
+    linked = of("from").join(of("to"), ["from_part", "to_part"]).select(F.col("from").alias("a"), F.col("to").alias("b"))
+    joined = components(linked).select(F.col("node").alias("line"), "component")
+    out = rows.select("key", "part").join(line, "part").join(joined, "line", "left")
+    return out.select(F.col("key").alias(key), F.col("part").alias(part), F.coalesce("component", "line").alias("line"))

@@ -161,6 +161,22 @@ def merge_line_parts(part: DataFrame) -> DataFrame:
     return shapes.chained(edges.unionByName(spurs)).select("part", "line", "place", "turned")
 
 
+@query("part", sql="""WITH p AS (SELECT p_partkey AS part, p_partkey // 50 AS stream, 20 + p_size % 10 AS len, p_partkey % 3 AS y FROM part),
+n AS (SELECT *, lead(part) OVER w AS after, lead(y) OVER w AS ny, min(len) OVER (PARTITION BY stream) / 4.0 AS most FROM p WINDOW w AS (PARTITION BY stream ORDER BY part)),
+g AS (SELECT *, sqrt((30.0 * (after - part) - len) ** 2 + (ny - y) ** 2)::DOUBLE AS wide FROM n), c AS (SELECT *, CASE WHEN wide < most THEN wide END AS gap FROM g),
+b AS (SELECT *, lag(gap) OVER (PARTITION BY stream ORDER BY part) IS NULL AS begins FROM c), l AS (SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY stream ORDER BY part) AS island FROM b)
+SELECT stream::BIGINT AS stream, part::BIGINT AS part, min(part) OVER (PARTITION BY stream, island)::BIGINT AS line, gap FROM l""")
+def close_line_gaps(part: DataFrame) -> DataFrame:
+    """Parts along streams, drawn in either direction, with the gaps closed that are under a quarter of a stream's shortest part."""
+    n, odd = F.col("p_partkey"), F.col("p_size") % 2 == 1
+    y, low, high = n % 3, 30 * n, 30 * n + 20 + F.col("p_size") % 10
+    rows = part.select(F.floor(n / 50).alias("stream"), n.alias("part"), F.when(odd, high).otherwise(low).alias("ax"), y.alias("ay"), F.when(odd, low).otherwise(high).alias("bx"), y.alias("by"), (high - low).alias("length"))
+    parts = rows.join(rows.groupBy("stream").agg((F.min("length") / 4).alias("limit")), "stream")
+    pairs = shapes.bridges(parts, "stream", "limit")
+    lines = shapes.closed_lines(parts, "stream", pairs)
+    return lines.join(pairs.select(F.col("from_part").alias("part"), "gap"), "part", "left").select("stream", "part", "line", "gap")
+
+
 @query("customer", sql=f"""WITH p AS (SELECT c_custkey, c_mktsegment AS segment, x, y, least(CAST(floor((x + 180) / (360 / 8.0)) AS BIGINT), 7) AS cx, least(CAST(floor((y + 90) / (180 / 8.0)) AS BIGINT), 7) AS cy FROM ({_PLACES}) JOIN customer USING (c_custkey)),
 cells AS (SELECT cx, cy, count(*) AS n FROM p GROUP BY 1, 2), ok AS (SELECT cx, cy FROM cells WHERE n >= ceil((SELECT sum(n) FROM cells) / 64 * 0.5)),
 q AS (SELECT p.* FROM p JOIN ok USING (cx, cy)), groups AS (SELECT segment, cx, cy, count(*) AS size FROM q GROUP BY 1, 2, 3),
