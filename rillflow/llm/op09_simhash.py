@@ -20,7 +20,9 @@ other; fewer words than a shingle give one shingle; repeated rows belong to one
 id unless its component has no other.  Extra columns are ignored by ``components`` and kept by ``keep_one``.
 
 ``keep_one`` also takes a Jaccard similarity of 5-word shingles (``alike``), since 4 of 64 bits reach only about 0.96.
-At 0.8 about 10 bits differ, which no block keys propose without proposing most of all pairs.  So minhashes propose:
+There too the SimHash of the set of shingles comes first: classes of equal fingerprints, block keys, pivot rows, bits and
+components as above, and each component is a bucket, the first one of its members.  At 0.8 about 10 bits differ, which
+no block keys propose without proposing most of all pairs, so minhashes propose what is left:
 ``BANDS`` keys of ``ROWS`` minhashes each put a pair of similarity s in one bucket with probability 1 - (1 - s^4)^16,
 which is 0.9998 at 0.8 and grows with s.  A bucket is one unit of work for one task; a bucket over ``UNIT`` members is dealt
 in parts, and each pair of parts is a unit, so that no task holds more than two parts.  Within a unit signatures discard
@@ -71,6 +73,20 @@ def shingles(text: str | None, words: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(tokens[i : i + words]), SEED) for i in range(n)], np.uint64))
 
 
+def _ones(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, the highest one first."""
+    return np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
+    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+
+
+def set_fingerprint(own: np.ndarray) -> int:
+    """The fingerprint of a set of shingles, each counted once; of the empty set it is zero."""
+    return _majority(sum((_ones(own[at : at + _SLICE]) for at in range(0, len(own), _SLICE)), np.zeros(64, np.int64)), len(own))
+
+
 def minhashes(own: np.ndarray) -> np.ndarray:
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(own), 2048):
@@ -79,9 +95,9 @@ def minhashes(own: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_keys(least: np.ndarray) -> list[int]:
+def band_keys(least: np.ndarray, bands: int = BANDS) -> list[int]:
     """One signed 64-bit key per band of minhashes."""
-    return [signed(xxhash.xxh64_intdigest(bytes([k]) + least[k * ROWS : (k + 1) * ROWS].tobytes(), SEED)) for k in range(BANDS)]
+    return [signed(xxhash.xxh64_intdigest(bytes([k]) + least[k * ROWS : (k + 1) * ROWS].tobytes(), SEED)) for k in range(bands)]
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -101,9 +117,8 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     ends = ends[min(words, len(tokens)) - 1 :].tolist()
     ones = np.zeros(64, np.int64)
     for at in range(0, n, _SLICE):
-        h = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[at : at + _SLICE], ends[at : at + _SLICE], strict=True)], ">u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+        ones += _ones(np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[at : at + _SLICE], ends[at : at + _SLICE], strict=True)], ">u8"))
+    return _majority(ones, n)
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -326,17 +341,20 @@ def _compare(unit: dict[str, list], similarity: float, words: int) -> list[tuple
     return found
 
 
-def alike(docs: DataFrame, similarity: float = SIMILARITY, words: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", unit: int = UNIT) -> DataFrame:
-    """(doc_id, component_id) for every row: components of the pairs whose sets of shingles are at least so similar."""
+def alike(docs: DataFrame, similarity: float = SIMILARITY, words: int = SHINGLE, doc_id: str = "doc_id", text: str = "text", unit: int = UNIT, bands: int = BANDS) -> DataFrame:
+    """(doc_id, component_id) for every row: components of the pairs whose sets of shingles are at least so similar.
+
+    Without ``bands`` only the components of the fingerprints are compared.
+    """
     spark = docs.sparkSession
     ship(spark)
     n = per_core(spark)
 
-    @F.pandas_udf("h long, keys array<long>, sig binary")
+    @F.pandas_udf("h long, fp long, keys array<long>, sig binary")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         own = [shingles(t, words) for t in texts]
         least = [minhashes(x) for x in own]
-        return pd.DataFrame({"h": [signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) for x in own], "keys": [band_keys(x) for x in least], "sig": [x.astype(np.uint8).tobytes() for x in least]})
+        return pd.DataFrame({"h": [signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) for x in own], "fp": np.array([set_fingerprint(x) for x in own], np.uint64).view(np.int64), "keys": [band_keys(x, bands) for x in least], "sig": [x.astype(np.uint8).tobytes() for x in least]})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _units(batches):
@@ -344,9 +362,13 @@ def alike(docs: DataFrame, similarity: float = SIMILARITY, words: int = SHINGLE,
                 yield pa.RecordBatch.from_pydict({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("s", sketch("text"))
-    rows = written(rows.select("doc_id", "text", "s.h", "s.keys", "s.sig"))
+    rows = written(rows.select("doc_id", "text", "s.h", "s.fp", "s.keys", "s.sig"))
     # equal sets of shingles are one class
-    classes = written(rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"), F.first("sig").alias("sig")))
+    classes = written(rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("sig").alias("sig")))
+    # the components of the fingerprints are the first buckets
+    near = connected(links(classes.select("fp").distinct())).select(F.col("a").alias("fp"), F.col("b").alias("near"))
+    near = classes.join(F.broadcast(near) if at_most(near, BROADCAST_ROWS) else near, "fp", "left")
+    classes = written(near.select("h", "least", F.concat(F.array(F.xxhash64(F.lit("simhash"), F.coalesce("near", "fp"))), "keys").alias("keys"), "sig"))
     keyed = classes.select("h", F.posexplode("keys").alias("band", "key"))
     buckets = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("h", F.xxhash64(F.lit(0), "h")).alias("m0"), F.min_by("h", F.xxhash64(F.lit(1), "h")).alias("m1")).where("n > 1"))
     # a large bucket's members would be one task's in a join by key, so the few large buckets are joined apart

@@ -380,6 +380,31 @@ def test_near_copies_by_similarity(spark, docs):
     assert not op09.alike(empty(spark)).count()
 
 
+def test_fingerprints_propose_near_copies(spark, docs):
+    """Without minhashes: pairs in one component of the fingerprints of the sets are compared, and the similarity decides."""
+    words = [f"w{i}" for i in range(400)]
+    at = lambda *places: " ".join("new" if i in places else w for i, w in enumerate(words))
+    rows = docs.select("doc_id", "text").union(odd(spark).where("doc_id != 7").selectExpr("doc_id + 1000000", "text"))
+    rows = rows.union(spark.createDataFrame([(2000000 + i, at(*range(i, i + i % 3))) for i in range(40)], KIND))
+    sets = {r.doc_id: op09.shingles(r.text) for r in rows.collect()}
+    fps = {i: sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in own) > len(own)) for i, own in sets.items()}
+    assert fps == {i: op09.set_fingerprint(own) for i, own in sets.items()}
+    near = brute_components(fps)
+    of_set = {}
+    for i in sorted(sets):
+        of_set.setdefault(sets[i].tobytes(), i)
+    least = {i: of_set[own.tobytes()] for i, own in sets.items()}
+    once = sorted(of_set.values())
+    linked = [(i, j) for i in once for j in once if i < j and near[i] == near[j] and op09.jaccard(sets[i], sets[j]) >= 0.8]
+    for i, j in linked * len(linked):
+        if least[i] != least[j]:
+            low, high = sorted((least[i], least[j]))
+            least = {k: low if v == high else v for k, v in least.items()}
+    assert len(set(least.values())) < len(once)
+    assert {r.doc_id: r.component_id for r in op09.alike(rows, bands=0).collect()} == least
+    assert {r.doc_id: r.component_id for r in op09.alike(rows, bands=0, unit=3).collect()} == least
+
+
 # 10
 
 
