@@ -17,7 +17,8 @@ Each document is canonicalised once, and its windows of all wanted lengths are j
 benchmark, however many items share one.  Items are then proposed by their rarest windows, and the places of an item
 are attached only for the documents where it may be found.  Templates are broadcast only if there are at most
 ``BROADCAST_ROWS`` of them, and are otherwise joined by shuffling in slices.  A window travels as a 64-bit hash and the
-few values of its slots, so texts are read once and never shuffled.
+few values of its slots, so texts are read once and never shuffled.  Most windows have no slots: a byte per word tells
+which have, and only their values are collected.
 
 An item is found in a document by ``MIN_WINDOWS`` consistent windows or by ``MIN_SHARE`` of the item's windows.  Items
 shorter than a window are matched as one window of their own length, and items of fewer than ``MIN_LITERALS`` words
@@ -56,8 +57,8 @@ _NAME = "\u0001"
 
 def words_of(text: Column) -> Column:
     """The words of a text; a capitalised word inside a sentence is marked."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[\p{Ll}\p{N},;]\s)(?=\p{Lu})", _NAME)
-    parts = F.split(marked, r"[^\u0001\p{L}\p{M}\p{N}.,]+|[.,](?!\p{N})|(?<!\p{N})[.,]|,(?!\p{N}{3}(?!\p{N}))")
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;]\s)", _NAME)
+    parts = F.split(marked, r"[^\u0001\p{L}\p{M}\p{N}.,]+|[.,](?:(?!\p{N})|(?<!\p{N}[.,])|(?<=,)(?!\p{N}{3}(?!\p{N})))")
     return F.filter(parts, lambda w: w != "")
 
 
@@ -65,32 +66,34 @@ def _is_number(w: Column) -> Column:
     return F.ascii(w).between(48, 57)
 
 
-def templates(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, hashes, values, own): per word the hash of its template token, and what a placeholder stood for (else null).
+def templates(rows: DataFrame, keys: list[str], text: str, with_own: bool = True) -> DataFrame:
+    """(keys, hashes, values, slotted, own): per word the hash of its template token, and what a placeholder stood for (else null).
 
-    ``own`` has the hash of every word in lower case, for what is matched word by word.  Each step is a projection of its
+    ``slotted`` has a byte per word, 1 for a placeholder.  ``own`` has the hash of every word in lower case, for what is
+    matched word by word, and is null if it isn't wanted.  Each step is a projection of its
     own that names the arrays of the step before more than once, so that the optimizer doesn't inline an array into a
     lambda, where it would be computed anew for every word.
     """
     units = F.array(*map(F.lit, UNITS))
 
-    def token(w: Column, before: Column) -> Column:
+    def token(w: Column, i: Column) -> Column:
         return (
             F.when(F.ascii(w) == 1, "<name>")
             .when(_is_number(w), "<num>")
-            .when(_is_number(before) & F.array_contains(units, F.lower(w)), "<unit>")
+            .when(_is_number(F.get("words", i - 1)) & F.array_contains(units, F.lower(w)), "<unit>")
             .otherwise(F.lower(w))
         )
 
-    before = F.slice(F.concat(F.array(F.lit("")), "words"), F.lit(1), F.size("words"))
     every = rows.select(*keys, words_of(F.col(text)).alias("words"))
     is_name = lambda i: F.coalesce(F.ascii(F.get("words", i)) == 1, F.lit(False))
     second = lambda i: is_name(i - 1) & ~is_name(i - 2) & ~is_name(i + 1)
-    own = F.transform("words", lambda w: F.xxhash64(F.lower(F.ltrim(w, F.lit(_NAME)))))
+    own = F.transform("words", lambda w: F.xxhash64(F.lower(F.ltrim(w, F.lit(_NAME))))) if with_own else F.lit(None).cast("array<bigint>")
     words = every.select(*keys, F.filter("words", lambda w, i: (F.ascii(w) != 1) | ~second(i)).alias("words"), own.alias("own"))
-    tokens = words.select(*keys, "own", "words", F.zip_with("words", before, token).alias("tokens"))
-    value = F.zip_with("words", "tokens", lambda w, t: F.when(F.ascii(t) == ord("<"), F.concat(t, F.translate(F.lower(w), ",", ""))))
-    return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"), "own")
+    tokens = words.select(*keys, "own", "words", F.transform("words", token).alias("tokens"))
+    slot = lambda t: F.ascii(t) == ord("<")
+    value = F.zip_with("words", "tokens", lambda w, t: F.when(slot(t), F.concat(t, F.translate(F.lower(w), ",", ""))))
+    slotted = F.array_join(F.transform("tokens", lambda t: F.when(slot(t), "1").otherwise("0")), "").cast("binary")
+    return tokens.select(*keys, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"), value.alias("values"), slotted.alias("slotted"), "own")
 
 
 def windows(rows: DataFrame, keys: list[str], min_literals: int) -> DataFrame:
@@ -100,15 +103,23 @@ def windows(rows: DataFrame, keys: list[str], min_literals: int) -> DataFrame:
     ``own``, which has no placeholders.
     """
     short = F.col("len") < min_literals
-    rows = rows.select(*keys, "len", F.when(short, F.col("own")).otherwise(F.col("hashes")).alias("hashes"), F.when(~short, F.col("values")).alias("values"))
+    none = F.expr("cast(repeat('0', len) as binary)")
+    rows = rows.select(*keys, "len", F.when(short, F.col("own")).otherwise(F.col("hashes")).alias("hashes"), F.when(~short, F.col("values")).alias("values"), "slotted", none.alias("none"))
     n = F.size("hashes") - F.col("len") + 1
-    window = lambda i: F.struct(
-        F.xxhash64(F.slice("hashes", i + 1, F.col("len"))).alias("h"),
-        F.coalesce(F.filter(F.slice("values", i + 1, F.col("len")), lambda v: v.isNotNull()), F.array().cast("array<string>")).alias("slots"),
-    )
-    out = rows.select(*keys, "len", F.posexplode(F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), window))).alias("at", "w")).select(*keys, "len", "at", "w.h", "w.slots")
-    as_template = short | (F.size("slots") <= F.col("len") - min_literals)
-    return out.withColumn("h", F.when(as_template, F.col("h")).otherwise(F.xxhash64("h", "slots"))).drop("len")
+    has_slots = lambda i: F.substring("slotted", i + 1, F.col("len")) != F.col("none")
+    slots = F.transform("places", lambda i: F.when(~short & has_slots(i), F.filter(F.slice("values", i + 1, F.col("len")), lambda v: v.isNotNull())))
+    rows = rows.select(*keys, "len", "hashes", "values", "slotted", "none", F.when(n > 0, F.sequence(F.lit(0), n - 1)).alias("places"))
+    rows = rows.select(*keys, "len", "hashes", "places", slots.alias("slots"))
+
+    def window(i: Column, s: Column) -> Column:
+        h = F.xxhash64(F.slice("hashes", i + 1, F.col("len")))
+        return F.when(F.coalesce(F.size(s) > F.col("len") - min_literals, F.lit(False)), F.xxhash64(h, s)).otherwise(h)
+
+    rows = rows.select(*keys, "slots", F.zip_with("places", "slots", window).alias("h"))
+    # a window takes its slots from the row's after the explode, where none is copied; of a bare column the optimizer would
+    # infer a filter, which computes all arrays anew
+    out = rows.select(*keys, "slots", F.posexplode(F.when(F.size("h") > 0, F.col("h"))).alias("at", "h"))
+    return out.select(*keys, "at", "h", F.coalesce(F.get("slots", F.col("at")), F.array().cast("array<string>")).alias("slots"))
 
 
 def _matched(rows: DataFrame, few: DataFrame, on: str, dealt_by: str, broadcast_rows: int) -> DataFrame:
@@ -153,7 +164,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windo
     totals = written(totals.withColumn("need", F.greatest(F.least(F.lit(min_windows), F.ceil(min_share * F.col("item_windows"))), F.lit(1))))
     of_items = written(windows(items, ["item_id"], min_literals))
     # each document is canonicalised once, and the windows of all lengths are cut from that
-    rows = templates(doc_texts, ["doc_id"], "text").withColumn("len", F.explode(F.array(*map(F.lit, lengths))))
+    rows = templates(doc_texts, ["doc_id"], "text", with_own=lengths[0] < min_literals).withColumn("len", F.explode(F.array(*map(F.lit, lengths))))
     hits = written(_matched(windows(rows, ["doc_id"], min_literals), of_items.select("h").distinct(), "h", "doc_id", broadcast_rows))
     # items are attached to documents that hit one of their rarest windows, and only then to all hits of such pairs
     pairs = written(_matched(hits.select("doc_id", "h").distinct(), proposers(of_items, totals, broadcast_rows), "h", "doc_id", broadcast_rows).select("doc_id", "item_id").distinct())

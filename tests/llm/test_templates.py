@@ -146,3 +146,16 @@ def test_names_of_two_words_in_short_items(spark):
     benchmark = spark.createDataFrame([(1, "ask Anna Bell now")], ITEM)
     docs = spark.createDataFrame([(1, "so ask Anna Bell now"), (2, "so ask Carl Bell now"), (3, None)], KIND)
     assert set(found(op01.leaks(docs, benchmark))) == {(1, 1)}
+
+
+def test_windows_collect_the_values_of_their_slots_only(spark):
+    texts = [(1, "a b c d e f g h i j"), (2, "we sold 4 cups to Ann Lee and 5 to Bob , 3 4 5 6 7 8 9 1,000 km"), (3, "one two"), (4, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = op01.templates(docs, ["doc_id"], "text", with_own=False)
+    assert all(r.own is None for r in rows.select("own").collect())
+    values = {r.doc_id: r["values"] for r in rows.collect()}
+    assert all(bytes(r.slotted).decode() == "".join("01"[v is not None] for v in values[r.doc_id]) for r in rows.collect())
+    found = op01.windows(rows.selectExpr("*", "8 as len"), ["doc_id"], op01.MIN_LITERALS).collect()
+    wanted = {(i, at): [x for x in v[at : at + 8] if x is not None] for i, v in values.items() for at in range(len(v) - 7)}
+    assert {(r.doc_id, r["at"]): r.slots for r in found} == wanted
+    assert any(len(x) > 4 for x in wanted.values()) and any(not x for x in wanted.values())
