@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def with_override(base: DataFrame, override: DataFrame, keys: list[str], value: str, by: str) -> DataFrame:
     """A value replaced where the override has one."""
@@ -90,17 +94,36 @@ def asked(rows: DataFrame, levels: list[int], size: float, box: tuple[Column, Co
     return spread.withColumn("_cx", F.explode(span(x0, x1))).withColumn("_cy", F.explode(span(y0, y1)))
 
 
-def meet(askers: DataFrame, boxes: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Joins rows of ``asked`` with those of ``stored`` by cell, dense cells in parts."""
-    n_boxes = boxes.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nb"))
-    counts = askers.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_na")).join(n_boxes, list(_CELL))
-    dense = counts.filter((F.col("_na") > cell_rows) | (F.col("_nb") > cell_rows)).select(*_CELL, F.ceil(F.col("_na") / cell_rows).alias("_pa"), F.ceil(F.col("_nb") / cell_rows).alias("_pb"))
+def meet(askers: DataFrame, boxes: DataFrame, cell_rows: int = CELL_ROWS, on: Sequence[str] = _CELL, partitions: int | None = None) -> DataFrame:
+    """Joins rows of ``asked`` with those of ``stored`` by cell, dense cells in parts; the columns of the cell go.  With
+    ``partitions`` the join has so many, however few rows there are before it."""
+    on = list(on)
+    n_boxes = boxes.groupBy(*on).agg(F.count(F.lit(1)).alias("_nb"))
+    counts = askers.groupBy(*on).agg(F.count(F.lit(1)).alias("_na")).join(n_boxes, on)
+    dense = counts.filter((F.col("_na") > cell_rows) | (F.col("_nb") > cell_rows)).select(*on, F.ceil(F.col("_na") / cell_rows).alias("_pa"), F.ceil(F.col("_nb") / cell_rows).alias("_pb"))
     one = F.lit(1).cast("long")
     parts = {c: F.coalesce(c, one) for c in ("_pa", "_pb")}
-    dealt = lambda df, own: df.join(dense, list(_CELL), "left").withColumns(parts).withColumn(f"_{own}", F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.col(f"_p{own}")))
+    dealt = lambda df, own: df.join(dense, on, "left").withColumns(parts).withColumn(f"_{own}", F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), F.col(f"_p{own}")))
     a = dealt(askers, "a").withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pb") - 1))).drop("_pa", "_pb")
     b = dealt(boxes, "b").withColumn("_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pa") - 1))).drop("_pa", "_pb")
-    return a.join(b, [*_CELL, "_a", "_b"]).drop(*_CELL, "_a", "_b")
+    by = [*on, "_a", "_b"]
+    if partitions:
+        a, b = a.repartition(partitions, *by), b.repartition(partitions, *by)
+    return a.join(b, by).drop(*by)
+
+
+def for_rows(found: DataFrame, rows: DataFrame, on: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Every row with all that was found, once, for the values it has in the columns ``on`` (a place, a shape).  A null value is
+    none.
+
+    There may be far more rows behind the join than before it, so it is not left in the few partitions that those before need.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = dict(rows.dtypes)
+    # as text, since Spark takes no partitions made by fractions for a join by fractions; adding 0.0 makes -0.0 equal to 0.0
+    key = lambda c: (F.col(c) + 0.0).cast("string") if kinds[c] in ("double", "float") else F.col(c)
+    keys = {f"_on_{k}": key(c) for k, c in enumerate(on)}
+    return meet(rows.withColumns(keys), written(found).withColumns(keys).drop(*on), cell_rows, list(keys), n)
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float, cell_rows: int = CELL_ROWS) -> DataFrame:

@@ -16,7 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+from .joins import meet
+
 PIECE = ("u0", "v0", "u1", "v1")
+#: Rows of either side that a part of a cell has at most, about: each meets all of the other side.
+CELL_ROWS = 4096
 
 
 def ring_edges(df: DataFrame, keys: list[str], ring: str = "ring", hole: Column | bool = False) -> DataFrame:
@@ -87,9 +92,16 @@ def _named(pieces: DataFrame, side: str) -> DataFrame:
     return pieces.select(*(F.col(c) if c in ("row", "col") else F.col(c).alias(f"{side}_{c}") for c in pieces.columns))
 
 
+def _met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of rows of the same cell.  There are far more of them than rows, so neither the few partitions that the rows need nor
+    the rows of a cell are a task's share."""
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return meet(written(left), written(right), CELL_ROWS, ["row", "col"], n)
+
+
 def overlaps(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], cell: float) -> DataFrame:
     """(left_<keys>, right_<keys>, area) of polygons (pieces of the same grid) that share an area."""
-    met = _named(left, "left").join(_named(right, "right"), ["row", "col"]).filter("left_u0 < right_u1 and right_u0 < left_u1")
+    met = _met(_named(left, "left"), _named(right, "right")).filter("left_u0 < right_u1 and right_u0 < left_u1")
     p, q = F.greatest("left_u0", "right_u0"), F.least("left_u1", "right_u1")
     met = met.withColumns({"_p": p, "_q": q})
 
@@ -130,7 +142,7 @@ def lengths_inside(segments: DataFrame, pieces: DataFrame, line_keys: list[str],
     different names.
     """
     rows = _stripes(_stripes(_scaled(segments, line_keys, cell), "y", "x", "row"), "x", "y", "col")
-    met = rows.join(pieces, ["row", "col"])
+    met = _met(rows.withColumn("_row", F.col("row")), pieces)
     x0, dx = F.col("x0"), F.col("x1") - F.col("x0")
     u0, v0, u1, v1 = (F.col(c) for c in PIECE)
     upright = dx == 0
@@ -138,7 +150,7 @@ def lengths_inside(segments: DataFrame, pieces: DataFrame, line_keys: list[str],
     from_t = F.when(upright, 0.0).otherwise(F.greatest(F.lit(0.0), F.least((u0 - x0) / step, (u1 - x0) / step)))
     to_t = F.when(upright, F.when((x0 >= u0) & (x0 < u1), 1.0).otherwise(0.0)).otherwise(F.least(F.lit(1.0), F.greatest((u0 - x0) / step, (u1 - x0) / step)))
     met = met.withColumns({"_a": from_t, "_b": to_t}).filter("_b > _a")
-    below = lambda t: v0 + (x0 + F.col(t) * dx - u0) * (v1 - v0) / (u1 - u0) - (F.col("y0") + F.col(t) * (F.col("y1") - F.col("y0")) - F.col("row"))
+    below = lambda t: v0 + (x0 + F.col(t) * dx - u0) * (v1 - v0) / (u1 - u0) - (F.col("y0") + F.col(t) * (F.col("y1") - F.col("y0")) - F.col("_row"))
     met = met.withColumns({"_fa": below("_a"), "_fb": below("_b")})
     part = F.when((F.col("_fa") > 0) & (F.col("_fb") > 0), 1.0).when((F.col("_fa") <= 0) & (F.col("_fb") <= 0), 0.0).otherwise(F.greatest("_fa", "_fb") / F.abs(F.col("_fa") - F.col("_fb")))
     size = F.sqrt(dx * dx + F.pow(F.col("y1") - F.col("y0"), 2)) * cell
