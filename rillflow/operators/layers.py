@@ -68,7 +68,7 @@ def lines_in_boxes(lines: DataFrame, boxes: DataFrame, line_keys: list[str], box
     segments = lines.select(*line_keys, F.explode(_segments(F.col(line))).alias("s")).select(
         *line_keys, F.array("s.a", "s.b").alias("_segment"), F.least(a["x"], b["x"]).alias("xmin"), F.least(a["y"], b["y"]).alias("ymin"), F.greatest(a["x"], b["x"]).alias("xmax"), F.greatest(a["y"], b["y"]).alias("ymax")
     )
-    met = boxes_meet(segments, boxes.select(*box_keys, "xmin", "ymin", "xmax", "ymax"), size)
+    met = boxes_meet(segments, boxes.select(*dict.fromkeys([*box_keys, "xmin", "ymin", "xmax", "ymax"])), size)
     inside = length_in_box(F.col("left__segment"), *(F.col(f"right_{c}") for c in ("xmin", "ymin", "xmax", "ymax")))
     out = met.groupBy(*(F.col(f"left_{k}").alias(k) for k in line_keys), *(F.col(f"right_{k}").alias(k) for k in box_keys)).agg(F.sum(inside).alias("length"))
     return out.filter("length > 0")

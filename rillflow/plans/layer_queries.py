@@ -135,11 +135,13 @@ def intersect_overlay(supplier: DataFrame) -> DataFrame:
 @query("supplier", "customer", sql=f"""WITH a AS ({_AREAS}), l AS (SELECT c_custkey, x AS x0, x + 20 AS x1, y FROM ({_PLACES})), m AS (SELECT c_custkey, s_suppkey, least(x1, xmax) - greatest(x0, xmin) AS len FROM l JOIN a ON y BETWEEN ymin AND ymax)
 SELECT c_custkey, s_suppkey, round(len, 6) AS length FROM m WHERE len > 0""")
 def intersect_with_measure(supplier: DataFrame, customer: DataFrame) -> DataFrame:
-    """The length of each line within each area."""
-    p = places(customer)
+    """The length of each line within each area; lines from one place are computed with once, and so are equal areas."""
+    p, a = places(customer), areas(supplier)
     end = lambda dx: F.struct((F.col("x") + dx).alias("x"), F.col("y").alias("y"))
-    lines = p.select("c_custkey", F.array(end(0), end(5), end(20)).alias("line"))
-    return layers.lines_in_boxes(lines, areas(supplier), ["c_custkey"], ["s_suppkey"], "line", 3.0).select("c_custkey", "s_suppkey", F.round("length", 6).alias("length"))
+    lines = p.select("x", "y").distinct().select("x", "y", F.array(end(0), end(5), end(20)).alias("line"))
+    box = list(joins.SIDES)
+    found = layers.lines_in_boxes(lines, a.select(*box).distinct(), ["x", "y"], box, "line", 3.0).withColumn("length", F.round("length", 6))
+    return joins.for_rows(joins.for_rows(found, a, box), p, ["x", "y"]).select("c_custkey", "s_suppkey", "length")
 
 
 # --- intervals along streams -----------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ import pytest
 from oracle import same
 from pyspark.sql import functions as F
 
-from rillflow.operators import joins, polygons
+from rillflow.operators import joins, layers, polygons
 from rillflow.plans import ORACLES, QUERIES
 
 #: Keys so far apart give the same place, the same area.
@@ -33,3 +33,10 @@ def test_reaches_from_one_place_are_measured_once(spark, repeated, monkeypatch):
     monkeypatch.setattr(polygons, "lengths_inside", lambda segments, *a: asked.append(segments.count()) or inside(segments, *a))
     same(QUERIES["line_length_in_polygons"](spark, repeated), ORACLES["line_length_in_polygons"], repeated)
     assert asked == [60]
+
+
+def test_lines_from_one_place_and_equal_boxes_meet_once(spark, repeated, monkeypatch):
+    asked, inside = [], layers.lines_in_boxes
+    monkeypatch.setattr(layers, "lines_in_boxes", lambda lines, boxes, *a: asked.append((lines.count(), boxes.count())) or inside(lines, boxes, *a))
+    same(QUERIES["intersect_with_measure"](spark, repeated), ORACLES["intersect_with_measure"], repeated)
+    assert asked == [(60, 40)]
