@@ -112,6 +112,12 @@ def meet(askers: DataFrame, boxes: DataFrame, cell_rows: int = CELL_ROWS, on: Se
     return a.join(b, by).drop(*by)
 
 
+def distinct_values(rows: DataFrame, on: list[str]) -> DataFrame:
+    """The distinct values of the columns ``on``; written, else what is computed of them moves, as part of pushed filters, back
+    to all rows."""
+    return written(rows.select(*on).distinct())
+
+
 def for_rows(found: DataFrame, rows: DataFrame, on: list[str], cell_rows: int = CELL_ROWS) -> DataFrame:
     """Every row with all that was found, once, for the values it has in the columns ``on`` (a place, a shape).  A null value is
     none.

@@ -60,9 +60,9 @@ def cell_pieces(edges: DataFrame, keys: list[str], cell: float) -> DataFrame:
     # where edges come through the line along a row's top, seen from just below it; from each odd one to the next is inside
     top = F.col("row") + 1.0
     high = F.greatest("y0", "y1")
-    crossing = rows.filter((high == top) & (F.col("y0") != F.col("y1"))).select(*keys, "row", F.when(F.col("y0") == high, F.col("x0")).otherwise(F.col("x1")).alias("x"))
-    w = Window.partitionBy(*keys, "row").orderBy("x")
-    spans = crossing.select(*keys, "row", F.col("x").alias("x1"), F.lead("x").over(w).alias("x0"), F.row_number().over(w).alias("_k")).filter("_k % 2 = 1 and x0 > x1")
+    crossing = rows.filter((high == top) & (F.col("y0") != F.col("y1"))).select(*keys, "row", F.when(F.col("y0") == high, F.col("x0")).otherwise(F.col("x1")).alias("_x"))
+    w = Window.partitionBy(*keys, "row").orderBy("_x")
+    spans = crossing.select(*keys, "row", F.col("_x").alias("x1"), F.lead("_x").over(w).alias("x0"), F.row_number().over(w).alias("_k")).filter("_k % 2 = 1 and x0 > x1")
     spans = spans.select(*keys, "row", "x0", top.alias("y0"), "x1", top.alias("y1"))
     both = rows.filter("x0 <> x1").select(*keys, "row", "x0", "y0", "x1", "y1").unionByName(spans)
     cut = _stripes(both, "x", "y", "col").filter("x0 <> x1")

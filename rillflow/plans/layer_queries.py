@@ -138,9 +138,9 @@ def intersect_with_measure(supplier: DataFrame, customer: DataFrame) -> DataFram
     """The length of each line within each area; lines from one place are computed with once, and so are equal areas."""
     p, a = places(customer), areas(supplier)
     end = lambda dx: F.struct((F.col("x") + dx).alias("x"), F.col("y").alias("y"))
-    lines = p.select("x", "y").distinct().select("x", "y", F.array(end(0), end(5), end(20)).alias("line"))
+    lines = joins.distinct_values(p, ["x", "y"]).select("x", "y", F.array(end(0), end(5), end(20)).alias("line"))
     box = list(joins.SIDES)
-    found = layers.lines_in_boxes(lines, a.select(*box).distinct(), ["x", "y"], box, "line", 3.0).withColumn("length", F.round("length", 6))
+    found = layers.lines_in_boxes(lines, joins.distinct_values(a, box), ["x", "y"], box, "line", 3.0).withColumn("length", F.round("length", 6))
     return joins.for_rows(joins.for_rows(found, a, box), p, ["x", "y"]).select("c_custkey", "s_suppkey", "length")
 
 

@@ -40,3 +40,11 @@ def test_lines_from_one_place_and_equal_boxes_meet_once(spark, repeated, monkeyp
     monkeypatch.setattr(layers, "lines_in_boxes", lambda lines, boxes, *a: asked.append((lines.count(), boxes.count())) or inside(lines, boxes, *a))
     same(QUERIES["intersect_with_measure"](spark, repeated), ORACLES["intersect_with_measure"], repeated)
     assert asked == [(60, 40)]
+
+
+@pytest.mark.parametrize("name", ["majority_owner_by_area"])
+def test_ranges_at_one_place_are_overlaid_once(spark, repeated, monkeypatch, name):
+    asked, found = [], polygons.overlaps
+    monkeypatch.setattr(polygons, "overlaps", lambda left, right, by, *a: asked.append(left.select(*by).distinct().count()) or found(left, right, by, *a))
+    same(QUERIES[name](spark, repeated), ORACLES[name], repeated)
+    assert asked == [60]
