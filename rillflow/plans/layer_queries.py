@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import curves, geometry
 from ..operators import filters, intervals, joins, layers
+from ..session import written
 from .registry import query
 
 
@@ -87,9 +88,12 @@ def select_outside_location(customer: DataFrame, supplier: DataFrame) -> DataFra
 @query("customer", "supplier", sql=f"SELECT s_suppkey, count(c_custkey) AS n FROM ({_AREAS}) a LEFT JOIN ({_PLACES}) p ON x >= xmin AND x < xmax AND y >= ymin AND y < ymax GROUP BY s_suppkey")
 def count_points_in_polygons(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    rings = areas(supplier).select("s_suppkey", F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax")).alias("ring"))
-    n = joins.points_in_polygons(places(customer), rings, 10.0).groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return rings.join(n, "s_suppkey", "left").select("s_suppkey", F.coalesce("n", F.lit(0)).alias("n"))
+    a, box = areas(supplier), list(joins.SIDES)
+    # each place counts for as many points as it has, and equal areas are counted once
+    at = written(places(customer).groupBy("x", "y").agg(F.count(F.lit(1)).alias("_points")))
+    rings = joins.distinct_values(a, box).select(*(F.col(c).alias(f"a_{c}") for c in box), F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax")).alias("ring"))
+    n = joins.points_in_polygons(at, rings, 10.0).groupBy(*(F.col(f"a_{c}").alias(c) for c in box)).agg(F.sum("_points").alias("n"))
+    return a.join(n, box, "left").groupBy("s_suppkey").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
 
 
 _NEAREST = f"""WITH p AS ({_PLACES}), t AS (SELECT s_suppkey, xmin AS tx, ymin AS ty, s_acctbal FROM ({_AREAS}) JOIN supplier USING (s_suppkey)),

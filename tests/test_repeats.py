@@ -48,3 +48,10 @@ def test_ranges_at_one_place_are_overlaid_once(spark, repeated, monkeypatch, nam
     monkeypatch.setattr(polygons, "overlaps", lambda left, right, by, *a: asked.append(left.select(*by).distinct().count()) or found(left, right, by, *a))
     same(QUERIES[name](spark, repeated), ORACLES[name], repeated)
     assert asked == [60]
+
+
+def test_points_at_one_place_are_counted_together(spark, repeated, monkeypatch):
+    asked, inside = [], joins.points_in_polygons
+    monkeypatch.setattr(joins, "points_in_polygons", lambda points, rings, *a: asked.append((points.count(), rings.count())) or inside(points, rings, *a))
+    same(QUERIES["count_points_in_polygons"](spark, repeated), ORACLES["count_points_in_polygons"], repeated)
+    assert asked == [(60, 40)]
