@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -162,14 +163,41 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, ring
     return points_in_boxes(points, b, size).filter(in_ring(F.col("x"), F.col("y"), F.col(ring))).drop("xmin", "ymin", "xmax", "ymax")
 
 
-def nearest_point(points: DataFrame, targets: DataFrame, key: str, within: float) -> DataFrame:
-    """Each point (key, x, y) with its nearest target (target columns prefixed ``near_``), within a distance."""
-    c = lambda v: F.floor(F.col(v) / within).cast("long")
-    around = F.flatten(F.array(*(F.array(*(F.struct((c("x") + i).alias("cx"), (c("y") + j).alias("cy")) for j in (-1, 0, 1))) for i in (-1, 0, 1))))
-    p = points.withColumn("_c", F.explode(around)).withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")
-    t = targets.select(*(F.col(x).alias(f"near_{x}") for x in targets.columns))
-    t = t.withColumn("_cx", F.floor(F.col("near_x") / within).cast("long")).withColumn("_cy", F.floor(F.col("near_y") / within).cast("long"))
-    d = F.sqrt(F.pow(F.col("x") - F.col("near_x"), 2) + F.pow(F.col("y") - F.col("near_y"), 2))
+def nearest_point(points: DataFrame, targets: DataFrame, key: str, within: float, least: int = 4) -> DataFrame:
+    """Each point (key, x, y) with its nearest target (target columns prefixed ``near_``), within a distance; of targets as near
+    the smallest by its columns.
+
+    A place is asked about once, and of the targets at a place only the smallest counts.  Cells are as long as the distance; where
+    that leaves many targets to a cell there are levels of cells down to half, a quarter and so on of it.  A target in a place's own
+    cell is at most a diagonal away, so the nearest one is in the cells around on the level above: a place asks there about the
+    finest of its own cells that has a target, and meets some dozens however dense targets are.
+    """
     cols = [f"near_{x}" for x in targets.columns]
-    best = p.join(t, ["_cx", "_cy"]).withColumn("distance", d).filter(F.col("distance") <= within).groupBy(key).agg(F.min_by(F.struct(*cols, "distance"), F.struct("distance", *cols)).alias("_n"))
-    return points.join(best, key, "left").select(*points.columns, "_n.*")
+    t = targets.select(*(F.col(x).alias(f"near_{x}") for x in targets.columns)).filter("near_x is not null and near_y is not null")
+    t = t.groupBy((F.col("near_x") + 0.0).alias("_tx"), (F.col("near_y") + 0.0).alias("_ty")).agg(F.min(F.struct(*cols)).alias("_n"))
+    t = written(t.select("_n.*"))
+    at = lambda v, level: F.floor(F.col(v) / (F.lit(within) / F.pow(F.lit(2.0), level))).cast("long")
+    cell = lambda x, y, level: {"_lv": level, "_cx": at(x, level), "_cy": at(y, level)}
+    lv = F.col("_lv")
+    per = t.groupBy(at("near_x", F.lit(0)), at("near_y", F.lit(0))).count().agg(F.sum(F.col("count") * F.col("count")) / F.sum("count")).first()[0] or 0.0
+    # as a target sees them, so that a dense cell among thin ones counts
+    finest = max(0, math.ceil(math.log(max(per, 1.0) / least, 4)) + 1) if per > least else 0  # targets per cell fall to a quarter
+    p = distinct_values(points.filter("x is not null and y is not null"), ["x", "y"])
+    if finest:
+        levels = F.explode(F.array(*(F.lit(k) for k in range(finest + 1))))
+        have = t.withColumn("_lv", levels).select(*(c.alias(n) for n, c in cell("near_x", "near_y", lv).items())).distinct()
+        own = p.withColumn("_lv", levels).withColumns({n: c for n, c in cell("x", "y", lv).items() if n != "_lv"}).join(have, list(_CELL), "left_semi")
+        own = own.groupBy("x", "y").agg(F.max("_lv").alias("_own"))
+        p = p.withColumns({"_px": F.col("x") + 0.0, "_py": F.col("y") + 0.0}).join(own.select(F.col("x").alias("_ox"), F.col("y").alias("_oy"), "_own"), (F.col("_px") == F.col("_ox")) & (F.col("_py") == F.col("_oy")), "left")
+        p = p.select("x", "y", F.greatest(F.coalesce("_own", F.lit(0)) - 1, F.lit(0)).alias("_lv"))
+        stored_at = t.withColumn("_lv", F.explode(F.array(*(F.lit(k) for k in range(finest)))))
+    else:
+        p, stored_at = p.withColumn("_lv", F.lit(0)), t.withColumn("_lv", F.lit(0))
+    around = F.array(*(F.struct((at("x", lv) + i).alias("cx"), (at("y", lv) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    asking = p.withColumn("_c", F.explode(around)).select("x", "y", "_lv", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy"))
+    stored_at = stored_at.withColumns({n: c for n, c in cell("near_x", "near_y", lv).items() if n != "_lv"})
+    d = F.sqrt(F.pow(F.col("x") - F.col("near_x"), 2) + F.pow(F.col("y") - F.col("near_y"), 2))
+    found = asking.join(stored_at, list(_CELL)).withColumn("distance", d).filter(F.col("distance") <= within)
+    best = found.groupBy("x", "y").agg(F.min(F.struct("distance", *cols)).alias("_b")).select("x", "y", *(F.col(f"_b.{c}").alias(c) for c in cols), F.col("_b.distance").alias("distance"))
+    keys = {"_kx": F.col("x") + 0.0, "_ky": F.col("y") + 0.0}
+    return points.withColumns(keys).join(best.withColumns(keys).drop("x", "y"), ["_kx", "_ky"], "left").select(*points.columns, *cols, "distance")

@@ -1,5 +1,8 @@
 """Tables whose keys give the same places and areas again and again: each is computed with once, and every row has its answer."""
 
+import math
+
+import numpy as np
 import pytest
 from oracle import same
 from pyspark.sql import functions as F
@@ -55,3 +58,26 @@ def test_points_at_one_place_are_counted_together(spark, repeated, monkeypatch):
     monkeypatch.setattr(joins, "points_in_polygons", lambda points, rings, *a: asked.append((points.count(), rings.count())) or inside(points, rings, *a))
     same(QUERIES["count_points_in_polygons"](spark, repeated), ORACLES["count_points_in_polygons"], repeated)
     assert asked == [(60, 40)]
+
+
+@pytest.mark.parametrize("name", ["nearest_long_enough"])
+def test_places_ask_for_the_nearest_once(spark, repeated, monkeypatch, name):
+    asked, values = [], joins.distinct_values
+    monkeypatch.setattr(joins, "distinct_values", lambda rows, on: asked.append((out := values(rows, on)).count()) or out)
+    same(QUERIES[name](spark, repeated), ORACLES[name], repeated)
+    assert asked == [60]
+
+
+@pytest.mark.parametrize("n", [3, 60, 3000])
+def test_nearest_among_dense_and_thin_targets(spark, n):
+    rng = np.random.default_rng(n)
+    targets = [(k, *(float(v) for v in (rng.normal(0, 0.3, 2) if k % 3 else rng.integers(-20, 20, 2)))) for k in range(n)] + [(-1, None, 0.0), (-2, 30.0, 30.0), (-3, 30.0, 30.0)]
+    points = [(k, *(float(v) for v in rng.integers(-25, 25, 2))) for k in range(200)] + [(500 + k, *(float(v) for v in rng.normal(0, 0.5, 2))) for k in range(100)]
+    points += [(7, 29.0, 30.0), (900, None, 1.0), (901, 38.0, 30.0), (902, 30.0, 38.1), (903, -0.0, 0.0), (904, 0.0, -0.0)]  # 7 is at two places
+    df = lambda rows: spark.createDataFrame(rows, "id long, x double, y double")
+    found = sorted(((r.id, r.x, r.y, r.near_id, r.distance) for r in joins.nearest_point(df(points), df(targets), "id", 8.0).collect()), key=str)
+    wanted = []
+    for k, x, y in points:
+        near = min(((math.sqrt((x - a) ** 2 + (y - b) ** 2), t) for t, a, b in targets if None not in (x, a)), default=(9.0, None))
+        wanted.append((k, x, y, near[1], near[0]) if near[0] <= 8 else (k, x, y, None, None))
+    assert [r[:4] for r in found] == [r[:4] for r in sorted(wanted, key=str)]
