@@ -60,7 +60,7 @@ def test_points_at_one_place_are_counted_together(spark, repeated, monkeypatch):
     assert asked == [(60, 40)]
 
 
-@pytest.mark.parametrize("name", ["nearest_long_enough"])
+@pytest.mark.parametrize("name", ["nearest_feature", "nearest_long_enough"])
 def test_places_ask_for_the_nearest_once(spark, repeated, monkeypatch, name):
     asked, values = [], joins.distinct_values
     monkeypatch.setattr(joins, "distinct_values", lambda rows, on: asked.append((out := values(rows, on)).count()) or out)
