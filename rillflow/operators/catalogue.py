@@ -73,11 +73,11 @@ def segments(records: DataFrame, metrics: list[Metric], path: str, distance: str
     return records.groupBy(path, distance).agg(F.sum(length).alias("length"), F.sum(area).alias("area"), *own)
 
 
-def windows_of(segments: DataFrame, metrics: list[Metric], path: str, distance: str, width: float | Column, stretch: float | None = None) -> DataFrame:
+def windows_of(segments: DataFrame, metrics: list[Metric], path: str, distance: str, width: float | Column, stretch: float | None = None, whole: bool = False) -> DataFrame:
     """(path, distance, one column per metric with a window calculation), for every segment's place.
 
     A width that is a column is each segment's own; its windows end at whole numbers, cut towards zero, and streams are cut every
-    ``stretch``."""
+    ``stretch``, or not at all if all of a stream is in one partition (``whole``)."""
     wanted = [m for m in metrics if m.window]
     inputs: dict[str, tuple[str, Column]] = {}
 
@@ -90,6 +90,8 @@ def windows_of(segments: DataFrame, metrics: list[Metric], path: str, distance:
     names = [name for name, _ in inputs.values()]
     if isinstance(width, Column):
         low, high = ((F.col(distance) + sign * width / 2).cast("long") for sign in (-1, 1))
+        if whole:
+            return windows.whole_windows(rows, path, distance, low, high, sums=names, keep=[m.code for m in wanted if m.window == "copy"]).select(path, distance, *out)
         return windows.own_windows(rows, rows, path, distance, low, high, stretch, sums=names).select(path, distance, *out)
     return windows.moving_window(rows, path, distance, width, sums=names).select(path, distance, *out)
 

@@ -7,16 +7,22 @@ that a range frame within a stretch sees all it needs and a long stream is share
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import partial
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import ship, written
 from .aggregates import ratio
 
 #: Window lengths in metres by stream size.
 WINDOW_BY_SIZE = {0: 200, 1: 400, 2: 1200, 3: 2000, 4: 8000}
 #: A stretch is so many windows long.
 STRETCH = 16
+#: A stream of up to so many records may be one task's work; longer ones are cut in stretches.
+WHOLE = 1 << 18
 
 
 def per_distance(df: DataFrame, path: str, distance: str, sums: dict[str, Column], mins: dict[str, Column] | None = None, maxs: dict[str, Column] | None = None) -> DataFrame:
@@ -134,6 +140,114 @@ def _extremes(asked: DataFrame, rows: DataFrame, path: str, distance: str, mins:
     return asked.join(best, _same_path("_p", "_bp") & (F.col("_low") == F.col("_bl")) & (F.col("_high") == F.col("_bh")), "left")
 
 
+def by_size(records: DataFrame, path: str, whole: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``whole`` of the records of streams that have up to ``WHOLE``, dealt by stream, and ``cut`` of those of the others.
+
+    Whole streams are shuffled once, as the records they come from, and are where their windows are; stretches hand on what
+    others need of them, and are for streams that no task should have alone.  Of the latter there are few, so they are broadcast.
+    """
+    long = written(records.groupBy(F.col(path).alias("_long")).count().filter(F.col("count") > WHOLE).select("_long"))
+    if long.isEmpty():
+        return whole(records.repartition(path))
+    on = _same_path(path, "_long")
+    return whole(records.join(F.broadcast(long), on, "left_anti").repartition(path)).unionByName(cut(records.join(F.broadcast(long), on, "left_semi")))
+
+
+def whole_windows(rows: DataFrame, path: str, distance: str, low: Column, high: Column, sums: list[str] = (), mins: list[str] = (), maxs: list[str] = (), keep: list[str] = ()) -> DataFrame:
+    """(path, distance, ``keep``, mw columns): ``own_windows`` of the rows themselves, where all rows of a stream are in one partition
+    already (``by_size``), so nothing is shuffled.  Values are taken as double."""
+    spark = rows.sparkSession
+    ship(spark)
+    values = [*sums, *mins, *maxs]
+    names = [f"mw_{c}" for c in values]
+    x = F.col(distance).cast("double")
+    kept = [path, distance, *keep]
+    given = rows.select(*kept, x.alias("_x"), low.cast("double").alias("_low"), high.cast("double").alias("_high"), *(F.col(c).cast("double").alias(f"_v_{c}") for c in values))
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept), *(f"`{n}` double" for n in names)])
+    return given.sortWithinPartitions(path, distance).mapInArrow(partial(_whole, path=path, keep=kept, sums=list(sums), mins=list(mins), maxs=list(maxs)), schema)
+
+
+def _whole(batches: Iterator, path: str, keep: list[str], sums: list[str], mins: list[str], maxs: list[str]) -> Iterator:
+    """Batches sorted by stream and distance, with the windows' values; a stream is held until it is complete."""
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        stream = batch.column(path)
+        codes = stream.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(codes[1:] != codes[:-1]) + 1
+        if held and stream[0] != last:
+            yield _measured(pa.Table.from_batches(held), path, keep, sums, mins, maxs)
+            held = []
+        if len(starts):
+            yield _measured(pa.Table.from_batches([*held, batch.slice(0, starts[-1])]), path, keep, sums, mins, maxs)
+            held = []
+        held.append(batch.slice(starts[-1]) if len(starts) else batch)
+        last = stream[batch.num_rows - 1]
+    if held:
+        yield _measured(pa.Table.from_batches(held), path, keep, sums, mins, maxs)
+
+
+def _measured(table, path: str, keep: list[str], sums: list[str], mins: list[str], maxs: list[str]):
+    """Complete streams with the values of their windows: differences of each stream's running sums, and two look-ups in a
+    table of the extremes of 2^k rows."""
+    import pyarrow as pa
+
+    table = table.combine_chunks()
+    double = lambda c: table.column(c).to_numpy(zero_copy_only=False).astype(float)  # null is NaN
+    null = lambda c: table.column(c).is_null().to_numpy(zero_copy_only=False)
+    codes = table.column(path).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    stream = np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])]) if len(codes) else codes
+    x, low, high = double("_x"), double("_low"), double("_high")
+
+    def key(at: np.ndarray, of: np.ndarray) -> np.ndarray:
+        out = np.empty(len(at), complex)  # ordered by stream, then place
+        out.real, out.imag = of, at
+        return out
+
+    member = np.flatnonzero(~np.isnan(x))
+    places = key(x[member], stream[member])
+    asking = low <= high  # not if either is null
+    first, end = np.zeros(len(x), int), np.zeros(len(x), int)
+    first[asking] = np.searchsorted(places, key(low[asking], stream[asking]), "left")
+    end[asking] = np.searchsorted(places, key(high[asking], stream[asking]), "right")
+    some = np.flatnonzero(end > first)
+    a, b = first[some], end[some]
+    begins = np.searchsorted(stream[member], np.arange(stream[-1] + 1), "left")
+
+    values = [*sums, *mins, *maxs]
+    known = np.stack([~null(f"_v_{c}")[member] for c in values], 1)
+    counts = np.concatenate([np.zeros((1, len(values)), int), np.cumsum(known, 0)])
+    found = (counts[b] - counts[a]) > 0
+    out = {}
+    if sums:
+        given = np.stack([np.where(known[:, k], double(f"_v_{c}")[member], 0.0) for k, c in enumerate(sums)], 1)
+        running = np.empty_like(given)
+        for i, j in zip(begins, [*begins[1:], len(member)], strict=True):
+            np.cumsum(given[i:j], 0, out=running[i:j])
+        before = np.where((a > begins[stream[some]])[:, None], running[np.maximum(a - 1, 0)], 0.0)
+        total = running[b - 1] - before
+        out |= {c: total[:, k] for k, c in enumerate(sums)}
+    level = np.frexp((b - a).astype(float))[1] - 1
+    for columns, nothing, how in ((mins, np.nan, np.fmin), (maxs, -np.inf, np.maximum)):  # NaN is the largest value
+        for c in columns:
+            last, best = np.where(known[:, values.index(c)], double(f"_v_{c}")[member], nothing), np.empty(len(some))
+            for k in range(level.max(initial=-1) + 1):
+                last = how(last[: -(1 << k - 1)], last[1 << k - 1 :]) if k else last
+                at = level == k
+                best[at] = how(last[a[at]], last[b[at] - (1 << k)])
+            out[c] = best
+    columns = [table.column(c) for c in keep]
+    for k, c in enumerate(values):
+        v, none = np.zeros(len(x)), np.ones(len(x), bool)
+        v[some], none[some] = out[c], ~found[:, k]
+        columns.append(pa.array(v, pa.float64(), mask=none))
+    batch = pa.table(columns, names=[*keep, *(f"mw_{c}" for c in values)]).combine_chunks()
+    return batch.to_batches()[0]
+
+
 def spacing(rows: DataFrame, path: str, distance: str) -> DataFrame:
     """(stream, spacing): the difference of a stream's two smallest distances; null with fewer than two.
 

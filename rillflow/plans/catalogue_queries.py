@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import catalogue, windows
@@ -52,10 +52,21 @@ sum(d.confinement * d.length) AS confinement, sum(d.roads) AS roads FROM o a JOI
 SELECT path, distance, strmleng, planform, riparian / area AS riparian, lui / area AS lui, dams * 1000 / n AS dams, confinement / n AS confinement, roads / n AS roads, (riparian * 0.000247105) / (n / 1609.34) AS valley, (riparian / 10000.0) / (n / 1000.0) AS floodplain FROM w""")
 def catalogue_engine_own_width(lineitem: DataFrame) -> DataFrame:
     """The catalogue in windows of each point's own width: by stream size, enlarged to twice the spacing of its stream."""
-    rows, metrics = _segments(lineitem)
-    gaps = windows.spacing(rows, "path", "distance")
-    wide = rows.join(gaps, "path").withColumn("width", windows.window_width((F.col("path") % 5).cast("int"), F.col("spacing")))
-    return catalogue.windows_of(wide, metrics, "path", "distance", F.col("width"), 512.0)
+    width = windows.window_width((F.col("path") % 5).cast("int"), F.col("spacing"))
+
+    def whole(records: DataFrame) -> DataFrame:
+        rows, metrics = _segments(records)
+        along = Window.partitionBy("path").orderBy("distance").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        spacing = F.nth_value("distance", 2, True).over(along) - F.min("distance").over(along)
+        return catalogue.windows_of(rows.withColumn("spacing", spacing).withColumn("width", width), metrics, "path", "distance", F.col("width"), whole=True)
+
+    def cut(records: DataFrame) -> DataFrame:
+        rows, metrics = _segments(records)
+        wide = rows.join(windows.spacing(rows, "path", "distance"), "path").withColumn("width", width)
+        return catalogue.windows_of(wide, metrics, "path", "distance", F.col("width"), 512.0)
+
+    needed = ("l_suppkey", "l_shipdate", "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return windows.by_size(lineitem.filter("l_suppkey is not null").select(*needed), "l_suppkey", whole, cut)
 
 
 @query("lineitem", sql="""WITH d AS (SELECT l_suppkey AS path, datediff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS x, min(l_tax) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY 1, 2)
