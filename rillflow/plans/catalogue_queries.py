@@ -73,10 +73,20 @@ def catalogue_engine_own_width(lineitem: DataFrame) -> DataFrame:
 SELECT a.path, a.x AS distance, min(d.low) AS mw_low, max(d.high) AS mw_high, count(*) * 1.0 AS mw_one FROM d a JOIN d ON d.path = a.path AND d.x BETWEEN a.x - 5 * (a.x % 40) AND a.x + 3 * (a.x % 70) GROUP BY 1, 2""")
 def own_window_extremes(lineitem: DataFrame) -> DataFrame:
     """Minimum, maximum and count in windows that every point has its own of, uneven to both sides."""
-    x = F.datediff("l_shipdate", F.lit("1992-01-01"))
-    d = lineitem.groupBy(F.col("l_suppkey").alias("path"), x.alias("distance")).agg(F.min("l_tax").alias("low"), F.max("l_extendedprice").alias("high")).withColumn("one", F.lit(1.0))
-    out = windows.own_windows(d, d, "path", "distance", F.col("distance") - 5 * (F.col("distance") % 40), F.col("distance") + 3 * (F.col("distance") % 70), 512.0, ["one"], ["low"], ["high"])
-    return out.select("path", "distance", "mw_low", "mw_high", "mw_one")
+    low, high = F.col("distance") - 5 * (F.col("distance") % 40), F.col("distance") + 3 * (F.col("distance") % 70)
+
+    def rows(records: DataFrame) -> DataFrame:
+        x = F.datediff("l_shipdate", F.lit("1992-01-01"))
+        return records.groupBy(F.col("l_suppkey").alias("path"), x.alias("distance")).agg(F.min("l_tax").alias("low"), F.max("l_extendedprice").alias("high")).withColumn("one", F.lit(1.0))
+
+    def whole(records: DataFrame) -> DataFrame:
+        return windows.whole_windows(rows(records), "path", "distance", low, high, ["one"], ["low"], ["high"]).select("path", "distance", "mw_low", "mw_high", "mw_one")
+
+    def cut(records: DataFrame) -> DataFrame:
+        d = rows(records)
+        return windows.own_windows(d, d, "path", "distance", low, high, 512.0, ["one"], ["low"], ["high"]).select("path", "distance", "mw_low", "mw_high", "mw_one")
+
+    return windows.by_size(lineitem.select("l_suppkey", "l_shipdate", "l_tax", "l_extendedprice"), "l_suppkey", whole, cut)
 
 
 @query("lineitem", sql=f"""WITH {_SEGMENTS} SELECT path, distance, unnest([1, 5, 9]) AS metric_id, unnest([strmleng, dams, highest]) AS value FROM d""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rillflow.operators import windows
 from rillflow.plans import ORACLES, QUERIES
 
-NAMES = ["catalogue_engine_own_width"]
+NAMES = ["catalogue_engine_own_width", "own_window_extremes"]
 
 
 @pytest.mark.parametrize("batch", [10_000, 7, 1])
